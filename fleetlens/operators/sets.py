@@ -25,9 +25,10 @@ def drop_if_present(df: DataFrame, *cols) -> DataFrame:
     return df.drop(*cols)
 
 
-def select_or_null(df: DataFrame, target) -> DataFrame:
+def select_or_null(df: DataFrame, target, cast_present: bool = True) -> DataFrame:
     """P-07 / O-05: project onto a target schema; missing columns become typed
-    NULLs (or a default), present ones are cast to the target type."""
+    NULLs (or a default), present ones are cast to the target type (or kept
+    as they are with ``cast_present=False``)."""
     fields = target.fields if isinstance(target, T.StructType) else target
     out = []
     for f in fields:
@@ -36,7 +37,7 @@ def select_or_null(df: DataFrame, target) -> DataFrame:
         else:
             name, dtype, default = (f + (None,))[:3]
         if name in df.columns:
-            c = F.col(name).cast(dtype)
+            c = F.col(name).cast(dtype) if cast_present else F.col(name)
             if default is not None:
                 c = F.coalesce(c, F.lit(default).cast(dtype))
         else:
