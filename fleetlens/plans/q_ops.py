@@ -1 +1,385 @@
-"""Catalog entries."""
+"""Catalog entries of joins, aggregates, ML, sinks and streaming operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .. import schemas as S
+from ..functions.nested import flatten_json_kv
+from ..functions.scalars import rule_score
+from ..ml import model as M
+from ..operators.joins import mapped_keys, ref_join, unmapped_keys
+from ..operators.sampling import hash_uniform_sql, sample_n, stratified_split
+from ..operators.windows import rolling_features
+from ..sinks import tables as X
+from ..sources import driver as D
+from . import components as C
+from . import oracle as O
+from .catalog import query
+from .q_components import view
+from .q_sensor import _chain
+
+E1F = [*O.E1, O.enriched("JOIN"), O.FEATURES]
+
+
+def _r(df, cols, d=6):
+    return df.withColumns({c: F.round(c, d) for c in cols})
+
+
+# ------------------------------------------------------------------ joins
+@query("ref_join_left", O.with_(O.SENSOR, O.MODELS) + """
+SELECT s.aircraft_id, s."timestamp", s.reading_id, m.manufacturer, m.capacity
+FROM sensor s LEFT JOIN models m ON m.model = s.model""")
+def ref_join_left(spark, sf):
+    """J-02: readings ⟕ model reference (AQE picks broadcast when small)."""
+    j = ref_join(D.sensor_readings(spark, sf), D.model_reference(spark, sf), on="model", how="left")
+    return j.select("aircraft_id", "timestamp", "reading_id", "manufacturer", "capacity")
+
+
+@query("unmapped_keys", """
+SELECT * FROM orders o WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = o.o_custkey)""")
+def unmapped_keys_q(spark, sf):
+    """J-12: scheduled aircraft without any telemetry (anti join)."""
+    return unmapped_keys(D.table(spark, sf, "orders"), D.table(spark, sf, "events"), "o_custkey", "user_id")
+
+
+@query("mapped_keys", """
+SELECT * FROM orders o WHERE EXISTS (SELECT 1 FROM events e WHERE e.user_id = o.o_custkey)""")
+def mapped_keys_q(spark, sf):
+    """J-13: scheduled aircraft that do have telemetry (semi join)."""
+    return mapped_keys(D.table(spark, sf, "orders"), D.table(spark, sf, "events"), "o_custkey", "user_id")
+
+
+@query("point_in_time_lookup", O.with_(O.SENSOR, O.MAINT) + """,
+feat AS (SELECT aircraft_id, "timestamp",
+                avg(engine_temp) OVER (PARTITION BY aircraft_id ORDER BY "timestamp", reading_id
+                                       ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS avg_temp_7r FROM sensor),
+lab AS (SELECT e.user_id AS aircraft_id, e.ts, e.event_id FROM events e WHERE e.event_type = 'signup')
+SELECT aircraft_id, ts, event_id, feature_ts, round(avg_temp_7r, 6) AS avg_temp_7r FROM (
+  SELECT l.*, f."timestamp" AS feature_ts, f.avg_temp_7r,
+         row_number() OVER (PARTITION BY l.event_id ORDER BY f."timestamp" DESC NULLS LAST) AS rn
+  FROM lab l LEFT JOIN feat f ON f.aircraft_id = l.aircraft_id AND f."timestamp" <= l.ts) t WHERE rn = 1""")
+def point_in_time_lookup(spark, sf):
+    """J-10: for each maintenance event, the latest rolling feature at or before it."""
+    r = D.sensor_readings(spark, sf)
+    feats = rolling_features(r, ["aircraft_id"], ["timestamp", "reading_id"], avgs={"avg_temp_7r": "engine_temp"})
+    labels = D.table(spark, sf, "events").filter(F.col("event_type") == "signup").select(
+        F.col("user_id").alias("aircraft_id"), "ts", "event_id")
+    out = M.point_in_time(labels, feats, "aircraft_id", "ts", "timestamp", ["avg_temp_7r"])
+    return _r(out, ["avg_temp_7r"])
+
+
+_TRAIN_FEATS = ["avg_engine_temp_7d", "avg_vibration_7d", "prev_anomaly", "days_since_maint"]
+
+
+@query("feature_lookup", O.with_(*E1F) + f"""
+SELECT s.aircraft_id, s."timestamp", CAST(s.anomaly_score AS INTEGER) AS label,
+       {', '.join(f'round(f.{c}, 6) AS {c}' for c in _TRAIN_FEATS)}
+FROM sensor s LEFT JOIN feat f ON f.aircraft_id = s.aircraft_id AND f."timestamp" = s."timestamp"
+WHERE {' AND '.join(f'f.{c} IS NOT NULL' for c in _TRAIN_FEATS)}""")
+def feature_lookup(spark, sf):
+    """J-09 / M-01 / P-10: label rows ⟕ feature table on (aircraft, timestamp), NULLs dropped."""
+    labels = D.sensor_readings(spark, sf).select("aircraft_id", "timestamp",
+                                                 F.col("anomaly_score").cast("int").alias("label"))
+    ts = M.training_set(labels, _chain(spark, sf)["features"], ["aircraft_id", "timestamp"], _TRAIN_FEATS, "label")
+    return _r(ts, ["avg_engine_temp_7d", "avg_vibration_7d"])
+
+
+# ------------------------------------------------------------- aggregates
+@query("conditional_counts", """
+SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS healthy,
+       count(*) FILTER (WHERE o_orderstatus = 'O') AS warning, count(*) FILTER (WHERE o_orderstatus = 'P') AS critical
+FROM orders GROUP BY o_orderpriority""")
+def conditional_counts(spark, sf):
+    """A-13: SUM(CASE …) style counts."""
+    s = F.col("o_orderstatus")
+    return D.table(spark, sf, "orders").groupBy("o_orderpriority").agg(
+        F.count_if(s == "F").alias("healthy"), F.count_if(s == "O").alias("warning"),
+        F.count_if(s == "P").alias("critical"))
+
+
+@query("label_distribution", "SELECT quality, count(*) AS n FROM labels GROUP BY quality")
+def label_distribution(spark, sf):
+    """A-10."""
+    return D.table(spark, sf, "labels").groupBy("quality").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("distinct_per_group", "SELECT event_type, count(DISTINCT user_id) AS aircraft FROM events GROUP BY event_type")
+def distinct_per_group(spark, sf):
+    """A-08."""
+    return D.table(spark, sf, "events").groupBy("event_type").agg(F.count_distinct("user_id").alias("aircraft"))
+
+
+@query("date_range", "SELECT min(ts) AS first_reading, max(ts) AS last_reading FROM events")
+def date_range(spark, sf):
+    """A-09."""
+    return D.table(spark, sf, "events").agg(F.min("ts").alias("first_reading"), F.max("ts").alias("last_reading"))
+
+
+@query("event_breakdown", O.with_(O.MAINT) + "SELECT event_type, count(*) AS events FROM maint GROUP BY event_type")
+def event_breakdown(spark, sf):
+    """A-12."""
+    return D.maintenance_events(spark, sf).groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query("whole_table_distinct", "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders")
+def whole_table_distinct(spark, sf):
+    """A-14."""
+    return D.table(spark, sf, "orders").select("o_orderstatus", "o_orderpriority").distinct()
+
+
+@query("records_per_type", O.with_(*O.comp_ctes(O.COMP_KEYS), O.comp_view()) + """
+SELECT aircraft_id, component_type, count(*) AS records FROM comp_view GROUP BY ALL""")
+def records_per_type(spark, sf):
+    """A-05."""
+    return view(spark, sf).groupBy("aircraft_id", "component_type").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query("alerts_per_status", O.with_(*O.comp_ctes(O.COMP_KEYS), O.comp_view(), O.COMP_ALERTS) + """
+SELECT aircraft_id, health_status, count(*) AS alerts FROM comp_alerts GROUP BY ALL""")
+def alerts_per_status(spark, sf):
+    """A-06."""
+    return C.component_alerts(view(spark, sf)).groupBy("aircraft_id", "health_status").agg(
+        F.count(F.lit(1)).alias("alerts"))
+
+
+@query("group_avg_topk", O.with_(O.SENSOR) + """
+SELECT aircraft_id, round(avg(engine_temp), 6) AS avg_temp FROM sensor WHERE anomaly_score = 0
+GROUP BY aircraft_id ORDER BY avg(engine_temp) DESC, aircraft_id LIMIT 10""")
+def group_avg_topk(spark, sf):
+    """A-11: average temperature of normal readings, hottest 10 aircraft."""
+    r = D.sensor_readings(spark, sf).filter(F.col("anomaly_score") == 0)
+    g = r.groupBy("aircraft_id").agg(F.avg("engine_temp").alias("avg_temp"))
+    return _r(g.orderBy(F.col("avg_temp").desc(), "aircraft_id").limit(10), ["avg_temp"])
+
+
+# ------------------------------------------------------------------- ML
+@query("confusion_matrix", """
+SELECT quality AS label, count(*) FILTER (WHERE toxic = 0) AS pred_0, count(*) FILTER (WHERE toxic = 1) AS pred_1
+FROM labels GROUP BY quality""")
+def confusion_matrix(spark, sf):
+    """M-06 (labels: quality as truth, toxic as prediction)."""
+    return M.confusion_matrix(D.table(spark, sf, "labels"), "quality", "toxic")
+
+
+_PRF_SQL = """
+SELECT tp, fp, fn, tn, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END, 6) AS f1
+FROM (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+             CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall
+      FROM (SELECT count(*) FILTER (WHERE {y} = 1 AND {p} = 1) AS tp, count(*) FILTER (WHERE {y} = 0 AND {p} = 1) AS fp,
+                   count(*) FILTER (WHERE {y} = 1 AND {p} = 0) AS fn, count(*) FILTER (WHERE {y} = 0 AND {p} = 0) AS tn
+            FROM {src}) c) m"""
+
+
+@query("precision_recall_f1", _PRF_SQL.format(y="quality", p="toxic", src="labels"))
+def precision_recall_f1(spark, sf):
+    """M-05."""
+    return _r(M.precision_recall_f1(D.table(spark, sf, "labels"), "quality", "toxic"), ["precision", "recall", "f1"])
+
+
+_CUTS = (0.4, 0.5, 0.6)
+
+
+def _champion_sql():
+    score = ("((avg_engine_temp_7d / 700.0) + (avg_vibration_7d / 25.0)) * 0.5 + prev_anomaly * 0.3 "
+             "+ (days_since_maint / 100.0) * 0.2")
+    parts = []
+    for i, c in enumerate(_CUTS):
+        src = (f"(SELECT anomaly_score AS y, CAST(CAST({score} AS DOUBLE) > {c} AS INTEGER) AS p "
+               f"FROM feat WHERE prev_anomaly IS NOT NULL)")
+        parts.append(f"SELECT 'aircraft_rule' AS model, {i + 1} AS version, f1 FROM ("
+                     + _PRF_SQL.format(y="y", p="p", src=src) + ") x")
+    reg = "\nUNION ALL\n".join(parts)
+    return (O.with_(*E1F) + "SELECT model, version AS champion_version, f1 FROM (SELECT *, row_number() OVER "
+            "(PARTITION BY model ORDER BY f1 DESC, version DESC) AS rn FROM (" + reg + ") r) t WHERE rn = 1")
+
+
+@query("champion_select", _champion_sql())
+def champion_select(spark, sf):
+    """M-07 … M-09: versions of the rule model (cut 0.4 / 0.5 / 0.6) evaluated
+    against the anomaly label; the registry row with the best F1 is champion."""
+    feats = _chain(spark, sf)["features"].filter(F.col("prev_anomaly").isNotNull())
+    rows = []
+    for i, c in enumerate(_CUTS):
+        scored = feats.select(F.col("anomaly_score").alias("y"), rule_score(params={"cut": c}).alias("p"))
+        m = _r(M.precision_recall_f1(scored, "y", "p"), ["f1"])
+        rows.append(m.select(F.lit("aircraft_rule").alias("model"), F.lit(i + 1).alias("version"),
+                             F.lit("").alias("path"), "f1"))
+    reg = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    return M.champion(reg).select("model", "champion_version", "f1")
+
+
+@query("drift_report", O.with_(O.SENSOR) + """,
+ref AS (SELECT avg(engine_temp) AS rm, stddev_samp(engine_temp) AS rs FROM sensor),
+cur AS (SELECT CAST("timestamp" AS DATE) AS day, count(*) AS "rows", avg(engine_temp) AS cm,
+               stddev_samp(engine_temp) AS cs FROM sensor GROUP BY ALL)
+SELECT day, "rows", 'engine_temp' AS feature, round(cm, 6) AS mean, round(cs, 6) AS stddev,
+       round(rm, 6) AS ref_mean, round(rs, 6) AS ref_stddev, round((cm - rm) / rs, 6) AS shift
+FROM cur, ref""")
+def drift_report(spark, sf):
+    """M-13: per-day mean / stddev of a feature against the whole-history reference."""
+    r = D.sensor_readings(spark, sf).withColumn("day", F.to_date("timestamp"))
+    d = M.drift_report(r, r, ["engine_temp"], "day")
+    return _r(d, ["mean", "stddev", "ref_mean", "ref_stddev", "shift"])
+
+
+@query("stratified_split", f"""
+SELECT doc_id, quality, toxic,
+       row_number() OVER (PARTITION BY quality ORDER BY u, doc_id)
+         <= round(count(*) OVER (PARTITION BY quality) * 0.3) AS is_test
+FROM (SELECT *, {hash_uniform_sql('doc_id', 42)} AS u FROM labels) t""")
+def stratified_split_q(spark, sf):
+    """M-02: exact per-class 70/30 split by a keyed hash (seed 42)."""
+    return stratified_split(D.table(spark, sf, "labels"), "quality", "doc_id", 0.3, 42)
+
+
+@query("sample_n", f"""
+SELECT * FROM events ORDER BY {hash_uniform_sql('event_id', 7)}, event_id LIMIT 100""")
+def sample_n_q(spark, sf):
+    """U-06: deterministic 100-row sample."""
+    return sample_n(D.table(spark, sf, "events"), 100, "event_id", seed=7)
+
+
+_SCEN = [("baseline", 1.0, 1.0), ("hot_engine", 1.1, 1.0), ("rough_ride", 1.0, 1.2)]
+
+
+@query("whatif", O.with_(*E1F) + """
+SELECT scenario, count(*) AS readings,
+       count(*) FILTER (WHERE CAST(((avg_engine_temp_7d * t / 700.0) + (avg_vibration_7d * v / 25.0)) * 0.5
+                                 + prev_anomaly * 0.3 + (days_since_maint / 100.0) * 0.2 AS DOUBLE) > 0.5) AS predicted_anomalies
+FROM feat, (VALUES """ + ", ".join(f"('{n}', {t}, {v})" for n, t, v in _SCEN) + """) s(scenario, t, v)
+GROUP BY scenario""")
+def whatif(spark, sf):
+    """R-14: re-score every feature row under modified sensor values; the
+    scenarios are a fixed literal list exploded per row (no join)."""
+    f = _chain(spark, sf)["features"]
+    scen = F.array(*[F.struct(F.lit(n).alias("scenario"), F.lit(t).alias("t"), F.lit(v).alias("v"))
+                     for n, t, v in _SCEN])
+    x = f.select("*", F.explode(scen).alias("s")).select(
+        "s.scenario", rule_score(F.col("avg_engine_temp_7d") * F.col("s.t"),
+                                 F.col("avg_vibration_7d") * F.col("s.v")).alias("p"))
+    return x.groupBy("scenario").agg(F.count(F.lit(1)).alias("readings"),
+                                     F.count_if(F.col("p") == 1).alias("predicted_anomalies"))
+
+
+# ---------------------------------------------------------------- sinks
+_SRC_SQL = """src AS (
+  SELECT o_orderkey, o_custkey, 'F' AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderstatus = 'O'
+  UNION ALL
+  SELECT o_orderkey + 1000000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderstatus = 'P')"""
+
+
+def _upsert_source(orders):
+    changed = orders.filter(F.col("o_orderstatus") == "O").withColumn("o_orderstatus", F.lit("F"))
+    new = orders.filter(F.col("o_orderstatus") == "P").withColumn(
+        "o_orderkey", F.col("o_orderkey") + F.lit(1_000_000_000))
+    return changed.unionByName(new)
+
+
+@query("keyed_upsert", O.with_(_SRC_SQL) + """
+SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM src) UNION ALL SELECT * FROM src""")
+def keyed_upsert(spark, sf):
+    """O-07: keyed upsert (changed rows replace, new keys append)."""
+    orders = D.table(spark, sf, "orders")
+    return X.upsert_frame(orders, _upsert_source(orders), ["o_orderkey"])
+
+
+@query("keyed_delete", "SELECT * FROM orders WHERE o_orderkey NOT IN "
+       "(SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')")
+def keyed_delete(spark, sf):
+    """O-08: delete by key list."""
+    orders = D.table(spark, sf, "orders")
+    return X.delete_keys(orders, orders.filter(F.col("o_orderstatus") == "P"), ["o_orderkey"])
+
+
+@query("flatten_kv", """
+SELECT event_id, event_type AS env, k AS config_key, json_extract_string(props, '$.' || k) AS config_value
+FROM events, unnest(json_keys(props)) AS t(k)""")
+def flatten_kv(spark, sf):
+    """F-10: JSON object → (id, env, key, value) rows, as the config store flattening."""
+    e = D.table(spark, sf, "events").withColumnRenamed("event_type", "env")
+    return flatten_json_kv(e, ["event_id", "env"], "props")
+
+
+@query("case_update", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CASE WHEN o_totalprice > 400000 THEN '1-URGENT' WHEN o_orderstatus = 'P' THEN '2-HIGH'
+            ELSE o_orderpriority END AS o_orderpriority
+FROM orders""")
+def case_update(spark, sf):
+    """O-10: UPDATE … SET priority = CASE … as a projection."""
+    o = D.table(spark, sf, "orders")
+    return X.case_update(o, "o_orderpriority", [(F.col("o_totalprice") > 400000, F.lit("1-URGENT")),
+                                                (F.col("o_orderstatus") == "P", F.lit("2-HIGH"))])
+
+
+@query("date_shift", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate + INTERVAL 30 DAY AS o_orderdate, o_orderpriority
+FROM orders""")
+def date_shift(spark, sf):
+    """O-11: rewrite with dates shifted by 30 days."""
+    return X.shift_dates(D.table(spark, sf, "orders"), ["o_orderdate"], 30)
+
+
+# ------------------------------------------------------------- streaming
+def _events_stream(spark, sf):
+    from ..streaming.ingest import parquet_stream
+    schema = D.table(spark, sf, "events").schema
+    return parquet_stream(spark, sf, "events.parquet", schema)
+
+
+@query("stream_ingest_clean", O.with_(O.SENSOR, O.CLEANED) + "SELECT * EXCLUDE (reading_id) FROM cleaned")
+def stream_ingest_clean(spark, sf):
+    """X-01 / X-02: exactly-once stream ingest → expectations → clean → Parquet sink."""
+    from ..streaming import ingest as I
+    from ..sources.driver import json_number
+    raw = _events_stream(spark, sf).filter(F.col("event_type") != "signup")
+    k, v = json_number("props", "k"), F.col("value")
+    readings = raw.select(
+        F.col("ts").alias("timestamp"), F.col("user_id").alias("aircraft_id"), F.col("user_id").alias("model"),
+        v.alias("engine_temp"), (F.lit(40.0) + k).alias("fuel_efficiency"), (k / 3.0).alias("vibration"),
+        (F.lit(30000.0) + v).alias("altitude"), (F.lit(400.0) + k).alias("airspeed"),
+        F.when(F.col("event_type") == "error", 1.0).otherwise(0.0).alias("anomaly_score"),
+        (F.lit(30.0) + v / 10.0).alias("oil_pressure"), (F.lit(1500) + k.cast("int") * 30).cast("int")
+        .alias("engine_rpm"), (F.lit(22.0) + k / 20.0).alias("battery_voltage"))
+    loc = I.scratch_location(spark, "ingest")
+    I.run_available(I.clean_stream(readings), f"{loc}/sink", f"{loc}/checkpoint")
+    return spark.read.schema(readings.schema).parquet(f"{loc}/sink")
+
+
+@query("stream_alerts", O.with_(O.COMP_RAW["engine"], O.comp_health("engine")) + """
+SELECT aircraft_id, component_id, 'Engine' AS component_type, health_status, event_timestamp AS alert_timestamp
+FROM engine_health WHERE health_status IN ('CRITICAL', 'WARNING')""")
+def stream_alerts(spark, sf):
+    """X-04: health rule on a stream, CRITICAL/WARNING appended per micro-batch."""
+    from ..streaming import ingest as I
+    from ..sources.driver import json_number
+    raw = _events_stream(spark, sf).filter(F.col("event_type") == "click")
+    k, v = json_number("props", "k"), F.col("value")
+    readings = raw.select(F.col("event_id").cast("string").alias("engine_id"), F.col("user_id").alias("aircraft_id"),
+                          F.col("ts").alias("event_timestamp"), (v * 100.0).alias("thrust_level"),
+                          (k / 20.0).alias("fuel_consumption_rate"), (F.lit(400.0) + v).alias("temperature_reading"),
+                          (k / 50.0).alias("vibration_level"), (F.lit(30.0) + k / 2.0).alias("oil_pressure"))
+    loc = I.scratch_location(spark, "alerts")
+    I.alert_stream(readings, S.COMPONENTS["engine"], f"{loc}/sink", f"{loc}/checkpoint")
+    schema = T.StructType([T.StructField("aircraft_id", T.LongType()), T.StructField("component_id", T.StringType()),
+                           T.StructField("component_type", T.StringType()),
+                           T.StructField("health_status", T.StringType()),
+                           T.StructField("alert_timestamp", T.TimestampNTZType())])
+    return spark.read.parquet(f"{loc}/sink").select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+
+# ------------------------------------------------------------------- model
+@query("rf_score")
+def rf_score(spark, sf):
+    """M-03 … M-10: random forest (100 trees, seed 42) on scaled sensor
+    features, trained on the 70 % split and scored on every row (rows-only)."""
+    feats = _chain(spark, sf)["features"].dropna(subset=M.SENSOR_MODEL_FEATURES + ["anomaly_score"])
+    keyed = feats.withColumn("__key", F.xxhash64("aircraft_id", "timestamp"))
+    split = stratified_split(keyed, "anomaly_score", "__key", 0.3, 42)
+    model = M.fit(split.filter(~F.col("is_test")), M.SENSOR_MODEL_FEATURES, "anomaly_score", num_trees=100)
+    return M.score(model, feats).select("aircraft_id", "timestamp", "anomaly_score", "predicted_anomaly")
