@@ -37,9 +37,17 @@ def any_of(rules, col_map=None) -> Column:
     return reduce(lambda a, b: a | b, [predicate(r, col_map) for r in rules])
 
 
-def classify(critical, warning, col_map=None,
-             labels=(S.HEALTH_CRITICAL, S.HEALTH_WARNING, S.HEALTH_NOMINAL)) -> Column:
-    """First matching level wins: CRITICAL, then WARNING, else NOMINAL."""
+def classify(critical, warning, col_map=None) -> Column:
+    """First matching level wins: CRITICAL, then WARNING, else NOMINAL.
+
+    Built from the rule table as one SQL expression (a single call to the
+    JVM instead of one per comparison); :func:`classify_columns` is the same
+    rule composed from Column objects."""
+    return F.expr(classify_sql(critical, warning, col_map))
+
+
+def classify_columns(critical, warning, col_map=None,
+                     labels=(S.HEALTH_CRITICAL, S.HEALTH_WARNING, S.HEALTH_NOMINAL)) -> Column:
     return (F.when(any_of(critical, col_map), labels[0])
             .when(any_of(warning, col_map), labels[1])
             .otherwise(labels[2]))
@@ -53,7 +61,7 @@ def _sql_lit(v):
 
 def predicate_sql(rule, col_map=None) -> str:
     name, op, value = rule
-    c = (col_map or {}).get(name, name)
+    c = "`" + (col_map or {}).get(name, name) + "`"
     if op == "in":
         return f"{c} IN ({', '.join(_sql_lit(x) for x in value)})"
     return f"{c} {_SQL_OPS[op]} {_sql_lit(value)}"

@@ -25,7 +25,7 @@ def drop_if_present(df: DataFrame, *cols) -> DataFrame:
     return df.drop(*cols)
 
 
-def select_or_null(df: DataFrame, target, cast_present: bool = True) -> DataFrame:
+def select_or_null(df: DataFrame, target, cast_present: bool = True, keep=()) -> DataFrame:
     """P-07 / O-05: project onto a target schema; missing columns become typed
     NULLs (or a default), present ones are cast to the target type (or kept
     as they are with ``cast_present=False``)."""
@@ -43,7 +43,7 @@ def select_or_null(df: DataFrame, target, cast_present: bool = True) -> DataFram
         else:
             c = (F.lit(default) if default is not None else F.lit(None)).cast(dtype)
         out.append(c.alias(name))
-    return df.select(*out)
+    return df.select(*out, *[F.col(k) for k in keep])
 
 
 def empty_like(spark, schema) -> DataFrame:

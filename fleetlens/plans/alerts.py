@@ -8,7 +8,7 @@ of the same batch is repeatable (F-06).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -31,14 +31,15 @@ def alerts_from_predictions(predictions: DataFrame, run_ts: str, batch: str | No
             .withColumn("batch_id", F.lit(batch) if batch else batch_id(run_ts)))
 
 
-def unify_alerts(alerts_long: DataFrame, spark, run_ts: str) -> DataFrame:
+def unify_alerts(alerts_long: DataFrame, spark, run_ts: str, passthrough=()) -> DataFrame:
     """T-13: the unified alert view.
 
     ``alerts_long`` needs component_id plus any of timestamp, aircraft_id,
     predicted_anomaly, alert_day, batch_id (missing ones become typed NULLs,
     P-07)."""
     required = [("component_id", S.S)] + [(n, t) for n, t in S.UNIFIED_ALERT_REQUIRED]
-    base = select_or_null(alerts_long, [(n, T_ntz(t)) for n, t in required], cast_present=False)
+    base = select_or_null(alerts_long, [(n, T_ntz(t)) for n, t in required], cast_present=False,
+                          keep=list(passthrough))
     cfg = alert_components(spark)
     u = ref_join(base, cfg, on="component_id", how="inner")
     return u.select(
@@ -51,7 +52,7 @@ def unify_alerts(alerts_long: DataFrame, spark, run_ts: str) -> DataFrame:
         F.to_date("timestamp").alias("alert_date"),
         F.hour("timestamp").alias("alert_hour"),
         alert_severity().alias("alert_severity"),
-        alert_category().alias("alert_category"))
+        alert_category().alias("alert_category"), *passthrough)
 
 
 def T_ntz(t):
@@ -85,6 +86,25 @@ def traceability(unified: DataFrame, predictions_long: DataFrame, run_ts: str) -
             .withColumn("trace_created_at", run_ts_col(run_ts)))
 
 
+def traceability_from_predictions(predictions_long: DataFrame, spark, run_ts: str,
+                                  batch: str | None = None) -> DataFrame:
+    """T-14 in one pass when alerts and inferences come from the same long
+    prediction frame: the inference side per (component, aircraft, timestamp)
+    is a window aggregate over that key, so alerts carry it without a join
+    (one shuffle on the key instead of two shuffles and a join)."""
+    rest = [c for c in predictions_long.columns if c not in TRACE_KEYS]
+    w = Window.partitionBy(*TRACE_KEYS)
+    p = predictions_long.select(
+        "*", F.max_by(F.struct(*rest), F.struct(*rest)).over(w).alias("__i"),
+        F.count(F.lit(1)).over(w).alias("inf_matches"))
+    alerts = alerts_from_predictions(p, run_ts, batch)
+    u = unify_alerts(alerts, spark, run_ts, passthrough=["__i", "inf_matches"])
+    return (u.select(*[c for c in u.columns if c not in ("__i", "inf_matches")],
+                     *[F.col(f"__i.{c}").alias(f"inf_{c}") for c in rest], "inf_matches")
+            .withColumn("inference_table", F.col("inference_source"))
+            .withColumn("trace_created_at", run_ts_col(run_ts)))
+
+
 def alert_summary(unified: DataFrame, approx: bool = False) -> DataFrame:
     """A-03: per component, category, severity and day: alerts and distinct aircraft."""
     distinct = (F.approx_count_distinct("aircraft_id") if approx else F.count_distinct("aircraft_id"))

@@ -16,7 +16,7 @@ def health_frames(spark, sf, keys=O.COMP_KEYS):
 
 
 def view(spark, sf):
-    return C.component_view(health_frames(spark, sf))
+    return D.memo("component_view", spark, sf, build=lambda: C.component_view(health_frames(spark, sf)))
 
 
 def _round(df, cols, d=6):

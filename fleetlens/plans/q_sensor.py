@@ -23,8 +23,10 @@ def _inputs(spark, sf):
 
 
 def _chain(spark, sf, how="inner", skew_bucket=None):
-    r, m, mo = _inputs(spark, sf)
-    return sensor.run(r, m, mo, how=how, skew_bucket=skew_bucket)
+    def build():
+        r, m, mo = _inputs(spark, sf)
+        return sensor.run(r, m, mo, how=how, skew_bucket=skew_bucket)
+    return D.memo("sensor_chain", spark, sf, how, getattr(skew_bucket, "__name__", None), build=build)
 
 
 def _sql_round(cols, d=6):

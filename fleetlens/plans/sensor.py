@@ -88,12 +88,40 @@ def aircraft_view(engine: DataFrame) -> DataFrame:
     return engine.select("aircraft_id", "timestamp", "engine_health_status", "predicted_anomaly")
 
 
-def run(readings, maintenance, models, how="inner", skew_bucket=None):
-    """Whole E1 chain; returns a dict of the derived frames (lazy)."""
-    kept, quarantined = clean(readings)
-    enr = enriched(kept, maintenance, models, how=how, skew_bucket=skew_bucket)
-    feats = sensor_features(enr, skew_bucket=skew_bucket)
-    preds = prediction_results(feats)
-    eng = engine_view(preds)
-    return {"cleaned": kept, "quarantined": quarantined, "enriched": enr, "features": feats,
-            "predictions": preds, "engine_view": eng, "aircraft_view": aircraft_view(eng)}
+class SensorChain:
+    """The E1 chain with every stage built lazily, once (``chain["features"]``)."""
+
+    STAGES = ("cleaned", "quarantined", "enriched", "features", "predictions", "engine_view", "aircraft_view")
+
+    def __init__(self, readings, maintenance, models, how="inner", skew_bucket=None):
+        self._in = (readings, maintenance, models)
+        self._how, self._bucket = how, skew_bucket
+        self._built = {}
+
+    def _build(self, stage):
+        r, m, mo = self._in
+        if stage in ("cleaned", "quarantined"):
+            kept, q = clean(r)
+            self._built.update(cleaned=kept, quarantined=q)
+            return self._built[stage]
+        if stage == "enriched":
+            return enriched(self["cleaned"], m, mo, how=self._how, skew_bucket=self._bucket)
+        if stage == "features":
+            return sensor_features(self["enriched"], skew_bucket=self._bucket)
+        if stage == "predictions":
+            return prediction_results(self["features"])
+        if stage == "engine_view":
+            return engine_view(self["predictions"])
+        if stage == "aircraft_view":
+            return aircraft_view(self["engine_view"])
+        raise KeyError(stage)
+
+    def __getitem__(self, stage):
+        if stage not in self._built:
+            self._built[stage] = self._build(stage)
+        return self._built[stage]
+
+
+def run(readings, maintenance, models, how="inner", skew_bucket=None) -> SensorChain:
+    """Whole E1 chain; stages are built on first access (all lazy DataFrames)."""
+    return SensorChain(readings, maintenance, models, how=how, skew_bucket=skew_bucket)
