@@ -93,8 +93,9 @@ def validate_not_null(df: DataFrame, keys, label: str = "check") -> DataFrame:
     """P-16: CHECK (keys NOT NULL) enforced row by row; the job fails on a violation."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    return df.withColumn("__chk", F.when(ok, F.lit(True)).otherwise(
-        F.raise_error(F.lit(f"CHECK constraint {label} violated: NULL in {keys}")))).drop("__chk")
+    # a filter predicate is always evaluated (a dropped column would be pruned)
+    return df.filter(F.when(ok, F.lit(True)).otherwise(
+        F.raise_error(F.lit(f"CHECK constraint {label} violated: NULL in {keys}")).cast("boolean")))
 
 
 def row_counts(tables: dict) -> DataFrame:

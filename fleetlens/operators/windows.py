@@ -84,19 +84,21 @@ def _rolling_halo(df, keys, order, lags, avgs, n, bucket):
 
 
 def dedupe(df: DataFrame, keys, order=None) -> DataFrame:
-    """Keep one row per key: the greatest by ``order`` (then by all columns).
+    """Keep one row per key: the greatest by ``order``, then by every other
+    column (descending, NULLs last), so the survivor never depends on
+    shuffle order (K3).
 
-    Uses ``max_by`` so Spark combines map-side before the shuffle: a hot key is
-    reduced to one row per input partition, not shuffled whole.
-    """
+    ``row_number() = 1`` lets Catalyst insert a partial window-group-limit
+    *before* the shuffle: every map task forwards at most one row per key,
+    so a hot key is reduced map-side like a partial aggregate."""
     keys = _cols(keys)
     rest = [c for c in df.columns if c not in keys]
-    ord_cols = _order_exprs(order or []) + [F.col(c) for c in rest]
     if not rest:
         return df.select(*keys).distinct()
-    best = F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(*ord_cols)).alias("__best")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__best.{c}").alias(c) for c in rest]) \
-        .select(*df.columns)
+    ord_cols = [o.desc_nulls_last() if not isinstance(o, str) else F.col(o).desc_nulls_last()
+                for o in _cols(order or [])] + [F.col(c).desc_nulls_last() for c in rest]
+    w = Window.partitionBy(*keys).orderBy(*ord_cols)
+    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
 def latest_by(df: DataFrame, keys, order) -> DataFrame:

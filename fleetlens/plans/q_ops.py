@@ -383,3 +383,36 @@ def rf_score(spark, sf):
     split = stratified_split(keyed, "anomaly_score", "__key", 0.3, 42)
     model = M.fit(split.filter(~F.col("is_test")), M.SENSOR_MODEL_FEATURES, "anomaly_score", num_trees=100)
     return M.score(model, feats).select("aircraft_id", "timestamp", "anomaly_score", "predicted_anomaly")
+
+
+# -------------------------------------------------------------- generators
+def _fleet(spark, sf):
+    """Aircraft with telemetry: customers that occur in events (model = segment)."""
+    c = D.table(spark, sf, "customer")
+    users = D.table(spark, sf, "events").select(F.col("user_id").alias("c_custkey"))
+    return c.join(users, "c_custkey", "left_semi").select(
+        F.col("c_custkey").alias("aircraft_id"), F.col("c_mktsegment").alias("model"))
+
+
+@query("gen_sensor")
+def gen_sensor(spark, sf):
+    """G-01 / G-02: a year of daily readings for every aircraft with telemetry (rows-only)."""
+    from ..sources import generate as G
+    return G.sensor_days(_fleet(spark, sf))
+
+
+@query("gen_maintenance")
+def gen_maintenance(spark, sf):
+    """G-03 (rows-only)."""
+    from ..sources import generate as G
+    return G.maintenance(_fleet(spark, sf))
+
+
+@query("gen_component")
+def gen_component(spark, sf):
+    """G-04 … G-12: 100 readings per aircraft for each of the nine twins (rows-only)."""
+    from ..sources import generate as G
+    from ..operators.sets import union_by_name
+    fleet = _fleet(spark, sf)
+    return union_by_name([G.component_records(k, fleet, "2024-12-31 00:00:00").withColumn("component", F.lit(k))
+                          for k in G.COMPONENT_RANGES])

@@ -57,29 +57,55 @@ def recreate_and_append(spark: SparkSession, df: DataFrame, path: str, condition
 
 
 # ----------------------------------------------------------- versioned tables
+def _log_path(root):
+    return f"{root.rstrip('/')}/_versions"
+
+
+def _data_path(root):
+    return f"{root.rstrip('/')}/data"
+
+
 def _latest_version(spark: SparkSession, root: str):
+    """(version, schema) of the last committed version, or (None, None)."""
     try:
-        t = spark.read.parquet(root)
+        log = spark.read.parquet(_log_path(root))
     except Exception as e:  # noqa: BLE001
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e) or "does not exist" in str(e):
             return None, None
         raise
-    v = t.agg(F.max(VERSION_COL)).first()[0]   # one-row lookup
-    return t, v
+    row = log.orderBy(F.col(VERSION_COL).desc()).select(VERSION_COL, "schema_json").first()  # one-row lookup
+    if row is None:
+        return None, None
+    from pyspark.sql.types import StructType
+    import json
+    return row[0], StructType.fromJson(json.loads(row[1]))
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
-    """Current content of a versioned table (partition-pruned to the last version)."""
-    t, v = _latest_version(spark, root)
-    if t is None:
+    """Current content of a versioned table (partition-pruned to the last
+    committed version; an empty version reads as an empty frame)."""
+    v, schema = _latest_version(spark, root)
+    if v is None:
         raise FileNotFoundError(root)
-    return t.filter(F.col(VERSION_COL) == v).drop(VERSION_COL)
+    from pyspark.sql.types import IntegerType, StructField, StructType
+    full = StructType(list(schema.fields) + [StructField(VERSION_COL, IntegerType())])
+    try:
+        data = spark.read.schema(full).option("basePath", _data_path(root)).parquet(_data_path(root))
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return spark.createDataFrame([], schema)
+        raise
+    return data.filter(F.col(VERSION_COL) == v).drop(VERSION_COL)
 
 
 def write_version(spark: SparkSession, root: str, df: DataFrame) -> int:
-    _, v = _latest_version(spark, root)
+    """Write ``df`` as the next version: data first, then the log row that
+    commits it (a failed data job leaves the previous version current)."""
+    v, _ = _latest_version(spark, root)
     nv = 0 if v is None else int(v) + 1
-    df.withColumn(VERSION_COL, F.lit(nv)).write.mode("append").partitionBy(VERSION_COL).parquet(root)
+    df.withColumn(VERSION_COL, F.lit(nv)).write.mode("append").partitionBy(VERSION_COL).parquet(_data_path(root))
+    spark.createDataFrame([(nv, df.schema.json())], f"{VERSION_COL} int, schema_json string") \
+        .write.mode("append").parquet(_log_path(root))
     return nv
 
 
@@ -98,9 +124,11 @@ def assert_unique(df: DataFrame, keys, label: str = "key") -> DataFrame:
     """Rows pass through; a key occurring twice fails the job (checked per key
     partition, no driver round trip)."""
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    # the check sits in a filter predicate: a projected-then-dropped column
+    # would be pruned by the optimizer and never evaluated
     return (df.withColumn("__n", n)
-            .withColumn("__n", F.when(F.col("__n") == 1, F.col("__n"))
-                        .otherwise(F.raise_error(F.lit(f"duplicate {label} {keys}"))))
+            .filter(F.when(F.col("__n") == 1, F.lit(True))
+                    .otherwise(F.raise_error(F.lit(f"duplicate {label} {keys}")).cast("boolean")))
             .drop("__n"))
 
 
