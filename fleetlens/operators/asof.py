@@ -45,15 +45,26 @@ def _prepare(left, right, keys, left_on, right_on, right_cols, tie):
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys, left_on, right_on, right_cols,
-              tie=None, how: str = "inner", bucket=None) -> DataFrame:
+              tie=None, how: str = "inner", bucket=None, skew: str = "off") -> DataFrame:
     """Attach to each left row the latest right row with ``right_on <= left_on``.
 
     ``left_on``/``right_on`` are column names or expressions of the same type.
     ``tie`` orders right rows sharing the same ``right_on`` (greatest wins).
     ``how='inner'`` drops left rows without a match (the original behaviour),
     ``'left'`` keeps them with NULLs.
+    ``bucket`` forces the two-level plan; ``skew='auto'`` probes the left side
+    for hot keys (or takes a probed list / 'all') and sends only those through it.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if bucket is None and skew not in ("off", None):
+        from . import skew as K
+        hot = K.resolve(left, keys, skew)
+        if hot is None:
+            bucket = K.day_bucket
+        elif hot:
+            (ln, lh), (rn, rh) = K.route([left, right], keys, hot)
+            kw = dict(keys=keys, left_on=left_on, right_on=right_on, right_cols=right_cols, tie=tie, how=how)
+            return asof_join(ln, rn, **kw).unionByName(asof_join(lh, rh, bucket=K.day_bucket, **kw))
     u, lcols, order, ntie = _prepare(left, right, keys, left_on, right_on, right_cols, tie)
     if bucket is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

@@ -27,7 +27,7 @@ def _order_exprs(order):
 
 def rolling_features(df: DataFrame, keys, order, lags=None, avgs=None, n: int = 7,
                      frame: str = "rows", range_col=None, range_seconds: int | None = None,
-                     bucket=None) -> DataFrame:
+                     bucket=None, skew: str = "off") -> DataFrame:
     """Add ``lag(src, 1)`` columns and trailing means over the last ``n`` rows.
 
     lags / avgs: ``{new_name: source_column}`` (insertion ordered).
@@ -35,13 +35,26 @@ def rolling_features(df: DataFrame, keys, order, lags=None, avgs=None, n: int =
     frame='range' → true time window of ``range_seconds`` ending at the row
                     (``range_col`` is a timestamp/date column).
     bucket        → function Column→Column giving a time bucket of the first
-                    ordering column; enables the skew-safe halo plan (rows only).
+                    ordering column; forces the skew-safe halo plan (rows only).
+    skew          → 'auto' probes for hot keys (``operators.skew``), or pass an
+                    already probed hot-key list / 'all'; hot keys take the halo
+                    plan, every other key the single-window plan.
     All expressions share one window spec, hence one Exchange + Sort.
     """
     keys, order = _cols(keys), _order_exprs(order)
     lags, avgs = dict(lags or {}), dict(avgs or {})
     if bucket is not None and frame == "rows":
         return _rolling_halo(df, keys, order, lags, avgs, n, bucket)
+    if skew not in ("off", None) and frame == "rows":
+        from . import skew as K
+        hot = K.resolve(df, keys, skew)
+        if hot is None:
+            return _rolling_halo(df, keys, order, lags, avgs, n, K.day_bucket)
+        if hot:
+            (normal, hot_rows), = K.route([df], keys, hot)
+            a = rolling_features(normal, keys, order, lags, avgs, n)
+            b = _rolling_halo(hot_rows, keys, order, lags, avgs, n, K.day_bucket)
+            return a.unionByName(b.select(*a.columns))
     base = Window.partitionBy(*keys).orderBy(*order)
     if frame == "rows":
         roll = base.rowsBetween(-(n - 1), 0)

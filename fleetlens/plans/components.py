@@ -25,7 +25,7 @@ def health(df: DataFrame, spec: S.ComponentSpec) -> DataFrame:
 
 
 def features(health_df: DataFrame, spec: S.ComponentSpec, keys=("aircraft_id",), n: int = S.ROLLING_ROWS,
-             skew_bucket=None) -> DataFrame:
+             skew_bucket=None, skew="auto") -> DataFrame:
     """T-09 (W-07 … W-15): lags and 7-row means in one window pass.
 
     Default partition is the aircraft (as the original, K5); pass
@@ -34,7 +34,7 @@ def features(health_df: DataFrame, spec: S.ComponentSpec, keys=("aircraft_id",),
     metric, so duplicates of a reading cannot change the result."""
     order = ["event_timestamp", "component_id", *spec.metric_names]
     return rolling_features(health_df, list(keys), order, lags=dict(spec.lags), avgs=dict(spec.avgs),
-                            n=n, bucket=skew_bucket)
+                            n=n, bucket=skew_bucket, skew=skew)
 
 
 def component_view(frames: dict) -> DataFrame:

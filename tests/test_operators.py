@@ -174,3 +174,24 @@ def test_flatten_struct(spark):
                                "env string, cfg struct<db: struct<host: string, port: int>, name: string>")
     out = sorted(tuple(r) for r in flatten_struct_kv(df, ["env"], "cfg").collect())
     assert out == [("dev", "db.host", "x"), ("dev", "db.port", "1"), ("dev", "name", "y")]
+
+
+def test_hot_key_routing_equals_plain(spark):
+    from fleetlens.operators import skew as K
+    rnd = random.Random(3)
+    base = dt.datetime(2024, 1, 1)
+    rows = [("HOT" if i % 3 else f"K{i % 11}", base + dt.timedelta(hours=i), i, float(rnd.randint(0, 99)))
+            for i in range(1500)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, id int, x double")
+    hot = K.probe_hot_keys(df, ["k"], limit=200)
+    assert hot == [("HOT",)]
+    kw = dict(keys=["k"], order=["ts", "id"], lags={"px": "x"}, avgs={"ax": "x"})
+    plain = rolling_features(df, **kw).select("id", "px", F.round("ax", 9))
+    routed = rolling_features(df, skew=hot, **kw).select("id", "px", F.round("ax", 9))
+    every = rolling_features(df, skew="all", **kw).select("id", "px", F.round("ax", 9))
+    assert _rows(plain, ["id"]) == _rows(routed, ["id"]) == _rows(every, ["id"])
+    m = spark.createDataFrame([("HOT", dt.date(2024, 1, 10), 1), ("K1", dt.date(2024, 1, 2), 2)],
+                              "k string, d date, mid int")
+    akw = dict(keys=["k"], left_on=F.to_date("ts"), right_on="d", right_cols=["d", "mid"], tie=["mid"], how="left")
+    assert _rows(asof_join(df, m, **akw), ["id"]) == _rows(asof_join(df, m, skew=hot, **akw), ["id"]) \
+        == _rows(asof_join(df, m, skew="all", **akw), ["id"])
