@@ -134,3 +134,18 @@ def drift_report(reference: DataFrame, current: DataFrame, cols, by: str) -> Dat
                               F.col(f"{c}__rs").alias("ref_stddev"),
                               ((F.col(f"{c}__cm") - F.col(f"{c}__rm")) / F.col(f"{c}__rs")).alias("shift")))
     return j.select(by, "rows", F.explode(F.array(*parts)).alias("d")).select(by, "rows", "d.*")
+
+
+def component_training_frame(health_df: DataFrame, spec):
+    """M-11: label = status is not NOMINAL, features = the spec's numeric metrics."""
+    feats = [n for n, t in spec.metrics if t.typeName() in ("double", "integer")]
+    return health_df.select(*feats, (F.col("health_status") != "NOMINAL").cast("double").alias("label")), feats
+
+
+def train_component_models(frames: dict, specs: dict, num_trees: int = 100, seed: int = 42) -> dict:
+    """M-11: one forest per component twin (each with its own features)."""
+    out = {}
+    for key, df in frames.items():
+        train, feats = component_training_frame(df, specs[key])
+        out[key] = fit(train.dropna(), feats, "label", num_trees=num_trees, seed=seed)
+    return out

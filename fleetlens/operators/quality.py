@@ -145,3 +145,11 @@ def sanity_row(sensor: DataFrame, twins: dict, component_alerts: DataFrame,
                          "value"))
     names.extend(alert_names)
     return one_row(reduce(DataFrame.unionByName, parts), names)
+
+
+def profile(df: DataFrame, sample_rows: int = 5):
+    """P-18: (one-row frame of row count + per-column NULL counts, a small
+    sample).  Both stay lazy; the sample is a bounded ``limit``."""
+    stats = df.agg(F.count(F.lit(1)).alias("row_count"),
+                   *[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in df.columns])
+    return stats, df.limit(sample_rows)

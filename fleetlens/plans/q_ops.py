@@ -416,3 +416,81 @@ def gen_component(spark, sf):
     fleet = _fleet(spark, sf)
     return union_by_name([G.component_records(k, fleet, "2024-12-31 00:00:00").withColumn("component", F.lit(k))
                           for k in G.COMPONENT_RANGES])
+
+
+# ----------------------------------------------------------- more coverage
+@query("sql_records_per_type", O.with_(*O.comp_ctes(O.COMP_KEYS), O.comp_view()) + """
+SELECT aircraft_id, component_type, count(*) AS total_records FROM comp_view
+GROUP BY aircraft_id, component_type""")
+def sql_records_per_type(spark, sf):
+    """S-21 / A-05: the post-run summary as embedded SQL over a temp view."""
+    from ..sources.files import sql_over
+    return sql_over(spark, {"digital_twin_component_view": view(spark, sf)}, """
+        SELECT aircraft_id, component_type, COUNT(*) AS total_records
+        FROM digital_twin_component_view GROUP BY aircraft_id, component_type""")
+
+
+@query("daily_status_counts", O.with_(*O.comp_ctes(O.COMP_KEYS), O.comp_view()) + """
+SELECT CAST(event_timestamp AS DATE) AS day, aircraft_id, health_status, count(*) AS readings
+FROM comp_view GROUP BY ALL""")
+def daily_status_counts(spark, sf):
+    """A-07: readings per day, aircraft and health status."""
+    return view(spark, sf).groupBy(F.to_date("event_timestamp").alias("day"), "aircraft_id", "health_status") \
+        .agg(F.count(F.lit(1)).alias("readings"))
+
+
+@query("profile", "SELECT count(*) AS row_count, " + ", ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL) AS {c}_nulls"
+    for c in ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
+    + " FROM orders")
+def profile_q(spark, sf):
+    """P-18: row count and NULL counts (the sample part is a bounded limit)."""
+    from ..operators.quality import profile
+    return profile(D.table(spark, sf, "orders"))[0]
+
+
+@query("config_lookup", """
+SELECT k AS config_key, json_extract_string(props, '$.' || k) AS config_value, event_id
+FROM events, unnest(json_keys(props)) AS t(k) WHERE event_type = 'click'""")
+def config_lookup(spark, sf):
+    """O-09: one environment of the flattened key/value store as a lookup frame."""
+    e = D.table(spark, sf, "events").withColumnRenamed("event_type", "env")
+    kv = flatten_json_kv(e, ["event_id", "env"], "props")
+    return kv.filter(F.col("env") == "click").select("config_key", "config_value", "event_id")
+
+
+def _model_metrics_sql():
+    score = ("((avg_engine_temp_7d / 700.0) + (avg_vibration_7d / 25.0)) * 0.5 + prev_anomaly * 0.3 "
+             "+ (days_since_maint / 100.0) * 0.2")
+    parts = []
+    for i, c in enumerate(_CUTS):
+        src = (f"(SELECT anomaly_score AS y, CAST(CAST({score} AS DOUBLE) > {c} AS INTEGER) AS p "
+               f"FROM feat WHERE prev_anomaly IS NOT NULL)")
+        parts.append(f"SELECT 'aircraft_rule' AS model, {i + 1} AS version, tp, fp, fn, tn, precision, recall, f1 "
+                     "FROM (" + _PRF_SQL.format(y="y", p="p", src=src) + ") x")
+    return O.with_(*E1F) + "\nUNION ALL\n".join(parts)
+
+
+@query("model_metrics", _model_metrics_sql())
+def model_metrics(spark, sf):
+    """Q-13 / M-05: metrics by model version (versions = cut-offs of the rule model)."""
+    feats = _chain(spark, sf)["features"].filter(F.col("prev_anomaly").isNotNull())
+    out = None
+    for i, c in enumerate(_CUTS):
+        scored = feats.select(F.col("anomaly_score").alias("y"), rule_score(params={"cut": c}).alias("p"))
+        m = _r(M.precision_recall_f1(scored, "y", "p"), ["precision", "recall", "f1"]).select(
+            F.lit("aircraft_rule").alias("model"), F.lit(i + 1).alias("version"), "*")
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+@query("trace_lookup", O.with_(*O.mart_ctes(), O.TRACE) + """
+SELECT t.* FROM trace t WHERE t.inference_trace_id IN (
+  SELECT inference_trace_id FROM unified WHERE alert_category = 'CRITICAL' AND alert_hour = 12)""")
+def trace_lookup(spark, sf):
+    """J-11 / Q-12 / Q-20: alert details with their inference rows for a set of
+    trace ids (semi join on the id set; the id is for lookup, not a key)."""
+    from .q_alerts import trace, unified
+    ids = unified(spark, sf).filter((F.col("alert_category") == "CRITICAL") & (F.col("alert_hour") == 12)) \
+        .select("inference_trace_id")
+    return trace(spark, sf).join(ids, "inference_trace_id", "left_semi")

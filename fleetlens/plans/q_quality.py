@@ -129,8 +129,7 @@ def schema_align(spark, sf):
 
 def _sanity_sql():
     sensor_cols = ["timestamp", "aircraft_id", "engine_temp", "fuel_efficiency", "vibration"]
-    twins = {"engine": "engine_raw", "avionics": "avionics_raw", "electrical": "electrical_raw",
-             "hydraulic": "hydraulic_raw", "fuel": "fuel_raw"}
+    twins = {k: f"{k}_raw" for k in O.COMP_KEYS}
     sel = [f"(SELECT count(*) FILTER (WHERE \"{c}\" IS NULL) FROM feat) AS sensor_{c}_nulls" for c in sensor_cols]
     sel += ["(SELECT count(*) FILTER (WHERE COALESCE(engine_temp > 1000 OR engine_temp < 0 OR vibration < 0, FALSE))"
             " FROM feat) AS sensor_out_of_range",

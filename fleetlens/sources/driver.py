@@ -163,7 +163,61 @@ def fuel_readings(spark, sf_dir) -> DataFrame:
                      .otherwise("NONE").alias("anomaly_flag"))
 
 
+def landing_gear_readings(spark, sf_dir) -> DataFrame:
+    """Landing gear twin from ``orders`` (aircraft = customer, time = order date).
+
+    Metrics derive from the whole part of the price so every value has at most
+    four decimals (7-row means then never sit on a rounding tie)."""
+    o, p = table(spark, sf_dir, "orders"), F.floor("o_totalprice")
+    return o.select(F.col("o_orderkey").cast("string").alias("gear_id"), F.col("o_custkey").alias("aircraft_id"),
+                    F.col("o_orderdate").alias("event_timestamp"), (F.lit(2000.0) + p / 500.0).alias("hydraulic_pressure"),
+                    (F.lit(0.1) + F.floor(p / 1000.0) / 2500.0).alias("strut_compression"),
+                    (p / 5000.0).alias("brake_wear"),
+                    (F.lit(100.0) + p / 1000.0).alias("brake_temperature"),
+                    (F.lit(50.0) + p / 10000.0).alias("shock_absorber_status"))
+
+
+def cabin_readings(spark, sf_dir) -> DataFrame:
+    """Cabin pressurisation twin from ``lineitem`` (aircraft = supplier)."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_partkey").cast("string").alias("cabin_id"), F.col("l_suppkey").alias("aircraft_id"),
+                     F.col("l_shipdate").alias("event_timestamp"),
+                     (F.lit(9.5) + F.col("l_tax") * 30.0).alias("cabin_pressure"),
+                     (F.lit(80.0) + F.col("l_discount") * 200.0).alias("seal_integrity"),
+                     (F.lit(250.0) + F.col("l_quantity") * 5.0).alias("airflow_rate"),
+                     (F.lit(18.0) + F.col("l_linenumber").cast("double")).alias("temperature_control"),
+                     (F.lit(30.0) + F.col("l_quantity") / 2.5).alias("humidity_level"))
+
+
+def airframe_readings(spark, sf_dir) -> DataFrame:
+    """Airframe twin from ``orders`` (whole part of the price, as landing gear)."""
+    o, p = table(spark, sf_dir, "orders"), F.floor("o_totalprice")
+    return o.select(F.col("o_orderkey").cast("string").alias("airframe_id"), F.col("o_custkey").alias("aircraft_id"),
+                    F.col("o_orderdate").alias("event_timestamp"), (F.lit(150.0) + p / 3500.0).alias("stress_points"),
+                    (p / 55000.0).alias("fatigue_crack_growth"), (p / 4500.0 - 50.0).alias("temperature_fluctuations"),
+                    (F.lit(100.0) - p / 10000.0).alias("structural_integrity"))
+
+
+def environmental_readings(spark, sf_dir) -> DataFrame:
+    """Environmental twin: every event carries the weather seen by the aircraft."""
+    e = table(spark, sf_dir, "events")
+    k, v = json_number("props", "k"), F.col("value")
+    t = F.col("event_type")
+    return e.select(F.col("event_id").cast("string").alias("environmental_id"), F.col("user_id").alias("aircraft_id"),
+                    F.col("ts").alias("event_timestamp"), (v / 5.0 - 60.0).alias("external_temperature"),
+                    k.alias("humidity"), (v / 3.3).alias("wind_speed"), (k * 0.3).alias("crosswind_impact"),
+                    F.when(t == "click", "RAIN").when(t == "view", "SNOW").when(t == "error", "STORM")
+                    .otherwise("CLEAR").alias("precipitation"),
+                    (F.lit(900.0) + v * 0.41).alias("atmospheric_pressure"),
+                    F.when(k >= 97, "THUNDERSTORM").when(k >= 94, "SEVERE_WIND").when(k >= 85, "TURBULENCE")
+                    .otherwise("NONE").alias("extreme_event"))
+
+
 COMPONENT_SOURCES = {
+    "environmental": environmental_readings,
+    "landing_gear": landing_gear_readings,
+    "cabin": cabin_readings,
+    "airframe": airframe_readings,
     "engine": engine_readings,
     "avionics": avionics_readings,
     "electrical": electrical_readings,

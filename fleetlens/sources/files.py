@@ -88,3 +88,11 @@ def header_report(spark: SparkSession, path: str, expected_cols) -> DataFrame:
     expected = ",".join(expected_cols)
     return first.select("file_path", "header",
                         (F.regexp_replace("header", r"\s", "") == F.lit(expected)).alias("matches"))
+
+
+def sql_over(spark: SparkSession, views: dict, text: str) -> DataFrame:
+    """S-21: register frames as temp views and run SQL text over them
+    (Catalyst plans SQL and DataFrame code identically)."""
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return spark.sql(text)

@@ -80,3 +80,27 @@ def scratch_location(spark: SparkSession, name: str) -> str:
     import uuid
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/streams/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def latest_state_stream(stream_df: DataFrame, root: str, checkpoint: str, keys, order):
+    """X-05: keep a latest-row-per-key table current from a stream.
+
+    Each micro-batch is merged with the current version (union → latest per
+    key) and written as a new version of the versioned table (O-07); a
+    retried batch produces the same content, so replays are harmless."""
+    from ..operators.windows import latest_by
+    from ..sinks.tables import read_current, write_version
+
+    def merge(batch: DataFrame, epoch: int):
+        spark = batch.sparkSession
+        try:
+            cur = read_current(spark, root)
+            merged = latest_by(cur.unionByName(batch), keys, order)
+        except FileNotFoundError:
+            merged = latest_by(batch, keys, order)
+        write_version(spark, root, merged)
+
+    q = (stream_df.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q

@@ -65,3 +65,13 @@ def test_pushdown_and_pruning(spark, sf):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double,props:string>" in p
     p2 = _plan(queries()["null_key_count"](spark, sf))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in p2
+
+
+def test_component_models(spark, sf):
+    from fleetlens import schemas as S
+    from fleetlens.plans.q_components import health_frames
+    frames = health_frames(spark, sf, ["engine", "electrical"])
+    models = M.train_component_models(frames, S.COMPONENTS, num_trees=5)
+    assert set(models) == {"engine", "electrical"}
+    train, feats = M.component_training_frame(frames["engine"], S.COMPONENTS["engine"])
+    assert M.score(models["engine"], train).count() == train.count()

@@ -48,3 +48,20 @@ def test_alert_stream(spark, tmp_path):
     got = spark.read.parquet(f"{tmp_path}/alerts")
     assert got.count() == 7      # temperature 700 is not > 700
     assert got.filter("health_status = 'CRITICAL'").count() == 2
+
+
+def test_latest_state_stream(spark, tmp_path):
+    from fleetlens.sinks.tables import read_current
+    from pyspark.sql import functions as F
+    src = f"{tmp_path}/in"
+    _drop(f"{src}/a.csv", [_row(i, 600 + i) for i in range(6)])
+    stream = I.sensor_stream(spark, src).select("aircraft_id", "timestamp", "engine_temp")
+    I.latest_state_stream(stream, f"{tmp_path}/state", f"{tmp_path}/ck", ["aircraft_id"], ["timestamp"])
+    _drop(f"{src}/b.csv", [_row(30 + i, 500) for i in range(3)])
+    stream = I.sensor_stream(spark, src).select("aircraft_id", "timestamp", "engine_temp")
+    I.latest_state_stream(stream, f"{tmp_path}/state", f"{tmp_path}/ck", ["aircraft_id"], ["timestamp"])
+    cur = {r.aircraft_id: r.engine_temp for r in read_current(spark, f"{tmp_path}/state").collect()}
+    batch = files.read_sensor_csv(spark, src)
+    exp = {r.aircraft_id: r.engine_temp for r in batch.groupBy("aircraft_id").agg(
+        F.max_by("engine_temp", "timestamp").alias("engine_temp")).collect()}
+    assert cur == exp
