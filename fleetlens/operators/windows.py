@@ -60,7 +60,7 @@ def rolling_features(df: DataFrame, keys, order, lags=None, avgs=None, n: int =
         roll = base.rowsBetween(-(n - 1), 0)
     elif frame == "range":
         rc = F.col(range_col) if isinstance(range_col, str) else range_col
-        secs = rc.cast("timestamp").cast("long")
+        secs = _epoch_seconds(df, rc, range_col)
         roll = Window.partitionBy(*keys).orderBy(secs).rangeBetween(-(range_seconds - 1), 0)
     else:
         raise ValueError(frame)
@@ -69,6 +69,16 @@ def rolling_features(df: DataFrame, keys, order, lags=None, avgs=None, n: int =
     return out
 
 
+def _epoch_seconds(df, c, name=None):
+    """Whole seconds since 1970 of a timestamp column; wall-clock (session-TZ
+    independent) for TIMESTAMP_NTZ input."""
+    from pyspark.sql import types as T
+    dtype = df.schema[name].dataType if isinstance(name, str) else None
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    return c.cast("timestamp").cast("long")
+
+
 def _rolling_halo(df, keys, order, lags, avgs, n, bucket):
     """Exact rows-frame features computed per (keys, bucket) plus a halo."""
     B, LI, GI = "__bkt", "__li", "__gi"

@@ -24,7 +24,7 @@ from ..operators.windows import dedupe, latest_by, rolling_features
 
 
 def month_bucket(c):
-    return F.date_trunc("month", c.cast("timestamp"))
+    return F.trunc(F.to_date(c), "month")
 
 
 from ..operators.skew import day_bucket, probe_hot_keys  # noqa: E402,F401

@@ -21,11 +21,14 @@ from fleetlens.session import local_session  # noqa: E402
 from fleetlens.sources.driver import TABLES  # noqa: E402
 
 
+STRICT = bool(os.environ.get("STRICT"))      # compare doubles bit for bit
+
+
 def norm(v, digits=6):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return round(v, digits)
+        return v if STRICT else round(v, digits)
     if hasattr(v, "as_tuple") and not isinstance(v, (int, str)):   # Decimal
         return round(float(v), digits)
     if isinstance(v, dt.datetime):
@@ -52,6 +55,8 @@ def main():
     spark = local_session(8)
     if os.environ.get("FLEETLENS_SKEW_ROWS"):      # force hot-key routing in tests
         spark.conf.set("spark.fleetlens.skew.rowsPerKey", os.environ["FLEETLENS_SKEW_ROWS"])
+    if os.environ.get("SESSION_TZ"):              # robustness: non-UTC session time zone
+        spark.conf.set("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
