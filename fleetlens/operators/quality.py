@@ -118,11 +118,21 @@ def one_row(long_df: DataFrame, metrics) -> DataFrame:
                          .cast(T.LongType()).alias(m) for m in metrics])
 
 
-def sanity_row(sensor: DataFrame, twins: dict, component_alerts: DataFrame,
+def one_row_sum(long_df: DataFrame, metrics) -> DataFrame:
+    """(metric, value) rows → one wide row, summing repeated metrics."""
+    return long_df.agg(*[F.expr(f"CAST(coalesce(sum(CASE WHEN metric = '{m}' THEN value END), 0) AS BIGINT) "
+                                f"AS `{m}`") for m in metrics])
+
+
+def sanity_row(sensor: DataFrame, twins: dict, component_alerts: DataFrame | None = None,
                sensor_cols=("timestamp", "aircraft_id", "engine_temp", "fuel_efficiency", "vibration"),
-               statuses=(S.HEALTH_CRITICAL, S.HEALTH_WARNING)) -> DataFrame:
+               statuses=(S.HEALTH_CRITICAL, S.HEALTH_WARNING), specs=None) -> DataFrame:
     """P-17: one wide row of nulls, counts, range violations, duplicate PKs and
-    alert counts per status (statuses pivoted to columns, K19)."""
+    alert counts per status (statuses pivoted to columns, K19).
+
+    With ``component_alerts=None`` the alert counts are taken in the same
+    aggregation pass as each twin's NULL counts (health rule applied inline,
+    ``specs[prefix]``), so every twin source is scanned once."""
     parts, names = [], []
 
     def add(one):
@@ -136,15 +146,29 @@ def sanity_row(sensor: DataFrame, twins: dict, component_alerts: DataFrame,
         F.count(F.lit(1)).alias("sensor_row_count"))
     add(sensor_agg)
     add(duplicate_key_count(sensor, ["aircraft_id", "timestamp"], "sensor_duplicate_pk"))
-    for prefix, df in twins.items():
-        add(df.agg(*[F.count_if(F.col(c).isNull()).alias(f"{prefix}_{c}_nulls") for c in df.columns],
-                   F.count(F.lit(1)).alias(f"{prefix}_row_count")))
     alert_names = [f"component_alerts_{s.lower()}" for s in statuses]
-    parts.append(component_alerts.groupBy("health_status").agg(F.count(F.lit(1)).alias("value"))
-                 .select(F.concat(F.lit("component_alerts_"), F.lower("health_status")).alias("metric"),
-                         "value"))
+    for prefix, df in twins.items():
+        extra = []
+        if component_alerts is None:
+            from ..functions.rules import classify
+            spec = specs[prefix]
+            st = classify(spec.critical, spec.warning)
+            extra = [F.count_if(st == s_).alias(f"__{prefix}_{s_}") for s_ in statuses]
+        one = df.agg(*[F.expr(f"count_if(`{c}` IS NULL) AS `{prefix}_{c}_nulls`") for c in df.columns],
+                     F.count(F.lit(1)).alias(f"{prefix}_row_count"), *extra)
+        parts.append(metrics_long(one).withColumn("metric", F.regexp_replace(
+            "metric", f"^__{prefix}_(.*)$", "component_alerts_$1")))
+        names.extend(c for c in one.columns if not c.startswith("__"))
     names.extend(alert_names)
-    return one_row(reduce(DataFrame.unionByName, parts), names)
+    if component_alerts is not None:
+        parts.append(component_alerts.groupBy("health_status").agg(F.count(F.lit(1)).alias("value"))
+                     .select(F.concat(F.lit("component_alerts_"), F.col("health_status")).alias("metric"),
+                             "value"))
+    long_df = reduce(DataFrame.unionByName, parts).withColumn(
+        "metric", F.when(F.col("metric").startswith("component_alerts_"),
+                         F.lower("metric")).otherwise(F.col("metric")))
+    return one_row_sum(long_df, names)
+
 
 
 def profile(df: DataFrame, sample_rows: int = 5):

@@ -154,8 +154,7 @@ def sanity_row(spark, sf):
     from . import components as C
     feats = _chain(spark, sf)["features"]
     twins = {k: D.COMPONENT_SOURCES[k](spark, sf) for k in O.COMP_KEYS}
-    alerts = C.component_alerts(view(spark, sf))
-    return Q.sanity_row(feats, twins, alerts)
+    return Q.sanity_row(feats, twins, specs=S.COMPONENTS)
 
 
 _ = health_frames  # re-exported for tests
