@@ -37,7 +37,7 @@ def point_in_time(labels: DataFrame, features: DataFrame, key: str, label_ts: st
                      right_cols=["__fts", *feature_cols], how="left").withColumnRenamed("__fts", "feature_ts")
 
 
-def pipeline(features, label: str, num_trees: int = 100, seed: int = 42, max_depth: int = 5) -> Pipeline:
+def forest_pipeline(features, label: str, num_trees: int = 100, seed: int = 42, max_depth: int = 5) -> Pipeline:
     """M-03 + M-04: assemble → standard-scale (with mean) → random forest."""
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="__raw", handleInvalid="skip"),
@@ -48,7 +48,7 @@ def pipeline(features, label: str, num_trees: int = 100, seed: int = 42, max_dep
 
 
 def fit(train: DataFrame, features, label: str, **kw) -> PipelineModel:
-    return pipeline(features, label, **kw).fit(train.withColumn(label, F.col(label).cast("double")))
+    return forest_pipeline(features, label, **kw).fit(train.withColumn(label, F.col(label).cast("double")))
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "predicted_anomaly") -> DataFrame:
