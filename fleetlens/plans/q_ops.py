@@ -75,7 +75,7 @@ _TRAIN_FEATS = ["avg_engine_temp_7d", "avg_vibration_7d", "prev_anomaly", "days_
 
 @query("feature_lookup", O.with_(*E1F) + f"""
 SELECT s.aircraft_id, s."timestamp", CAST(s.anomaly_score AS INTEGER) AS label,
-       {', '.join(f'round(f.{c}, 6) AS {c}' for c in _TRAIN_FEATS)}
+       {', '.join((f'round(f.{c}, 6) AS {c}' if c.startswith('avg_') else f'f.{c}') for c in _TRAIN_FEATS)}
 FROM sensor s LEFT JOIN feat f ON f.aircraft_id = s.aircraft_id AND f."timestamp" = s."timestamp"
 WHERE {' AND '.join(f'f.{c} IS NOT NULL' for c in _TRAIN_FEATS)}""")
 def feature_lookup(spark, sf):
