@@ -18,6 +18,12 @@ def test_query_matches_oracle(spark, sf, duck, name):
     assert sc == dc
     assert len(sr) == len(dr)
     assert sr == dr
+    types = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+             "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+    rel = duck.sql(SQL[name])
+    dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    for f in df.schema.fields:
+        assert types.get(f.dataType.simpleString()) == dtypes[f.name], f.name
 
 
 @pytest.mark.parametrize("name", [n for n in NAMES if n not in SQL])
