@@ -336,16 +336,7 @@ def _events_stream(spark, sf):
 def stream_ingest_clean(spark, sf):
     """X-01 / X-02: exactly-once stream ingest → expectations → clean → Parquet sink."""
     from ..streaming import ingest as I
-    from ..sources.driver import json_number
-    raw = _events_stream(spark, sf).filter(F.col("event_type") != "signup")
-    k, v = json_number("props", "k"), F.col("value")
-    readings = raw.select(
-        F.col("ts").alias("timestamp"), F.col("user_id").alias("aircraft_id"), F.col("user_id").alias("model"),
-        v.alias("engine_temp"), (F.lit(40.0) + k).alias("fuel_efficiency"), (k / 3.0).alias("vibration"),
-        (F.lit(30000.0) + v).alias("altitude"), (F.lit(400.0) + k).alias("airspeed"),
-        F.when(F.col("event_type") == "error", 1.0).otherwise(0.0).alias("anomaly_score"),
-        (F.lit(30.0) + v / 10.0).alias("oil_pressure"), (F.lit(1500) + k.cast("int") * 30).cast("int")
-        .alias("engine_rpm"), (F.lit(22.0) + k / 20.0).alias("battery_voltage"))
+    readings = D.sensor_readings_from(_events_stream(spark, sf)).drop("reading_id")
     loc = I.scratch_location(spark, "ingest")
     I.run_available(I.clean_stream(readings), f"{loc}/sink", f"{loc}/checkpoint")
     return spark.read.schema(readings.schema).parquet(f"{loc}/sink")
@@ -357,13 +348,7 @@ FROM engine_health WHERE health_status IN ('CRITICAL', 'WARNING')""")
 def stream_alerts(spark, sf):
     """X-04: health rule on a stream, CRITICAL/WARNING appended per micro-batch."""
     from ..streaming import ingest as I
-    from ..sources.driver import json_number
-    raw = _events_stream(spark, sf).filter(F.col("event_type") == "click")
-    k, v = json_number("props", "k"), F.col("value")
-    readings = raw.select(F.col("event_id").cast("string").alias("engine_id"), F.col("user_id").alias("aircraft_id"),
-                          F.col("ts").alias("event_timestamp"), (v * 100.0).alias("thrust_level"),
-                          (k / 20.0).alias("fuel_consumption_rate"), (F.lit(400.0) + v).alias("temperature_reading"),
-                          (k / 50.0).alias("vibration_level"), (F.lit(30.0) + k / 2.0).alias("oil_pressure"))
+    readings = D.engine_readings_from(_events_stream(spark, sf))
     loc = I.scratch_location(spark, "alerts")
     I.alert_stream(readings, S.COMPONENTS["engine"], f"{loc}/sink", f"{loc}/checkpoint")
     schema = T.StructType([T.StructField("aircraft_id", T.LongType()), T.StructField("component_id", T.StringType()),

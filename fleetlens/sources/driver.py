@@ -44,10 +44,15 @@ def memo(kind: str, spark: SparkSession, *args, build):
 
 
 def sensor_readings(spark, sf_dir) -> DataFrame:
-    """Sensor readings = non-signup events.  aircraft_id = user_id,
-    model = user_id (key of the per-aircraft model table), metrics from
-    ``value`` and ``props.k``, anomaly_score = (event_type = 'error')."""
-    e = table(spark, sf_dir, "events").filter(F.col("event_type") != "signup")
+    return sensor_readings_from(table(spark, sf_dir, "events"))
+
+
+def sensor_readings_from(events: DataFrame) -> DataFrame:
+    """Sensor readings = non-signup events (batch or streaming frame).
+    aircraft_id = user_id, model = user_id (key of the per-aircraft model
+    table), metrics from ``value`` and ``props.k``, anomaly_score =
+    (event_type = 'error')."""
+    e = events.filter(F.col("event_type") != "signup")
     k = json_number("props", "k")
     v = F.col("value")
     return e.select(
@@ -110,7 +115,11 @@ def airport_reference(spark, sf_dir) -> DataFrame:
 
 # component twins mapped from driver tables (raw shapes of COMPONENTS specs)
 def engine_readings(spark, sf_dir) -> DataFrame:
-    e = table(spark, sf_dir, "events").filter(F.col("event_type") == "click")
+    return engine_readings_from(table(spark, sf_dir, "events"))
+
+
+def engine_readings_from(events: DataFrame) -> DataFrame:
+    e = events.filter(F.col("event_type") == "click")
     k, v = json_number("props", "k"), F.col("value")
     return e.select(F.col("event_id").cast("string").alias("engine_id"), F.col("user_id").alias("aircraft_id"),
                     F.col("ts").alias("event_timestamp"), (v * 100.0).alias("thrust_level"),
