@@ -12,7 +12,6 @@ from ..operators.windows import dedupe
 from ..sources import driver as D
 from . import oracle as O
 from .catalog import query
-from .q_components import health_frames, view
 from .q_sensor import _chain
 
 LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -151,10 +150,7 @@ def _sanity_sql():
 def sanity_row(spark, sf):
     """P-17: one wide row of null counts, row counts, range violations,
     duplicate PKs and component alert counts per status."""
-    from . import components as C
     feats = _chain(spark, sf)["features"]
     twins = {k: D.COMPONENT_SOURCES[k](spark, sf) for k in O.COMP_KEYS}
     return Q.sanity_row(feats, twins, specs=S.COMPONENTS)
 
-
-_ = health_frames  # re-exported for tests

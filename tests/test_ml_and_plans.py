@@ -4,7 +4,6 @@ import io
 from contextlib import redirect_stdout
 
 import pytest
-from pyspark.sql import functions as F
 
 from fleetlens.ml import model as M
 from fleetlens.plans.catalog import queries
