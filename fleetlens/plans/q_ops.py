@@ -18,7 +18,7 @@ from . import components as C
 from . import oracle as O
 from .catalog import query
 from .q_components import view
-from .q_sensor import _chain
+from .q_sensor import _chain, _inputs
 
 E1F = [*O.E1, O.enriched("JOIN"), O.FEATURES]
 
@@ -362,11 +362,16 @@ def stream_alerts(spark, sf):
 @query("rf_score")
 def rf_score(spark, sf):
     """M-03 … M-10: random forest (100 trees, seed 42) on scaled sensor
-    features, trained on the 70 % split and scored on every row (rows-only)."""
-    feats = _chain(spark, sf)["features"].dropna(subset=M.SENSOR_MODEL_FEATURES + ["anomaly_score"])
-    keyed = feats.withColumn("__key", F.xxhash64("aircraft_id", "timestamp"))
+    features, trained on the 70 % split of the labelled features (kept +
+    quarantined readings, K25) and scored on every cleaned row (rows-only)."""
+    from . import sensor as SN
+    r, m, mo = _inputs(spark, sf)
+    train_all = SN.run(r, m, mo, training=True)["features"].dropna(
+        subset=M.SENSOR_MODEL_FEATURES + ["anomaly_score"])
+    keyed = train_all.withColumn("__key", F.xxhash64("aircraft_id", "timestamp"))
     split = stratified_split(keyed, "anomaly_score", "__key", 0.3, 42)
     model = M.fit(split.filter(~F.col("is_test")), M.SENSOR_MODEL_FEATURES, "anomaly_score", num_trees=100)
+    feats = _chain(spark, sf)["features"].dropna(subset=M.SENSOR_MODEL_FEATURES + ["anomaly_score"])
     return M.score(model, feats).select("aircraft_id", "timestamp", "anomaly_score", "predicted_anomaly")
 
 

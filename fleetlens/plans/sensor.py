@@ -96,15 +96,19 @@ class SensorChain:
 
     STAGES = ("cleaned", "quarantined", "enriched", "features", "predictions", "engine_view", "aircraft_view")
 
-    def __init__(self, readings, maintenance, models, how="inner", skew_bucket=None):
+    def __init__(self, readings, maintenance, models, how="inner", skew_bucket=None, training=False):
         self._in = (readings, maintenance, models)
-        self._how, self._bucket = how, skew_bucket
+        self._how, self._bucket, self._training = how, skew_bucket, training
         self._built = {}
 
     def _build(self, stage):
         r, m, mo = self._in
         if stage in ("cleaned", "quarantined"):
             kept, q = clean(r)
+            if self._training:
+                # K25: the cleaning filter removes every injected anomaly, so
+                # labelled training features use kept and quarantined rows
+                kept = r
             self._built.update(cleaned=kept, quarantined=q)
             return self._built[stage]
         if stage == "hot_keys":
@@ -129,6 +133,7 @@ class SensorChain:
         return self._built[stage]
 
 
-def run(readings, maintenance, models, how="inner", skew_bucket=None) -> SensorChain:
-    """Whole E1 chain; stages are built on first access (all lazy DataFrames)."""
-    return SensorChain(readings, maintenance, models, how=how, skew_bucket=skew_bucket)
+def run(readings, maintenance, models, how="inner", skew_bucket=None, training=False) -> SensorChain:
+    """Whole E1 chain; stages are built on first access (all lazy DataFrames).
+    ``training=True`` computes features over kept + quarantined readings (K25)."""
+    return SensorChain(readings, maintenance, models, how=how, skew_bucket=skew_bucket, training=training)

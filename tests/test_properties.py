@@ -61,3 +61,12 @@ def test_asof_against_brute_force(spark, readings, events, how):
         elif how == "left":
             exp[rid] = None
     assert got == exp
+
+
+def test_training_features_include_quarantined(spark, sf):
+    r, m, mo = _inputs(spark, sf)
+    kept = sensor.run(r, m, mo)["features"].count()
+    train = sensor.run(r, m, mo, training=True)["features"].count()
+    quarantined_matched = sensor.run(r, m, mo)["quarantined"].join(
+        m.select("aircraft_id").distinct(), "aircraft_id", "left_semi").count()
+    assert kept < train <= kept + quarantined_matched
