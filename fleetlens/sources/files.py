@@ -69,11 +69,14 @@ def read_table_or_empty(spark: SparkSession, name: str, schema) -> DataFrame:
 
 
 def read_path_or_empty(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
-    """S-16 for path-based tables."""
-    import os
-    if path.startswith(("/", "file:")) and not os.path.exists(path.replace("file:", "")):
-        return spark.createDataFrame([], schema)
-    return spark.read.format(fmt).load(path)
+    """S-16 for path-based tables (any file system): a missing path gives an
+    empty frame of ``schema``; every other error surfaces."""
+    try:
+        return spark.read.format(fmt).load(path)
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return spark.createDataFrame([], schema)
+        raise
 
 
 def header_report(spark: SparkSession, path: str, expected_cols) -> DataFrame:

@@ -139,3 +139,11 @@ def test_unify_alert_tables_missing_component(spark):
     assert r.alert_category == "CRITICAL" and r.alert_severity == "HIGH" and r.alert_hour == 5
     empty = files.read_table_or_empty(spark, "no_such_table_xyz", ac.schema)
     assert empty.count() == 0 and empty.columns == ac.columns
+
+
+def test_read_path_or_empty(spark, tmp_path):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("a", T.IntegerType())])
+    assert files.read_path_or_empty(spark, str(tmp_path / "missing"), schema).count() == 0
+    spark.createDataFrame([(1,)], schema).write.parquet(str(tmp_path / "t"))
+    assert files.read_path_or_empty(spark, str(tmp_path / "t"), schema).count() == 1
