@@ -38,7 +38,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the folder is configured by the operator and must be shared
     storage; only when it is unset (local tests) a scratch folder is chosen.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
