@@ -36,9 +36,11 @@ def _expectation_cols(expectations):
     return {name: F.coalesce(F.expr(sql), F.lit(False)) for name, sql in expectations.items()}
 
 
-def observe_expectations(df: DataFrame, expectations=None, name: str = "expectations"):
+def observe_expectations(df: DataFrame, expectations=None, name="expectations"):
     """P-02 (warn-only): rows pass through; violation counts are reported as
-    observed metrics of the query (batch or streaming)."""
+    observed metrics of the query.  ``name`` is a string (streaming: metrics
+    appear in the query progress) or a ``pyspark.sql.Observation`` (batch:
+    ``observation.get`` after the first action)."""
     exps = _expectation_cols(expectations or S.EXPECTATIONS)
     return df.observe(name, F.count(F.lit(1)).alias("rows"),
                       *[F.count_if(~c).alias(n) for n, c in exps.items()])

@@ -147,3 +147,45 @@ def test_read_path_or_empty(spark, tmp_path):
     assert files.read_path_or_empty(spark, str(tmp_path / "missing"), schema).count() == 0
     spark.createDataFrame([(1,)], schema).write.parquet(str(tmp_path / "t"))
     assert files.read_path_or_empty(spark, str(tmp_path / "t"), schema).count() == 1
+
+
+def test_observed_expectations_batch(spark, drop):
+    from pyspark.sql import Observation
+    from fleetlens.operators.quality import observe_expectations
+    raw = files.read_sensor_csv(spark, f"{drop}/raw")
+    obs = Observation("sensor_expectations")
+    kept = sensor.cleaned(observe_expectations(raw, name=obs))
+    n = kept.count()
+    m = obs.get
+    assert m["rows"] == raw.count() and n <= m["rows"]
+    assert m["valid_engine_temp"] == raw.filter("NOT COALESCE(engine_temp BETWEEN 0 AND 1000, FALSE)").count()
+
+
+def test_recreate_and_append(spark, tmp_path):
+    from fleetlens.sinks import tables as X
+    df = spark.createDataFrame([("A", 1, dt.date(2024, 3, 1)), ("B", 0, dt.date(2024, 3, 1))],
+                               "aircraft_id string, predicted_anomaly int, alert_day date")
+    path = str(tmp_path / "engine_alerts")
+    X.recreate_and_append(spark, df, path, F.col("predicted_anomaly") == 1, "20240301_000000")
+    X.recreate_and_append(spark, df, path, F.col("predicted_anomaly") == 1, "20240302_000000")
+    got = spark.read.parquet(path).collect()
+    assert [(r.aircraft_id, r.batch_id) for r in got] == [("A", "20240302_000000")]
+
+
+def test_generated_drop_through_stream(spark, tmp_path):
+    from fleetlens.sources import generate as G
+    from fleetlens.streaming import ingest as I
+    fleet = spark.createDataFrame([("A320_101", "A320"), ("E190_501", "E190")], "aircraft_id string, model string")
+    days = G.sensor_days(fleet, "2024-01-01", "2024-12-31", seed=7)
+    maint = G.maintenance(fleet, "2024-01-01", "2024-12-31", seed=7).collect()
+    assert days.count() == 2 * 366 and len(maint) == 4
+    anomalies = days.filter("anomaly_score = 1").collect()
+    assert len(anomalies) == 2 and all(r.engine_temp > 700 for r in anomalies)     # K25: cleaning removes them
+    assert days.select("timestamp").collect() == G.sensor_days(fleet.repartition(3), seed=7).select("timestamp").collect()
+    G.write_csv_drop(days, str(tmp_path / "raw"), "raw_sensor_data", "20240101_000000")
+    out = str(tmp_path / "bronze")
+    I.run_available(I.clean_stream(I.sensor_stream(spark, str(tmp_path / "raw") + "/*")), out, str(tmp_path / "ck"))
+    assert spark.read.parquet(out).count() == days.filter(
+        "engine_temp <= 700 AND fuel_efficiency >= 50 AND vibration <= 25").count()
+    comp = G.component_records("hydraulic", fleet, "2024-12-31 00:00:00", n=50)
+    assert comp.count() == 100 and set(comp.columns) == {c for c, _ in __import__("fleetlens").schemas.COMPONENTS["hydraulic"].raw_cols}
