@@ -484,3 +484,14 @@ def trace_lookup(spark, sf):
     from .q_alerts import trace, unified
     ids = unified(spark, sf).filter(F.col("alert_category") == "CRITICAL").select("inference_trace_id")
     return trace(spark, sf).join(ids, "inference_trace_id", "left_semi")
+
+
+@query("ref_join_inner", O.with_(O.COMP_RAW["fuel"]) + """
+SELECT f.aircraft_id, f.fuel_system_id, f.event_timestamp, s.s_suppkey, s.s_name, s.s_nationkey
+FROM fuel_raw f JOIN supplier s ON f.aircraft_id = s.s_suppkey""")
+def ref_join_inner(spark, sf):
+    """J-03: inner reference join keeping both key columns (fuel readings × supplier)."""
+    f = D.fuel_readings(spark, sf)
+    s = D.table(spark, sf, "supplier")
+    return ref_join(f, s, on=f["aircraft_id"] == s["s_suppkey"], how="inner").select(
+        "aircraft_id", "fuel_system_id", "event_timestamp", "s_suppkey", "s_name", "s_nationkey")
