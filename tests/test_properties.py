@@ -70,3 +70,14 @@ def test_training_features_include_quarantined(spark, sf):
     quarantined_matched = sensor.run(r, m, mo)["quarantined"].join(
         m.select("aircraft_id").distinct(), "aircraft_id", "left_semi").count()
     assert kept < train <= kept + quarantined_matched
+
+
+def test_traceability_join_equals_window(spark, sf):
+    from fleetlens.plans import alerts as A
+    from fleetlens.plans.q_alerts import RUN_TS, predictions_long, unified
+    w = A.traceability_from_predictions(predictions_long(spark, sf), spark, RUN_TS)
+    j = A.traceability(unified(spark, sf), predictions_long(spark, sf), RUN_TS)
+    cols = sorted(w.columns)
+    assert cols == sorted(j.columns)
+    assert sorted(map(tuple, w.select(*cols).collect()), key=str) == \
+        sorted(map(tuple, j.select(*cols).collect()), key=str)
