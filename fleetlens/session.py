@@ -55,3 +55,35 @@ def cut_lineage(df):
     """Reliable checkpoint into ``spark.checkpoint.dir`` (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 << 20) -> dict:
+    """Spark settings sized for a run over ``input_bytes`` of Parquet.
+
+    * scan splits of ``target_partition_bytes`` (``files.maxPartitionBytes``);
+    * initial shuffle partitions so that each holds about the target size of
+      the largest shuffle (the sensor chain shuffles roughly its input once),
+      rounded up to a multiple of the total cores and never fewer than
+      2 × cores; AQE then coalesces small partitions and splits skewed join
+      partitions (> 5 × median and > 1 GiB);
+    * broadcast threshold kept modest (64 MiB) – only bounded reference
+      frames are broadcast by name, the rest is AQE's runtime choice.
+    """
+    cores = max(1, executors * cores_per_executor)
+    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    parts = -(-parts // cores) * cores
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.fleetlens.skew.rowsPerKey": "5000000",
+    }

@@ -56,3 +56,11 @@ def test_not_null_check_fails_job(spark):
     bad = spark.createDataFrame([(1, None)], "a int, b int")
     with pytest.raises(Exception):
         validate_not_null(bad, ["a", "b"]).collect()
+
+
+def test_cluster_conf_sizing():
+    from fleetlens.session import cluster_conf
+    c = cluster_conf(100 * 2**40, executors=1000, cores_per_executor=8)
+    parts = int(c["spark.sql.shuffle.partitions"])
+    assert parts % 8000 == 0 and parts * (256 << 20) >= 100 * 2**40
+    assert int(cluster_conf(10 << 20, 2, 4)["spark.sql.shuffle.partitions"]) == 16
