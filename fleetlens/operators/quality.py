@@ -40,7 +40,10 @@ def observe_expectations(df: DataFrame, expectations=None, name="expectations"):
     """P-02 (warn-only): rows pass through; violation counts are reported as
     observed metrics of the query.  ``name`` is a string (streaming: metrics
     appear in the query progress) or a ``pyspark.sql.Observation`` (batch:
-    ``observation.get`` after the first action)."""
+    ``observation.get`` after the first action).  Note: on Spark 4.1 a batch
+    ``Observation`` leaves the session unable to serialize some later Spark ML
+    tasks (``ObservationManager`` is not serializable); prefer the string
+    form in sessions that also train models."""
     exps = _expectation_cols(expectations or S.EXPECTATIONS)
     return df.observe(name, F.count(F.lit(1)).alias("rows"),
                       *[F.count_if(~c).alias(n) for n, c in exps.items()])

@@ -149,15 +149,17 @@ def test_read_path_or_empty(spark, tmp_path):
     assert files.read_path_or_empty(spark, str(tmp_path / "t"), schema).count() == 1
 
 
-def test_observed_expectations_batch(spark, drop):
-    from pyspark.sql import Observation
-    from fleetlens.operators.quality import observe_expectations
+def test_observed_expectations_stream(spark, drop, tmp_path):
+    from fleetlens.streaming import ingest as I
     raw = files.read_sensor_csv(spark, f"{drop}/raw")
-    obs = Observation("sensor_expectations")
-    kept = sensor.cleaned(observe_expectations(raw, name=obs))
-    n = kept.count()
-    m = obs.get
-    assert m["rows"] == raw.count() and n <= m["rows"]
+    q = I.run_available(I.clean_stream(I.sensor_stream(spark, f"{drop}/raw")), str(tmp_path / "out"),
+                        str(tmp_path / "ck"))
+    m = {}
+    for p in q.recentProgress:
+        row = (p.observedMetrics or {}).get("sensor_expectations")
+        for k, v in (row.asDict() if row is not None else {}).items():
+            m[k] = m.get(k, 0) + int(v)
+    assert m["rows"] == raw.count()
     assert m["valid_engine_temp"] == raw.filter("NOT COALESCE(engine_temp BETWEEN 0 AND 1000, FALSE)").count()
 
 
