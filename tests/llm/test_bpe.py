@@ -64,10 +64,12 @@ def test_cuts_are_forced():
     """No vocabulary token holds a pair at which a text is cut."""
     vocab = {CODEC.piece[i] for i in range(len(CODEC.piece)) if CODEC.piece[i] != b"<|endoftext|>"}
     for text in ("###***&&&", "thing|other|ö%%%", "ABC日本語def"):
-        parts = CODEC.fragments(text)
-        assert "".join(parts) == text
+        parts, count = CODEC.fragments([text, "a"])
+        assert b"".join(parts) == text.encode() + b"a" and count.tolist() == [len(parts) - 1, 1]
+        assert len(parts) > 2
+        parts = parts[:-1]
         for left, right in zip(parts, parts[1:]):
-            pair = left.encode()[-1:] + right.encode()[:1]
+            pair = left[-1:] + right[:1]
             assert not any(pair in v for v in vocab)
 
 
