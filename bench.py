@@ -1,7 +1,7 @@
 """Benchmark the headline queries.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (timed runs after one warm-up, default 2), BENCH_QUERIES (comma
+BENCH_RUNS (timed runs after one warm-up, default 3; each includes the plan build), BENCH_QUERIES (comma
 list to restrict).  Each query is executed in full through the ``noop``
 sink (nothing is collected to the driver).  Prints one JSON line.
 """
@@ -38,7 +38,7 @@ HEADLINE = [
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     from fleetlens.plans.catalog import queries
     from fleetlens.session import local_session

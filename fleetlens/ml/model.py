@@ -30,11 +30,17 @@ def training_set(labels: DataFrame, features: DataFrame, keys, feature_cols, lab
 
 
 def point_in_time(labels: DataFrame, features: DataFrame, key: str, label_ts: str, feature_ts: str,
-                  feature_cols) -> DataFrame:
-    """J-10: latest feature row at or before each label time (as-of join)."""
-    f = features.select(F.col(key), F.col(feature_ts).alias("__fts"), *feature_cols)
+                  feature_cols, tie=None, bucket=None) -> DataFrame:
+    """J-10: latest feature row at or before each label time (as-of join).
+
+    Of feature rows at one time the greatest by ``tie`` counts (default: by
+    the feature values), so the result does not depend on the order of rows."""
+    tie = list(tie or feature_cols)
+    f = features.select(F.col(key), F.col(feature_ts).alias("__fts"),
+                        *dict.fromkeys([*feature_cols, *tie]))
     return asof_join(labels, f, keys=[key], left_on=label_ts, right_on="__fts",
-                     right_cols=["__fts", *feature_cols], how="left").withColumnRenamed("__fts", "feature_ts")
+                     right_cols=["__fts", *feature_cols], tie=tie, how="left",
+                     bucket=bucket).withColumnRenamed("__fts", "feature_ts")
 
 
 def forest_pipeline(features, label: str, num_trees: int = 100, seed: int = 42, max_depth: int = 5) -> Pipeline:

@@ -7,6 +7,10 @@ The plan never forms readings × events pairs.  Both sides are unioned and a
 single running ``last(..., ignorenulls)`` carries the latest right row forward
 in key/time order: one shuffle on the keys, O(n log n), no fan-out.
 
+A comparison with NULL is never true: right rows with a NULL key or NULL
+ordering value are dropped first, and left rows with one have no match (they
+go with ``how='inner'`` and stay, unmatched, with ``how='left'``).
+
 Skew: with ``bucket`` (a function mapping the ordering column to a coarser
 value, e.g. month) the running scan is split in two levels so that a key that
 holds a large share of all rows is spread over many tasks:
@@ -33,10 +37,14 @@ def _prepare(left, right, keys, left_on, right_on, right_cols, tie):
     lcols = left.columns
     rstruct = F.struct(*[F.col(c) for c in right_cols])
     tie = list(tie or [])
+    ro = F.col(right_on) if isinstance(right_on, str) else right_on
+    right = right.filter(ro.isNotNull())
+    for k in keys:
+        right = right.filter(F.col(k).isNotNull())
     l = left.select(*[F.col(c) for c in lcols], F.col(left_on).alias(_ORD) if isinstance(left_on, str)
                     else left_on.alias(_ORD), F.lit(1).alias(_SIDE))
     r = right.select(*[F.col(k) for k in keys],
-                     (F.col(right_on) if isinstance(right_on, str) else right_on).alias(_ORD),
+                     ro.alias(_ORD),
                      F.lit(0).alias(_SIDE), rstruct.alias(_R),
                      *[F.col(t).alias(f"__asof_tie{i}") for i, t in enumerate(tie)])
     u = l.unionByName(r, allowMissingColumns=True)
@@ -45,26 +53,18 @@ def _prepare(left, right, keys, left_on, right_on, right_cols, tie):
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys, left_on, right_on, right_cols,
-              tie=None, how: str = "inner", bucket=None, skew: str = "off") -> DataFrame:
+              tie=None, how: str = "inner", bucket=None) -> DataFrame:
     """Attach to each left row the latest right row with ``right_on <= left_on``.
 
     ``left_on``/``right_on`` are column names or expressions of the same type.
     ``tie`` orders right rows sharing the same ``right_on`` (greatest wins).
     ``how='inner'`` drops left rows without a match (the original behaviour),
     ``'left'`` keeps them with NULLs.
-    ``bucket`` forces the two-level plan; ``skew='auto'`` probes the left side
-    for hot keys (or takes a probed list / 'all') and sends only those through it.
+    ``bucket`` (e.g. ``skew.day_bucket``) takes the two-level plan: for
+    histories in which one key may hold more rows than a task should sort.
+    The rows are the same either way.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if bucket is None and skew not in ("off", None):
-        from . import skew as K
-        hot = K.resolve(left, keys, skew)
-        if hot is None:
-            bucket = K.day_bucket
-        elif hot:
-            (ln, lh), (rn, rh) = K.route([left, right], keys, hot)
-            kw = dict(keys=keys, left_on=left_on, right_on=right_on, right_cols=right_cols, tie=tie, how=how)
-            return asof_join(ln, rn, **kw).unionByName(asof_join(lh, rh, bucket=K.day_bucket, **kw))
     u, lcols, order, ntie = _prepare(left, right, keys, left_on, right_on, right_cols, tie)
     if bucket is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -98,28 +98,3 @@ def _bucketed(u, keys, order, bucket):
     return (scanned.join(small, [*keys, _BKT], "left")
             .withColumn(_R, F.coalesce(F.col(_R), F.col("__carry")))
             .drop("__carry", _BKT))
-
-
-def asof_join_ranked(left: DataFrame, right: DataFrame, keys, left_on, right_on, right_cols,
-                     tie=None, how: str = "inner") -> DataFrame:
-    """Join-then-rank formulation (equal to :func:`asof_join`; used as a test oracle).
-
-    It materialises every earlier right row per left row, so it is only meant
-    for small inputs.
-    """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    lo = F.col(left_on) if isinstance(left_on, str) else left_on
-    ro = F.col(right_on) if isinstance(right_on, str) else right_on
-    lid = "__asof_lid"
-    l = left.withColumn(lid, F.monotonically_increasing_id()).withColumn("__lo", lo)
-    r = right.select(*[F.col(k).alias(f"__rk_{k}") for k in keys], ro.alias("__ro"),
-                     *[F.col(c) for c in right_cols],
-                     *[F.col(t).alias(f"__rt{i}") for i, t in enumerate(tie or [])])
-    cond = [l[k] == r[f"__rk_{k}"] for k in keys] + [r["__ro"] <= l["__lo"]]
-    j = l.join(r, cond, "left")
-    w = Window.partitionBy(lid).orderBy(F.col("__ro").desc_nulls_last(),
-                                        *[F.col(f"__rt{i}").desc() for i in range(len(tie or []))])
-    j = j.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1")
-    if how == "inner":
-        j = j.filter(F.col("__ro").isNotNull())
-    return j.select(*left.columns, *right_cols)

@@ -40,14 +40,12 @@ def ref_join(df: DataFrame, ref: DataFrame, on, how: str = "left",
 
 def unmapped_keys(df: DataFrame, ref: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """J-12: rows of ``df`` whose key has no partner in ``ref`` (anti join)."""
-    return df.join(ref.select(F.col(right_key).alias("__k")).distinct(),
-                   F.col(left_key) == F.col("__k"), "left_anti")
+    return df.join(ref.select(F.col(right_key).alias("__k")), F.col(left_key) == F.col("__k"), "left_anti")
 
 
 def mapped_keys(df: DataFrame, ref: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """J-13: rows of ``df`` whose key occurs in ``ref`` (semi join)."""
-    return df.join(ref.select(F.col(right_key).alias("__k")).distinct(),
-                   F.col(left_key) == F.col("__k"), "left_semi")
+    return df.join(ref.select(F.col(right_key).alias("__k")), F.col(left_key) == F.col("__k"), "left_semi")
 
 
 def count_matches(left: DataFrame, right: DataFrame, key: str, name: str = "match_count") -> DataFrame:

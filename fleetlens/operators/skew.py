@@ -1,72 +1,23 @@
-"""Hot-key detection and routing for per-key window operators.
+"""Time buckets for the split plans of per-key window operators.
 
 AQE splits skewed *join* partitions but cannot split a window partition: all
-rows of one key meet in one task.  Window operators therefore route keys that
-exceed ``spark.fleetlens.skew.rowsPerKey`` rows through their bucketed plan
-and keep the single-shuffle plan for every other key:
-
-1. probe: ``groupBy(keys).count() > threshold`` – a partial aggregation whose
-   result is bounded by rows / threshold; at most ``MAX_HOT_KEYS`` are fetched;
-2. more hot keys than that → every key takes the bucketed plan (exact, just
-   more shuffles), so the cap never changes results;
-3. otherwise the hot keys become a literal IN-list filter splitting the input.
+rows of one key meet in one task.  Operators that keep a history per key
+therefore take an explicit ``bucket``: a function of the ordering column that
+never falls while it grows.  With a bucket the work runs per (key, bucket), so
+a key that holds a third of all rows is spread over its buckets; the rows are
+the same with and without it, NULL keys and NULL times included.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CONF_THRESHOLD = "spark.fleetlens.skew.rowsPerKey"
-DEFAULT_THRESHOLD = 5_000_000
-MAX_HOT_KEYS = 10_000
-
 
 def day_bucket(c):
-    """Default time bucket of the split plans (calendar day; monotone in the
-    ordering column as the split plans require)."""
+    """Calendar day: for histories of many readings a day."""
     return F.to_date(c)
 
 
-def threshold(spark) -> int:
-    return int(spark.conf.get(CONF_THRESHOLD, str(DEFAULT_THRESHOLD)))
-
-
-def probe_hot_keys(df: DataFrame, keys, limit: int | None = None):
-    """Keys holding more than the threshold rows; None when there are more
-    than ``MAX_HOT_KEYS`` of them (caller then treats all keys as hot)."""
-    t = limit if limit is not None else threshold(df.sparkSession)
-    cap = MAX_HOT_KEYS
-    rows = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > t)
-            .select(*keys).limit(cap + 1).collect())
-    if len(rows) > cap:
-        return None
-    return [tuple(r) for r in rows]
-
-
-def resolve(df: DataFrame, keys, skew):
-    """Normalise a ``skew`` argument to: [] (no hot key), a hot-key list, or
-    None (treat every key as hot).  Accepts "off", "auto", "all" or a list."""
-    if skew in ("off", None) or (isinstance(skew, list) and not skew):
-        return []
-    if skew == "all":
-        return None
-    if skew == "auto":
-        return probe_hot_keys(df, keys)
-    return list(skew)
-
-
-def key_filter(keys, hot):
-    """Column predicate: row's key is in the (bounded) hot list."""
-    if len(keys) == 1:
-        return F.col(keys[0]).isin([h[0] for h in hot])
-    per = [reduce(lambda a, b: a & b, [F.col(k) == F.lit(v) for k, v in zip(keys, h)]) for h in hot]
-    return reduce(lambda a, b: a | b, per)
-
-
-def route(frames, keys, hot):
-    """Split each frame into (normal, hot) parts by the hot-key list."""
-    pred = F.coalesce(key_filter(keys, hot), F.lit(False))
-    return [(f.filter(~pred), f.filter(pred)) for f in frames]
+def month_bucket(c):
+    """Calendar month: for sparse histories."""
+    return F.trunc(F.to_date(c), "month")

@@ -5,10 +5,12 @@ Ordering is always made total (K2, K3): callers pass the ordering columns
 followed by a unique tie-break, so results do not depend on shuffle order.
 
 Skew: a per-aircraft window puts a whole aircraft history into one task.  With
-``bucket`` set, :func:`rolling_features` runs per (keys, time bucket) and pulls
-in a *halo* of the ``n-1`` preceding rows of each bucket, located by global row
-index computed from per-bucket counts; a hot key is then spread over as many
-tasks as it has buckets while the result stays exactly equal.
+``bucket`` set, :func:`rolling_features` runs per (keys, time bucket); a hot key
+is then spread over as many tasks as it has buckets while the result stays
+exactly equal.  Row frames pull in a *halo* of the ``n-1`` preceding rows of
+each bucket, located by global row index computed from per-bucket counts.
+Range frames need no look-up: their buckets are as long as the frame, so every
+row is needed in its own bucket and the next one.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ def _order_exprs(order):
 
 def rolling_features(df: DataFrame, keys, order, lags=None, avgs=None, n: int = 7,
                      frame: str = "rows", range_col=None, range_seconds: int | None = None,
-                     bucket=None, skew: str = "off") -> DataFrame:
+                     bucket=None) -> DataFrame:
     """Add ``lag(src, 1)`` columns and trailing means over the last ``n`` rows.
 
     lags / avgs: ``{new_name: source_column}`` (insertion ordered).
@@ -35,26 +37,20 @@ def rolling_features(df: DataFrame, keys, order, lags=None, avgs=None, n: int =
     frame='range' → true time window of ``range_seconds`` ending at the row
                     (``range_col`` is a timestamp/date column).
     bucket        → function Column→Column giving a time bucket of the first
-                    ordering column; forces the skew-safe halo plan (rows only).
-    skew          → 'auto' probes for hot keys (``operators.skew``), or pass an
-                    already probed hot-key list / 'all'; hot keys take the halo
-                    plan, every other key the single-window plan.
-    All expressions share one window spec, hence one Exchange + Sort.
+                    ordering column: take it for histories that may hold more
+                    rows of one key than a task should sort.  Range frames
+                    only look at whether it is set.
+    Without a bucket all expressions share one window spec, hence one
+    Exchange + Sort.  The result is the same either way.
     """
     keys, order = _cols(keys), _order_exprs(order)
     lags, avgs = dict(lags or {}), dict(avgs or {})
-    if bucket is not None and frame == "rows":
-        return _rolling_halo(df, keys, order, lags, avgs, n, bucket)
-    if skew not in ("off", None) and frame == "rows":
-        from . import skew as K
-        hot = K.resolve(df, keys, skew)
-        if hot is None:
-            return _rolling_halo(df, keys, order, lags, avgs, n, K.day_bucket)
-        if hot:
-            (normal, hot_rows), = K.route([df], keys, hot)
-            a = rolling_features(normal, keys, order, lags, avgs, n)
-            b = _rolling_halo(hot_rows, keys, order, lags, avgs, n, K.day_bucket)
-            return a.unionByName(b.select(*a.columns))
+    if bucket is not None:
+        if frame == "rows":
+            return _rolling_halo(df, keys, order, lags, avgs, n, bucket)
+        if lags:
+            raise ValueError("lags belong to a rows frame")
+        return _rolling_range_split(df, keys, avgs, range_col, range_seconds)
     base = Window.partitionBy(*keys).orderBy(*order)
     if frame == "rows":
         roll = base.rowsBetween(-(n - 1), 0)
@@ -80,25 +76,34 @@ def _epoch_seconds(df, c, name=None):
 
 
 def _rolling_halo(df, keys, order, lags, avgs, n, bucket):
-    """Exact rows-frame features computed per (keys, bucket) plus a halo."""
+    """Exact rows-frame features computed per (keys, bucket) plus a halo.
+
+    NULL keys form a group and NULL times a bucket (the first one), as in the
+    plain window."""
     B, LI, GI = "__bkt", "__li", "__gi"
-    halo = n - 1 if avgs else 1
-    halo = max(halo, 1 if lags else 0)
-    d = df.withColumn(B, bucket(order[0]))
-    d = d.withColumn(LI, F.row_number().over(Window.partitionBy(*keys, B).orderBy(*order)))
-    # bucket offsets: count per bucket, exclusive running sum over buckets (small table)
-    counts = d.groupBy(*keys, B).agg(F.count(F.lit(1)).alias("__cnt"))
-    offs = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(
-        Window.partitionBy(*keys).orderBy(B).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    d = d.join(offs.select(*keys, B, "__off", "__cnt"), [*keys, B]).withColumn(GI, F.col("__off") + F.col(LI))
+    halo = max(n - 1 if avgs else 1, 1 if lags else 0)
+    per_bucket = Window.partitionBy(*keys, B)
+    d = (df.withColumn(B, bucket(order[0]))
+         .select("*", F.row_number().over(per_bucket.orderBy(*order)).alias(LI),
+                 F.count(F.lit(1)).over(per_bucket).alias("__cnt")))
+    # bucket offsets: exclusive running sum of the bucket counts (one row per bucket)
+    offs = (d.filter(F.col(LI) == 1)
+            .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(B).alias("__b"), "__cnt")
+            .withColumn("__off", F.coalesce(F.sum("__cnt").over(
+                Window.partitionBy(*[f"__k{i}" for i in range(len(keys))]).orderBy("__b")
+                .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__cnt"))
+    on_key = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    extra = [f"__k{i}" for i in range(len(keys))] + ["__b"]
+    d = (d.join(offs, on_key + [F.col(B).eqNullSafe(F.col("__b"))])
+         .withColumn(GI, F.col("__off") + F.col(LI)).drop(*extra))
     # halo rows: the last `halo` rows of each bucket, sent to every bucket whose
     # first global index lies within the next `halo` positions
     tails = d.filter(F.col(LI) > F.col("__cnt") - halo).drop(B)
     targets = tails.withColumn("__t", F.explode(F.sequence(F.col(GI) + 1, F.col(GI) + halo)))
-    starts = offs.select(*keys, F.col(B), (F.col("__off") + 1).alias("__t"))
-    halo_rows = targets.join(starts, [*keys, "__t"]).drop("__t").withColumn("__own", F.lit(False))
-    own = d.withColumn("__own", F.lit(True))
-    u = own.unionByName(halo_rows)
+    starts = offs.withColumn("__s", F.col("__off") + 1).drop("__off")
+    halo_rows = (targets.join(starts, on_key + [F.col("__t") == F.col("__s")])
+                 .withColumnRenamed("__b", B).drop("__t", "__s", *extra[:-1]).withColumn("__own", F.lit(False)))
+    u = d.withColumn("__own", F.lit(True)).unionByName(halo_rows)
     w = Window.partitionBy(*keys, B).orderBy(GI)
     roll = w.rowsBetween(-(n - 1), 0)
     out = u.select("*", *[F.lag(F.col(src), 1).over(w).alias(new) for new, src in lags.items()],
@@ -106,6 +111,20 @@ def _rolling_halo(df, keys, order, lags, avgs, n, bucket):
     return out.filter("__own").drop(B, LI, GI, "__off", "__cnt", "__own")
 
 
+def _rolling_range_split(df, keys, avgs, range_col, range_seconds):
+    """Exact range-frame means per (keys, bucket of the frame's length): each
+    row goes to its own bucket and the next one, no join, no other copies.
+    NULL times form a bucket of their own, as they are peers of each other."""
+    rc = F.col(range_col) if isinstance(range_col, str) else range_col
+    d = df.withColumn("__sec", _epoch_seconds(df, rc, range_col))
+    d = d.withColumn("__at", F.floor(F.col("__sec") / range_seconds))
+    d = d.withColumn("__bkt", F.explode(F.when(F.col("__at").isNull(), F.array(F.lit(None).cast("long")))
+                                        .otherwise(F.array(F.col("__at"), F.col("__at") + 1))))
+    w = Window.partitionBy(*keys, "__bkt").orderBy("__sec").rangeBetween(-(range_seconds - 1), 0)
+    out = d.select("*", *[F.avg(F.col(src)).over(w).alias(new) for new, src in avgs.items()])
+    return out.filter(F.col("__bkt").eqNullSafe(F.col("__at"))).drop("__sec", "__at", "__bkt")
+
+
 def dedupe(df: DataFrame, keys, order=None) -> DataFrame:
     """Keep one row per key: the greatest by ``order``, then by every other
     column (descending, NULLs last), so the survivor never depends on
@@ -127,9 +146,3 @@ def dedupe(df: DataFrame, keys, order=None) -> DataFrame:
 def latest_by(df: DataFrame, keys, order) -> DataFrame:
     """Latest row per key by ``order`` (W-03, W-04); ties broken by all columns."""
     return dedupe(df, keys, order)
-
-
-def row_number_latest(df: DataFrame, keys, order_desc) -> DataFrame:
-    """Window formulation of :func:`latest_by` (Catalyst's window-group-limit applies)."""
-    w = Window.partitionBy(*_cols(keys)).orderBy(*[F.col(c).desc() for c in _cols(order_desc)])
-    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")

@@ -13,7 +13,7 @@ Wall-clock functions are never called; every date window takes ``as_of``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -216,3 +216,65 @@ def top_alerting(comp_alerts: DataFrame, k: int = 10) -> DataFrame:
 def rows_per_group(df: DataFrame, key: str = "aircraft_id") -> DataFrame:
     """Q-29 / A-05."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def component_alert_detail(unified: DataFrame) -> DataFrame:
+    """Q-10: distinct alerts per aircraft and component, newest first."""
+    cols = ["aircraft_id", "component_id", "component_name", "timestamp", "alert_date", "alert_severity",
+            "alert_category", "inference_trace_id"]
+    w = Window.partitionBy("aircraft_id", "component_id").orderBy(
+        F.col("alert_date").desc(), F.col("timestamp").desc(), F.col("inference_trace_id").desc())
+    return unified.select(*cols).distinct().withColumn("place", F.row_number().over(w).cast("long"))
+
+
+def severity_score():
+    """Alert category as a sort key: critical before safety before the rest."""
+    return F.when(F.col("alert_category") == "CRITICAL", 3).when(F.col("alert_category") == "SAFETY", 2).otherwise(1)
+
+
+def active_alerts(unified: DataFrame, as_of: str, days: int = 7, aircraft_id=None) -> DataFrame:
+    """Q-09: alerts of the last ``days`` days per aircraft, by date, then severity."""
+    day = F.lit(as_of).cast("date")
+    u = unified.filter((F.col("alert_date") > F.date_sub(day, days)) & (F.col("alert_date") <= day))
+    if aircraft_id is not None:
+        u = u.filter(F.col("aircraft_id") == aircraft_id)
+    w = Window.partitionBy("aircraft_id").orderBy(F.col("alert_date").desc(), F.col("severity_score").desc(),
+                                                  "component_name", "inference_trace_id")
+    return (u.withColumn("severity_score", severity_score())
+            .groupBy("aircraft_id", "component_name", "alert_date", "alert_severity", "alert_category",
+                     "inference_trace_id", "severity_score").agg(F.count(F.lit(1)).alias("alerts"))
+            .withColumn("place", F.row_number().over(w).cast("long")))
+
+
+def recent_alerts(unified: DataFrame, as_of: str, days: int = 7, aircraft_id=None) -> DataFrame:
+    """Q-19: alerts from ``days`` days before ``as_of`` on, with their source."""
+    day = F.lit(as_of).cast("date")
+    u = unified.filter((F.col("alert_date") >= F.date_sub(day, days)) & (F.col("alert_date") <= day))
+    if aircraft_id is not None:
+        u = u.filter(F.col("aircraft_id") == aircraft_id)
+    return u.select("timestamp", "aircraft_id", "component_name", "alert_severity", "alert_category",
+                    "inference_source", "inference_trace_id", "batch_id")
+
+
+def critical_over_time(view: DataFrame) -> DataFrame:
+    """Q-27: critical readings and affected aircraft per component type and day."""
+    return (view.filter(F.col("health_status") == "CRITICAL")
+            .groupBy("component_type", F.to_date("event_timestamp").alias("date"))
+            .agg(F.count(F.lit(1)).alias("failures"), F.count_distinct("aircraft_id").alias("aircraft")))
+
+
+def worst_first(aircraft_daily: DataFrame, as_of: str) -> DataFrame:
+    """Q-02 / Q-08: one day's aircraft in order of health, worst first.
+
+    Ranked by (score, alerts) class: the classes are few and counted first, so
+    no window holds a whole fleet; inside a class the aircraft id decides."""
+    d = aircraft_daily.filter(F.col("date") == F.lit(as_of).cast("date")).select(
+        "aircraft_id", "health_score", "alert_count")
+    classes = d.groupBy("health_score", "alert_count").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("health_score", F.col("alert_count").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    classes = classes.select(F.col("health_score").alias("__h"), F.col("alert_count").alias("__a"),
+                             F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    inside = Window.partitionBy("health_score", "alert_count").orderBy("aircraft_id")
+    return (d.withColumn("__in", F.row_number().over(inside))
+            .join(classes, F.col("health_score").eqNullSafe(F.col("__h")) & F.col("alert_count").eqNullSafe(F.col("__a")))
+            .withColumn("place", (F.col("__before") + F.col("__in")).cast("long")).drop("__in", "__h", "__a", "__before"))

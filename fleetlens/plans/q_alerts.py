@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from functools import lru_cache  # noqa: F401
-
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..sources import driver as D
 from . import alerts as A
 from . import components as C
 from . import oracle as O
@@ -19,10 +16,6 @@ RUN_TS = O.RUN_TS
 
 
 def predictions_long(spark, sf):
-    return D.memo("predictions_long", spark, sf, build=lambda: _predictions_long(spark, sf))
-
-
-def _predictions_long(spark, sf):
     """Aircraft-level rule predictions ('AC') + component predictions, one long frame."""
     p = _chain(spark, sf)["predictions"]
     ac = p.select(F.lit("AC").alias("component_id"), "aircraft_id", "timestamp",
@@ -34,15 +27,14 @@ def _predictions_long(spark, sf):
 
 
 def unified(spark, sf):
-    def build():
-        alerts = A.alerts_from_predictions(predictions_long(spark, sf), RUN_TS)
-        return A.unify_alerts(alerts, spark, RUN_TS)
-    return D.memo("unified_alerts", spark, sf, build=build)
+    alerts = A.alerts_from_predictions(predictions_long(spark, sf), RUN_TS)
+    return A.unify_alerts(alerts, spark, RUN_TS)
 
 
 def trace(spark, sf):
-    return D.memo("traceability", spark, sf,
-                  build=lambda: A.traceability_from_predictions(predictions_long(spark, sf), spark, RUN_TS))
+    preds = predictions_long(spark, sf)
+    alerts = A.unify_alerts(A.alerts_from_predictions(preds, RUN_TS), spark, RUN_TS)
+    return A.traceability(alerts, preds, RUN_TS)
 
 
 MART = O.with_(*O.mart_ctes())

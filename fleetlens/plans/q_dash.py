@@ -151,6 +151,76 @@ def component_alert_history(spark, sf):
     return Q.component_alert_history(unified(spark, sf))
 
 
+@query("component_alert_detail", MART + """
+SELECT aircraft_id, component_id, component_name, "timestamp", alert_date, alert_severity, alert_category,
+       inference_trace_id,
+       row_number() OVER (PARTITION BY aircraft_id, component_id ORDER BY alert_date DESC, "timestamp" DESC,
+                          inference_trace_id DESC) AS place
+FROM (SELECT DISTINCT aircraft_id, component_id, component_name, "timestamp", alert_date, alert_severity,
+             alert_category, inference_trace_id FROM unified) t""")
+def component_alert_detail(spark, sf):
+    """Q-10: the alerts of every aircraft and component, newest first (``place``)."""
+    return Q.component_alert_detail(unified(spark, sf))
+
+
+@query("active_alerts", MART + f"""
+SELECT aircraft_id, component_name, alert_date, alert_severity, alert_category, inference_trace_id,
+       CASE alert_category WHEN 'CRITICAL' THEN 3 WHEN 'SAFETY' THEN 2 ELSE 1 END AS severity_score, count(*) AS alerts,
+       row_number() OVER (PARTITION BY aircraft_id
+         ORDER BY alert_date DESC, CASE alert_category WHEN 'CRITICAL' THEN 3 WHEN 'SAFETY' THEN 2 ELSE 1 END DESC,
+                  component_name, inference_trace_id) AS place
+FROM unified WHERE alert_date > DATE '{AS_OF}' - 7 AND alert_date <= DATE '{AS_OF}'
+GROUP BY aircraft_id, component_name, alert_date, alert_severity, alert_category, inference_trace_id""")
+def active_alerts(spark, sf):
+    """Q-09: active alerts (last 7 days) per aircraft, by date and severity."""
+    return Q.active_alerts(unified(spark, sf), AS_OF, 7)
+
+
+@query("aircraft_alerts_7d", MART + f"""
+SELECT "timestamp", aircraft_id, component_name, alert_severity, alert_category, inference_source,
+       inference_trace_id, batch_id
+FROM unified WHERE alert_date >= DATE '{AS_OF}' - 7 AND alert_date <= DATE '{AS_OF}'""")
+def aircraft_alerts_7d(spark, sf):
+    """Q-19: alerts of the last seven days with their inference source."""
+    return Q.recent_alerts(unified(spark, sf), AS_OF, 7)
+
+
+@query("critical_sources", O.with_(*O.mart_ctes(), O.TRACE) + f"""
+SELECT aircraft_id, "timestamp", component_name, alert_severity, inference_table, inference_trace_id
+FROM trace WHERE alert_category = 'CRITICAL' AND alert_date = DATE '{AS_OF}'""")
+def critical_sources(spark, sf):
+    """Q-19: source inference rows of a day's critical alerts."""
+    from .q_alerts import trace
+    return Q.critical_alerts(trace(spark, sf), AS_OF).select(
+        "aircraft_id", "timestamp", "component_name", "alert_severity", "inference_table", "inference_trace_id")
+
+
+@query("high_alerts_latest", MART + """
+SELECT aircraft_id, component_id, max("timestamp") AS "timestamp" FROM unified WHERE alert_severity = 'HIGH'
+GROUP BY aircraft_id, component_id""")
+def high_alerts_latest(spark, sf):
+    """Q-18: HIGH rows of the latest-alert view."""
+    return A.dashboard_view(unified(spark, sf)).filter(F.col("alert_severity") == "HIGH").select(
+        "aircraft_id", "component_id", "timestamp")
+
+
+@query("critical_over_time", COMP + """
+SELECT component_type, CAST(event_timestamp AS DATE) AS date, count(*) AS failures,
+       count(DISTINCT aircraft_id) AS aircraft
+FROM comp_view WHERE health_status = 'CRITICAL' GROUP BY ALL""")
+def critical_over_time(spark, sf):
+    """Q-27: critical failures per component type and day."""
+    return Q.critical_over_time(view(spark, sf))
+
+
+@query("health_ranking", O.with_(*O.comp_ctes(O.COMP_KEYS), O.comp_view(), O.AIRCRAFT_DAILY) + f"""
+SELECT aircraft_id, health_score, alert_count, row_number() OVER (ORDER BY health_score, alert_count DESC, aircraft_id) AS place
+FROM aircraft_daily WHERE date = DATE '{AS_OF}'""")
+def health_ranking(spark, sf):
+    """Q-02 / Q-08 / U-04: aircraft of a day, worst first."""
+    return Q.worst_first(aircraft_daily(spark, sf), AS_OF)
+
+
 @query("component_trend", COMP + f"""
 SELECT component_type, date, round(avg(vibration_level), 6) AS avg_vibration_level, count(vibration_level) AS readings
 FROM (SELECT *, CAST(event_timestamp AS DATE) AS date FROM comp_view) t

@@ -10,6 +10,7 @@ from ..functions.nested import flatten_json_kv
 from ..functions.scalars import rule_score
 from ..ml import model as M
 from ..operators.joins import mapped_keys, ref_join, unmapped_keys
+from ..operators.skew import day_bucket
 from ..operators.sampling import hash_uniform_sql, sample_n, stratified_split
 from ..operators.windows import rolling_features
 from ..sinks import tables as X
@@ -63,10 +64,12 @@ SELECT aircraft_id, ts, event_id, feature_ts, round(avg_temp_7r, 6) AS avg_temp_
 def point_in_time_lookup(spark, sf):
     """J-10: for each maintenance event, the latest rolling feature at or before it."""
     r = D.sensor_readings(spark, sf)
-    feats = rolling_features(r, ["aircraft_id"], ["timestamp", "reading_id"], avgs={"avg_temp_7r": "engine_temp"})
+    feats = rolling_features(r, ["aircraft_id"], ["timestamp", "reading_id"], avgs={"avg_temp_7r": "engine_temp"},
+                             bucket=day_bucket)
     labels = D.table(spark, sf, "events").filter(F.col("event_type") == "signup").select(
         F.col("user_id").alias("aircraft_id"), "ts", "event_id")
-    out = M.point_in_time(labels, feats, "aircraft_id", "ts", "timestamp", ["avg_temp_7r"])
+    out = M.point_in_time(labels, feats, "aircraft_id", "ts", "timestamp", ["avg_temp_7r"],
+                          tie=["reading_id"], bucket=day_bucket)
     return _r(out, ["avg_temp_7r"])
 
 
@@ -355,7 +358,7 @@ def stream_alerts(spark, sf):
                            T.StructField("component_type", T.StringType()),
                            T.StructField("health_status", T.StringType()),
                            T.StructField("alert_timestamp", T.TimestampNTZType())])
-    return spark.read.parquet(f"{loc}/sink").select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    return spark.read.schema(schema).parquet(f"{loc}/sink").select(*schema.names)
 
 
 # ------------------------------------------------------------------- model
@@ -375,39 +378,6 @@ def rf_score(spark, sf):
     return M.score(model, feats).select("aircraft_id", "timestamp", "anomaly_score", "predicted_anomaly")
 
 
-# -------------------------------------------------------------- generators
-def _fleet(spark, sf):
-    """Aircraft with telemetry: customers that occur in events (model = segment)."""
-    c = D.table(spark, sf, "customer")
-    users = D.table(spark, sf, "events").select(F.col("user_id").alias("c_custkey"))
-    return c.join(users, "c_custkey", "left_semi").select(
-        F.col("c_custkey").alias("aircraft_id"), F.col("c_mktsegment").alias("model"))
-
-
-@query("gen_sensor")
-def gen_sensor(spark, sf):
-    """G-01 / G-02: a year of daily readings for every aircraft with telemetry (rows-only)."""
-    from ..sources import generate as G
-    return G.sensor_days(_fleet(spark, sf))
-
-
-@query("gen_maintenance")
-def gen_maintenance(spark, sf):
-    """G-03 (rows-only)."""
-    from ..sources import generate as G
-    return G.maintenance(_fleet(spark, sf))
-
-
-@query("gen_component")
-def gen_component(spark, sf):
-    """G-04 … G-12: 100 readings per aircraft for each of the nine twins (rows-only)."""
-    from ..sources import generate as G
-    from ..operators.sets import union_by_name
-    fleet = _fleet(spark, sf)
-    return union_by_name([G.component_records(k, fleet, "2024-12-31 00:00:00").withColumn("component", F.lit(k))
-                          for k in G.COMPONENT_RANGES])
-
-
 # ----------------------------------------------------------- more coverage
 @query("sql_records_per_type", O.with_(*O.comp_ctes(O.COMP_KEYS), O.comp_view()) + """
 SELECT aircraft_id, component_type, count(*) AS total_records FROM comp_view

@@ -23,10 +23,8 @@ def _inputs(spark, sf):
 
 
 def _chain(spark, sf, how="inner", skew_bucket=None):
-    def build():
-        r, m, mo = _inputs(spark, sf)
-        return sensor.run(r, m, mo, how=how, skew_bucket=skew_bucket)
-    return D.memo("sensor_chain", spark, sf, how, getattr(skew_bucket, "__name__", None), build=build)
+    r, m, mo = _inputs(spark, sf)
+    return sensor.run(r, m, mo, how=how, skew_bucket=skew_bucket)
 
 
 def _sql_round(cols, d=6):
@@ -102,7 +100,8 @@ def lag_feature(spark, sf):
     """W-05 on all readings (uncleaned), total order (timestamp, reading_id)."""
     r = D.sensor_readings(spark, sf)
     out = rolling_features(r, ["aircraft_id"], ["timestamp", "reading_id"],
-                           lags={"prev_temp": "engine_temp", "prev_vibration": "vibration"})
+                           lags={"prev_temp": "engine_temp", "prev_vibration": "vibration"},
+                           bucket=sensor.day_bucket)
     return out.select("aircraft_id", "timestamp", "reading_id", "prev_temp", "prev_vibration")
 
 
@@ -116,7 +115,8 @@ def rolling_rows(spark, sf):
     """W-06: 7-row trailing means."""
     r = D.sensor_readings(spark, sf)
     out = rolling_features(r, ["aircraft_id"], ["timestamp", "reading_id"],
-                           avgs={"avg_temp_7r": "engine_temp", "avg_oil_7r": "oil_pressure"})
+                           avgs={"avg_temp_7r": "engine_temp", "avg_oil_7r": "oil_pressure"},
+                           bucket=sensor.day_bucket)
     return _round(out.select("aircraft_id", "timestamp", "reading_id", "avg_temp_7r", "avg_oil_7r"),
                   ["avg_temp_7r", "avg_oil_7r"])
 
@@ -146,7 +146,8 @@ def rolling_range(spark, sf):
     """W-06 with frame='range': a true 7-day time window (K2 option)."""
     r = D.sensor_readings(spark, sf)
     out = rolling_features(r, ["aircraft_id"], ["timestamp"], avgs={"avg_temp_7d_range": "engine_temp"},
-                           frame="range", range_col="timestamp", range_seconds=7 * 86400)
+                           frame="range", range_col="timestamp", range_seconds=7 * 86400,
+                           bucket=sensor.day_bucket)
     return _round(out.select("aircraft_id", "timestamp", "reading_id", "avg_temp_7d_range"),
                   ["avg_temp_7d_range"])
 

@@ -20,23 +20,17 @@ from ..functions.scalars import days_since, risk_label, rule_score
 from ..operators.asof import asof_join
 from ..operators.joins import ref_join
 from ..operators.quality import clean
+from ..operators.skew import day_bucket, month_bucket  # noqa: F401
 from ..operators.windows import dedupe, latest_by, rolling_features
 
 
-def month_bucket(c):
-    return F.trunc(F.to_date(c), "month")
-
-
-from ..operators.skew import day_bucket, probe_hot_keys  # noqa: E402,F401
-
-
 def cleaned(raw: DataFrame) -> DataFrame:
     """P-01 kept rows."""
     return clean(raw)[0]
 
 
 def enriched(readings: DataFrame, maintenance: DataFrame, models: DataFrame,
-             how: str = "inner", skew_bucket=None, skew: str = "auto") -> DataFrame:
+             how: str = "inner", skew_bucket=None) -> DataFrame:
     """T-01: latest maintenance at or before the reading day (J-01/W-01),
     model metadata (J-02), one row per (aircraft_id, timestamp) (W-02)."""
     r = readings.drop("_rescued_data")
@@ -44,11 +38,11 @@ def enriched(readings: DataFrame, maintenance: DataFrame, models: DataFrame,
     tie = ["maint_id"] if "maint_id" in m.columns else ["event_type"]
     r = ref_join(r, models, on="model", how="left")
     j = asof_join(r, m, keys=["aircraft_id"], left_on=F.to_date("timestamp"), right_on="maint_date",
-                  right_cols=["maint_date", "event_type"], tie=tie, how=how, bucket=skew_bucket, skew=skew)
+                  right_cols=["maint_date", "event_type"], tie=tie, how=how, bucket=skew_bucket)
     return dedupe(j, ["aircraft_id", "timestamp"])
 
 
-def sensor_features(enriched_df: DataFrame, skew_bucket=None, frame: str = "rows", skew: str = "auto") -> DataFrame:
+def sensor_features(enriched_df: DataFrame, skew_bucket=None, frame: str = "rows") -> DataFrame:
     """T-02: casts (P-03), lag of the anomaly flag (W-05), 7-row means (W-06),
     days since maintenance (F-03), fixed projection (P-04)."""
     df = enriched_df.select(
@@ -65,7 +59,7 @@ def sensor_features(enriched_df: DataFrame, skew_bucket=None, frame: str = "rows
         avgs={"avg_engine_temp_7d": "engine_temp", "avg_vibration_7d": "vibration",
               "avg_rpm_7d": "engine_rpm"},
         n=S.ROLLING_ROWS, frame=frame, range_col="timestamp", range_seconds=7 * 86400,
-        bucket=skew_bucket, skew=skew)
+        bucket=skew_bucket)
     df = df.withColumn("prev_anomaly", F.col("prev_anomaly").cast("double")) \
            .withColumn("days_since_maint", days_since("date", "maint_date").cast("int"))
     return df.select(*S.SENSOR_FEATURE_COLS)
@@ -87,10 +81,6 @@ def aircraft_view(engine: DataFrame) -> DataFrame:
     return engine.select("aircraft_id", "timestamp", "engine_health_status", "predicted_anomaly")
 
 
-def _as_arg(hot):
-    return "all" if hot is None else hot
-
-
 class SensorChain:
     """The E1 chain with every stage built lazily, once (``chain["features"]``)."""
 
@@ -111,14 +101,10 @@ class SensorChain:
                 kept = r
             self._built.update(cleaned=kept, quarantined=q)
             return self._built[stage]
-        if stage == "hot_keys":
-            # one probe on the cleaned readings serves every per-aircraft window
-            return probe_hot_keys(self["cleaned"], ["aircraft_id"]) if self._bucket is None else []
         if stage == "enriched":
-            return enriched(self["cleaned"], m, mo, how=self._how, skew_bucket=self._bucket,
-                            skew=_as_arg(self["hot_keys"]))
+            return enriched(self["cleaned"], m, mo, how=self._how, skew_bucket=self._bucket)
         if stage == "features":
-            return sensor_features(self["enriched"], skew_bucket=self._bucket, skew=_as_arg(self["hot_keys"]))
+            return sensor_features(self["enriched"], skew_bucket=self._bucket)
         if stage == "predictions":
             return prediction_results(self["features"])
         if stage == "engine_view":

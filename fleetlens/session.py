@@ -36,12 +36,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     On a cluster the folder is configured by the operator and must be shared
-    storage; only when it is unset (local tests) a scratch folder is chosen.
+    storage; unset, a single-process session (tests) gets a scratch folder and
+    any other fails.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="fleetlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     try:
         spark.conf.set("spark.checkpoint.dir", path)
@@ -85,5 +89,4 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.session.timeZone": "UTC",
-        "spark.fleetlens.skew.rowsPerKey": "5000000",
     }

@@ -1,21 +1,22 @@
 """Sinks and table maintenance (O-01 … O-11) on plain Parquet.
 
-Keyed upsert / delete (MERGE without a table format) use *versioned
-partitions*: a table root holds ``v=<n>`` partition folders; a change writes
-the complete new content as ``v=<n+1>`` (a normal Spark job commit) and
-readers take the highest committed version.  A table is therefore never
-overwritten while it is being read, and a failed job leaves the previous
-version intact.
+Keyed upsert / delete (MERGE without a table format): a change writes the
+complete new content into a fresh folder ``v=<number>-<unique>`` under the table
+root, by one ordinary Spark write.  Nothing is appended to an existing folder
+and there is no log beside the data: a version exists once its write job has
+committed its files, and readers take the highest one.  A failed or repeated
+write therefore leaves the previous version or makes another whole one.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.quality import duplicate_keys, drop_null_keys
+from ..operators.quality import drop_null_keys
 from ..operators.windows import dedupe
 
 VERSION_COL = "v"
@@ -32,92 +33,83 @@ def overwrite(df: DataFrame, path: str, partition_by=None, fmt: str = "parquet")
 def append_batch(spark: SparkSession, df: DataFrame, path: str, batch_id: str,
                  partition_by=("alert_day",), fmt: str = "parquet") -> None:
     """O-02: append a batch stamped with ``batch_id``; a batch id already
-    present in the target is refused (re-running a batch cannot duplicate)."""
+    present in the target is refused (re-running a batch cannot duplicate).
+
+    The batch id is the first partition column, so the check reads one folder
+    and not the whole target."""
     try:
         existing = spark.read.format(fmt).load(path)
         if "batch_id" in existing.columns and not existing.filter(F.col("batch_id") == batch_id).isEmpty():
             raise ValueError(f"batch {batch_id} already appended to {path}")
     except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+        if not any(x in str(e) for x in ("PATH_NOT_FOUND", "does not exist", "UNABLE_TO_INFER_SCHEMA")):
             raise
-    out = df.withColumn("batch_id", F.lit(batch_id))
-    w = out.write.mode("append").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(path)
+    (df.withColumn("batch_id", F.lit(batch_id)).write.mode("append").format(fmt)
+     .partitionBy("batch_id", *(partition_by or ())).save(path))
 
 
 def recreate_and_append(spark: SparkSession, df: DataFrame, path: str, condition, batch_id: str,
                         partition_by=("alert_day",)) -> None:
-    """O-04: start the table empty with ``df``'s schema, then append the rows
-    matching ``condition`` (the per-component alert tables)."""
-    spark.createDataFrame([], df.schema).withColumn("batch_id", F.lit(None).cast("string")) \
-        .write.mode("overwrite").parquet(path)
-    append_batch(spark, df.filter(condition), path, batch_id, partition_by)
+    """O-04: replace the table by the rows matching ``condition`` (the
+    per-component alert tables), in one write, so no reader meets an empty
+    table in between."""
+    (df.filter(condition).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+     .partitionBy("batch_id", *(partition_by or ())).parquet(path))
 
 
 # ----------------------------------------------------------- versioned tables
-def _log_path(root):
-    return f"{root.rstrip('/')}/_versions"
-
-
-def _data_path(root):
-    return f"{root.rstrip('/')}/data"
-
-
-def _latest_version(spark: SparkSession, root: str):
-    """(version, schema) of the last committed version, or (None, None)."""
+def _current_folder(spark: SparkSession, root: str):
+    """Folder of the highest committed version, or None.  Only file names are
+    listed (an empty version still has a file)."""
     try:
-        log = spark.read.parquet(_log_path(root))
+        files = spark.read.parquet(root).inputFiles()
     except Exception as e:  # noqa: BLE001
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e) or "does not exist" in str(e):
-            return None, None
+            return None
         raise
-    row = log.orderBy(F.col(VERSION_COL).desc()).select(VERSION_COL, "schema_json").first()  # one-row lookup
-    if row is None:
-        return None, None
-    from pyspark.sql.types import StructType
-    import json
-    return row[0], StructType.fromJson(json.loads(row[1]))
+    names = {part for f in files for part in f.split("/") if part.startswith(f"{VERSION_COL}=")}
+    return f"{root.rstrip('/')}/{max(names)}" if names else None
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
-    """Current content of a versioned table (partition-pruned to the last
-    committed version; an empty version reads as an empty frame)."""
-    v, schema = _latest_version(spark, root)
-    if v is None:
+    """Current content of a versioned table, with the schema of that version."""
+    folder = _current_folder(spark, root)
+    if folder is None:
         raise FileNotFoundError(root)
-    from pyspark.sql.types import IntegerType, StructField, StructType
-    full = StructType(list(schema.fields) + [StructField(VERSION_COL, IntegerType())])
-    try:
-        data = spark.read.schema(full).option("basePath", _data_path(root)).parquet(_data_path(root))
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
-    return data.filter(F.col(VERSION_COL) == v).drop(VERSION_COL)
+    return spark.read.parquet(folder)
 
 
 def write_version(spark: SparkSession, root: str, df: DataFrame) -> int:
-    """Write ``df`` as the next version: data first, then the log row that
-    commits it (a failed data job leaves the previous version current)."""
-    v, _ = _latest_version(spark, root)
-    nv = 0 if v is None else int(v) + 1
-    df.withColumn(VERSION_COL, F.lit(nv)).write.mode("append").partitionBy(VERSION_COL).parquet(_data_path(root))
-    spark.createDataFrame([(nv, df.schema.json())], f"{VERSION_COL} int, schema_json string") \
-        .write.mode("append").parquet(_log_path(root))
+    """Write ``df`` as the next version, in a folder of its own."""
+    folder = _current_folder(spark, root)
+    nv = 0 if folder is None else int(folder.rsplit("=", 1)[1].split("-", 1)[0]) + 1
+    df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{VERSION_COL}={nv:012d}-{uuid.uuid4().hex}")
     return nv
 
 
 def upsert_frame(target: DataFrame, source: DataFrame, keys, on_duplicate: str = "fail") -> DataFrame:
     """O-07 as a pure DataFrame: target rows whose key is not in ``source``,
-    plus all source rows (last writer wins).  Source keys must be unique:
-    ``on_duplicate='fail'`` raises inside the job, ``'dedupe'`` keeps the
-    greatest row per key."""
+    plus all source rows (last writer wins), in one shuffle on the key.
+
+    Source keys must be unique: ``on_duplicate='fail'`` raises inside the job,
+    ``'dedupe'`` keeps the greatest row per key.  A NULL key on either side
+    raises: it could neither be replaced nor found again."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    source = dedupe(source, keys) if on_duplicate == "dedupe" else assert_unique(source, keys)
-    kept = target.join(source.select(*keys), keys, "left_anti")
-    return kept.unionByName(source.select(*target.columns))
+    if on_duplicate == "dedupe":
+        source = dedupe(source, keys)
+    both = target.withColumn("__src", F.lit(0)).unionByName(
+        source.select(*target.columns).withColumn("__src", F.lit(1)))
+    w = Window.partitionBy(*keys)
+    named = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+    def fail(text):
+        return F.raise_error(F.lit(text)).cast("boolean")
+
+    # the checks sit in the filter predicate: a projected column would be pruned
+    keep = (F.when(~named, fail(f"NULL key {keys}"))
+            .when(F.col("__n") > 1, fail(f"duplicate key {keys}"))
+            .otherwise((F.col("__src") == 1) | (F.col("__n") == 0)))
+    return both.withColumn("__n", F.sum("__src").over(w)).filter(keep).drop("__n", "__src")
 
 
 def assert_unique(df: DataFrame, keys, label: str = "key") -> DataFrame:
@@ -190,11 +182,3 @@ def register_feature_table(spark: SparkSession, df: DataFrame, path: str, keys,
         row = [(path, ",".join(keys), time_key or "", description)]
         spark.createDataFrame(row, "table_path string, primary_keys string, timestamp_key string, "
                                    "description string").write.mode("append").parquet(registry_path)
-
-
-def duplicate_report(df: DataFrame, keys) -> DataFrame:
-    return duplicate_keys(df, keys)
-
-
-def union_all(frames) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -18,29 +18,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-_TABLES: dict = {}
-
-
-def session_key(spark: SparkSession) -> str:
-    return spark.sparkContext.applicationId
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; the DataFrame (file listing + footer schema) is built
-    once per session and path and then reused – plans are immutable."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (session_key(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
-
-
-def memo(kind: str, spark: SparkSession, *args, build):
-    """Per-session memo of derived DataFrames (plan objects, not data)."""
-    key = (kind, session_key(spark), *args)
-    if key not in _TABLES:
-        _TABLES[key] = build()
-    return _TABLES[key]
+    """A driver table; read anew each time, so new files are seen."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def sensor_readings(spark, sf_dir) -> DataFrame:

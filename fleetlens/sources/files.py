@@ -46,17 +46,22 @@ def read_component_csv(spark, spec, path) -> DataFrame:
 
 
 def read_latest_file(spark: SparkSession, path: str, schema=None, fmt: str = "csv") -> DataFrame:
-    """S-14: only the rows of the most recently modified file under ``path``.
-
-    Uses the file-source ``_metadata`` column; the newest modification time is
-    a one-row aggregate joined back (no driver-side listing)."""
+    """S-14: the rows of the newest drop under ``path``.
+
+    A drop is a file in ``path`` itself or a folder in it with all its part
+    files.  Only file names and times are listed to find it (no content is
+    read), and only the newest drop is read."""
+    root = path.rstrip("/")
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+              .select("path", "modificationTime"))
+    newest = listed.agg(F.max_by("path", F.struct("modificationTime", "path"))).first()[0]
+    if newest is None:
+        raise FileNotFoundError(path)
+    tail = newest.split(root.split(":", 1)[-1].rstrip("/") + "/", 1)[1]
     r = spark.read.option("header", True)
     if schema is not None:
         r = r.schema(schema)
-    df = r.format(fmt).load(path).select("*", F.col("_metadata.file_modification_time").alias("__mt"),
-                                          F.col("_metadata.file_path").alias("__fp"))
-    newest = df.groupBy().agg(F.max_by("__fp", F.struct("__mt", "__fp")).alias("__fp"))
-    return df.join(newest, "__fp", "left_semi").drop("__mt", "__fp")
+    return r.format(fmt).load(f"{root}/{tail.split('/', 1)[0]}")
 
 
 def read_table_or_empty(spark: SparkSession, name: str, schema) -> DataFrame:

@@ -17,12 +17,13 @@ from .. import schemas as S
 from ..operators.quality import clean, observe_expectations
 from ..plans.components import component_alerts, health
 from ..session import ensure_checkpoint_dir
-from ..sources.files import parse_component, parse_sensor
+from ..sources.files import parse_component, parse_maintenance, parse_sensor
 
 
 def csv_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
-    """S-01 … S-11 as streams: header CSV with a fixed schema."""
-    r = spark.readStream.option("header", True).schema(schema)
+    """S-01 … S-11 as streams: header CSV with a fixed schema; a file whose
+    header has other names or another order fails (as in batch)."""
+    r = spark.readStream.option("header", True).option("enforceSchema", False).schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.csv(path)
@@ -32,6 +33,11 @@ def sensor_stream(spark, path) -> DataFrame:
     return parse_sensor(csv_stream(spark, path, S.RAW_SENSOR_SCHEMA))
 
 
+def maintenance_stream(spark, path) -> DataFrame:
+    """S-02 as a stream."""
+    return parse_maintenance(csv_stream(spark, path, S.MAINTENANCE_SCHEMA))
+
+
 def component_stream(spark, spec, path) -> DataFrame:
     return parse_component(csv_stream(spark, path, spec.raw_schema))
 
@@ -86,8 +92,9 @@ def latest_state_stream(stream_df: DataFrame, root: str, checkpoint: str, keys,
     """X-05: keep a latest-row-per-key table current from a stream.
 
     Each micro-batch is merged with the current version (union → latest per
-    key) and written as a new version of the versioned table (O-07); a
-    retried batch produces the same content, so replays are harmless."""
+    key) and written as a new version (O-07).  A version is one folder that
+    appears when its job commits, and merging a batch twice gives the same
+    rows, so a retried batch is harmless."""
     from ..operators.windows import latest_by
     from ..sinks.tables import read_current, write_version
 

@@ -175,7 +175,7 @@ def test_recreate_and_append(spark, tmp_path):
 
 
 def test_generated_drop_through_stream(spark, tmp_path):
-    from fleetlens.sources import generate as G
+    import generate as G
     from fleetlens.streaming import ingest as I
     fleet = spark.createDataFrame([("A320_101", "A320"), ("E190_501", "E190")], "aircraft_id string, model string")
     days = G.sensor_days(fleet, "2024-01-01", "2024-12-31", seed=7)

@@ -5,11 +5,12 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fleetlens import schemas as S
 from fleetlens.functions.rules import classify, classify_columns
-from fleetlens.operators.asof import asof_join, asof_join_ranked
+from fleetlens.operators.asof import asof_join
 from fleetlens.operators.sampling import sample_n, stratified_split
 from fleetlens.operators.sets import select_or_null
 from fleetlens.operators.windows import dedupe, rolling_features
@@ -176,22 +177,61 @@ def test_flatten_struct(spark):
     assert out == [("dev", "db.host", "x"), ("dev", "db.port", "1"), ("dev", "name", "y")]
 
 
-def test_hot_key_routing_equals_plain(spark):
-    from fleetlens.operators import skew as K
-    rnd = random.Random(3)
+def asof_join_ranked(left, right, keys, left_on, right_on, right_cols, tie=None, how="inner"):
+    """Plain oracle: every earlier right row per left row, then the last one."""
+    lo = F.col(left_on) if isinstance(left_on, str) else left_on
+    ro = F.col(right_on) if isinstance(right_on, str) else right_on
+    l = left.withColumn("__lid", F.monotonically_increasing_id()).withColumn("__lo", lo)
+    r = right.select(*[F.col(k).alias(f"__rk_{k}") for k in keys], ro.alias("__ro"),
+                     *[F.col(c) for c in right_cols],
+                     *[F.col(t).alias(f"__rt{i}") for i, t in enumerate(tie or [])])
+    j = l.join(r, [l[k] == r[f"__rk_{k}"] for k in keys] + [r["__ro"] <= l["__lo"]], "left")
+    w = Window.partitionBy("__lid").orderBy(F.col("__ro").desc_nulls_last(),
+                                            *[F.col(f"__rt{i}").desc() for i in range(len(tie or []))])
+    j = j.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1")
+    if how == "inner":
+        j = j.filter(F.col("__ro").isNotNull())
+    return j.select(*left.columns, *right_cols)
+
+
+def _null_history(spark):
+    """One hot key, ties, NULL keys and NULL times on both sides."""
+    rnd = random.Random(11)
     base = dt.datetime(2024, 1, 1)
-    rows = [("HOT" if i % 3 else f"K{i % 11}", base + dt.timedelta(hours=i), i, float(rnd.randint(0, 99)))
-            for i in range(1500)]
-    df = spark.createDataFrame(rows, "k string, ts timestamp, id int, x double")
-    hot = K.probe_hot_keys(df, ["k"], limit=200)
-    assert hot == [("HOT",)]
-    kw = dict(keys=["k"], order=["ts", "id"], lags={"px": "x"}, avgs={"ax": "x"})
-    plain = rolling_features(df, **kw).select("id", "px", F.round("ax", 9))
-    routed = rolling_features(df, skew=hot, **kw).select("id", "px", F.round("ax", 9))
-    every = rolling_features(df, skew="all", **kw).select("id", "px", F.round("ax", 9))
-    assert _rows(plain, ["id"]) == _rows(routed, ["id"]) == _rows(every, ["id"])
-    m = spark.createDataFrame([("HOT", dt.date(2024, 1, 10), 1), ("K1", dt.date(2024, 1, 2), 2)],
-                              "k string, d date, mid int")
-    akw = dict(keys=["k"], left_on=F.to_date("ts"), right_on="d", right_cols=["d", "mid"], tie=["mid"], how="left")
-    assert _rows(asof_join(df, m, **akw), ["id"]) == _rows(asof_join(df, m, skew=hot, **akw), ["id"]) \
-        == _rows(asof_join(df, m, skew="all", **akw), ["id"])
+    rows = []
+    for i in range(900):
+        key = None if i % 17 == 0 else "HOT" if i % 3 else f"K{i % 5}"
+        ts = None if i % 13 == 0 else base + dt.timedelta(hours=rnd.randint(0, 24 * 30))
+        rows.append((key, ts, i, float(rnd.randint(0, 99)) if i % 7 else None))
+    right = [(k, d, i) for i, (k, d) in enumerate(
+        [("HOT", dt.date(2024, 1, 5)), ("HOT", dt.date(2024, 1, 5)), ("HOT", None), (None, dt.date(2024, 1, 2)),
+         ("K1", dt.date(2024, 1, 9)), (None, None), ("K2", dt.date(2023, 12, 1))])]
+    return (spark.createDataFrame(rows, "k string, ts timestamp, id int, x double").repartition(5),
+            spark.createDataFrame(right, "k string, d date, mid int"))
+
+
+@pytest.mark.parametrize("bucket", ["day", "month"])
+def test_split_windows_equal_plain_with_nulls(spark, bucket):
+    from fleetlens.operators import skew as K
+    df, _ = _null_history(spark)
+    b = {"day": K.day_bucket, "month": K.month_bucket}[bucket]
+    kw = dict(keys=["k"], order=["ts", "id"], lags={"px": "x"}, avgs={"ax": "x"}, n=4)
+    plain = rolling_features(df, **kw).select("k", "ts", "id", "px", F.round("ax", 9).alias("ax"))
+    split = rolling_features(df, bucket=b, **kw).select(*plain.columns[:4], F.round("ax", 9).alias("ax"))
+    assert plain.count() == split.count() == 900
+    assert _rows(plain, ["id"]) == _rows(split, ["id"])
+    kw = dict(keys=["k"], order=["ts"], avgs={"ax": "x"}, frame="range", range_col="ts", range_seconds=3 * 86400 + 7)
+    plain = rolling_features(df, **kw).select("k", "ts", "id", F.round("ax", 9).alias("ax"))
+    split = rolling_features(df, bucket=b, **kw).select("k", "ts", "id", F.round("ax", 9).alias("ax"))
+    assert _rows(plain, ["id"]) == _rows(split, ["id"])
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_asof_never_matches_nulls(spark, how):
+    from fleetlens.operators import skew as K
+    df, right = _null_history(spark)
+    kw = dict(keys=["k"], left_on=F.to_date("ts"), right_on="d", right_cols=["d", "mid"], tie=["mid"], how=how)
+    want = _rows(asof_join_ranked(df, right, **kw), ["id"])
+    assert _rows(asof_join(df, right, **kw), ["id"]) == want
+    assert _rows(asof_join(df, right, bucket=K.day_bucket, **kw), ["id"]) == want
+    assert len(want) == 900 if how == "left" else all(r[0] is not None and r[1] is not None for r in want)

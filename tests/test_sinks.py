@@ -64,3 +64,27 @@ def test_cluster_conf_sizing():
     parts = int(c["spark.sql.shuffle.partitions"])
     assert parts % 8000 == 0 and parts * (256 << 20) >= 100 * 2**40
     assert int(cluster_conf(10 << 20, 2, 4)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_retried_upsert_keeps_each_key_once(spark, tmp_path, monkeypatch):
+    """A write that breaks off, or is repeated, never doubles rows."""
+    root = str(tmp_path / "t")
+    base = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    X.upsert(spark, root, base, "k")
+    broken = spark.createDataFrame([("b", 3), ("c", 4)], "k string, v int").withColumn(
+        "v", F.when(F.col("k") == "c", F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("v")))
+    with pytest.raises(Exception):
+        X.upsert(spark, root, broken, "k")
+    good = spark.createDataFrame([("b", 3), ("c", 4)], "k string, v int")
+    X.upsert(spark, root, good, "k")
+    X.upsert(spark, root, good, "k")
+    assert sorted(map(tuple, X.read_current(spark, root).collect())) == [("a", 1), ("b", 3), ("c", 4)]
+
+
+@pytest.mark.parametrize("side", ["target", "source"])
+def test_null_keys_are_refused(spark, side):
+    good = spark.createDataFrame([("a", 1)], "k string, v int")
+    bad = spark.createDataFrame([(None, 1)], "k string, v int")
+    pair = (bad, good) if side == "target" else (good, bad)
+    with pytest.raises(Exception, match="NULL key"):
+        X.upsert_frame(*pair, ["k"]).collect()

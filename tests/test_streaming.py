@@ -1,3 +1,4 @@
+import pytest
 """Stream ≡ batch: two drops in two availableNow runs, rerun adds nothing."""
 
 import csv
@@ -65,3 +66,36 @@ def test_latest_state_stream(spark, tmp_path):
     exp = {r.aircraft_id: r.engine_temp for r in batch.groupBy("aircraft_id").agg(
         F.max_by("engine_temp", "timestamp").alias("engine_temp")).collect()}
     assert cur == exp
+
+
+def test_swapped_header_fails_on_stream_and_batch(spark, tmp_path):
+    from fleetlens import schemas as S
+    names = [c for c, _ in S.COMPONENTS["fuel"].raw_cols]
+    src = tmp_path / "fuel"
+    src.mkdir()
+    swapped = [names[1], names[0], *names[2:]]
+    (src / "a.csv").write_text(",".join(swapped) + "\n" + ",".join("1" for _ in names) + "\n")
+    spec = S.COMPONENTS["fuel"]
+    with pytest.raises(Exception):
+        files.read_component_csv(spark, spec, str(src)).collect()
+    with pytest.raises(Exception):
+        I.run_available(I.component_stream(spark, spec, str(src)), f"{tmp_path}/out", f"{tmp_path}/ck")
+
+
+def test_every_twin_and_maintenance_stream(spark, tmp_path):
+    from fleetlens import schemas as S
+    for key, spec in S.COMPONENTS.items():
+        names = [c for c, _ in spec.raw_cols]
+        src = tmp_path / key
+        src.mkdir()
+        line = ["2024-03-01 00:00:00" if n == "event_timestamp" else "5" for n in names]
+        (src / "a.csv").write_text(",".join(names) + "\n" + ",".join(line) + "\n")
+        I.run_available(I.component_stream(spark, spec, str(src)), f"{tmp_path}/{key}-out", f"{tmp_path}/{key}-ck")
+        got = spark.read.parquet(f"{tmp_path}/{key}-out")
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(
+            map(tuple, files.read_component_csv(spark, spec, str(src)).select(*got.columns).collect()), key=repr)
+    src = tmp_path / "maint"
+    src.mkdir()
+    (src / "a.csv").write_text("aircraft_id,event_date,event_type\nA,2024-01-02,Routine Check\nB,bad,Engine Repair\n")
+    I.run_available(I.maintenance_stream(spark, str(src)), f"{tmp_path}/m-out", f"{tmp_path}/m-ck")
+    assert spark.read.parquet(f"{tmp_path}/m-out").filter("event_date is null").count() == 1

@@ -53,8 +53,6 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 and "/" in sys.argv[1] else "/root/testdata/sf0.01"
     names = [a for a in sys.argv[1:] if "/" not in a]
     spark = local_session(8)
-    if os.environ.get("FLEETLENS_SKEW_ROWS"):      # force hot-key routing in tests
-        spark.conf.set("spark.fleetlens.skew.rowsPerKey", os.environ["FLEETLENS_SKEW_ROWS"])
     if os.environ.get("SESSION_TZ"):              # robustness: non-UTC session time zone
         spark.conf.set("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
     con = duckdb.connect()
