@@ -166,10 +166,6 @@ def encode(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def empty_like(schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist([], schema=schema)
-
-
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
     return os.fspath(public_tokenizers.path(name))

@@ -149,7 +149,8 @@ def judge(df: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, margin: flo
     ``n_repeat_words``, ``base_failed``, ``kept`` and ``llr`` of every text.
     ``trusted``: ids (``id_col``) of the target texts."""
     ids = trusted.select(F.col(id_col).alias("__t")).distinct()
-    marked = (df.select(id_col, text_col).join(ids, F.col(id_col) == F.col("__t"), "left")
+    # the labels grow with the corpus, so they are never broadcast: one plan at every size
+    marked = (df.select(id_col, text_col).join(ids.hint("merge"), F.col(id_col) == F.col("__t"), "left")
               .select(F.col(text_col).alias("__text"), F.col("__t").isNotNull().alias("__trusted")))
     raw, target, share, texts = count_ngrams(marked, "__trusted", buckets, "__text")
     ratio = log_ratio(raw, target) if texts else np.zeros(buckets)
