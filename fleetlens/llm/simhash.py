@@ -294,8 +294,9 @@ def one_per_component(df: DataFrame, linked: DataFrame, id_col: str = "doc_id",
     """The rows of ``df`` that stay if each component of ``linked`` keeps the
     row with its smallest id (repeated rows: one)."""
     first = linked.groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("row"))).alias("m"))
-    keep = first.select(F.col("m.row").alias("__keep"))
-    row, rank = C.free_name(df, "row"), C.free_name(df, "rank")
-    same = Window.partitionBy(row).orderBy(F.lit(1))
-    return (df.withColumn(row, F.xxhash64(id_col, text_col)).join(keep, F.col(row) == F.col("__keep"), "left_semi")
+    row, rank, of, keep_id = (C.free_name(df, x) for x in ("row", "rank", "keep", "keep_id"))
+    keep = first.select(F.col("m.row").alias(of), F.col(f"m.{id_col}").alias(keep_id))
+    same = Window.partitionBy(row, id_col).orderBy(F.lit(1))
+    return (df.withColumn(row, F.xxhash64(id_col, text_col))
+            .join(keep, (F.col(row) == F.col(of)) & F.col(id_col).eqNullSafe(F.col(keep_id)), "left_semi")
             .withColumn(rank, F.row_number().over(same)).filter(F.col(rank) == 1).select(*df.columns))

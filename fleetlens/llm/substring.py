@@ -8,9 +8,9 @@ window is removed.
    the smallest hash is its anchor (winnowing), so equal windows have equal
    anchors and about one phrase in thirteen is one.  Only anchors shuffle, with the
    row they stand in; those seen once are dropped.
-2. *Confirmation.*  The windows whose anchor recurs are counted by a 64-bit
-   hash that is salted with the anchor's; those seen twice or more are the
-   recurring passages.  A task merges what it sees twice itself into runs and
+2. *Confirmation.*  The windows whose anchor recurs are counted by two
+   independent hashes (127 bits together, so that no two different windows of
+   any corpus meet); those seen twice or more are the recurring passages.  A task merges what it sees twice itself into runs and
    sends one probe per window for the others, so a passage in a third of all
    texts does not meet in one task.
 3. *Automata.*  Texts come together with their confirmed positions.  Each
@@ -85,10 +85,10 @@ class Windows:
 
 
 def _counted(rows: DataFrame, key: str) -> DataFrame:
-    """Rows (key, ``salt``, ``n``, ...) whose key occurs twice or more.  Rows
-    with a salt are known to recur and keep to themselves."""
+    """Rows (key, ``salt``, ``n``, ...) whose key and salt occur twice or more.
+    Rows with an odd salt are known to recur and keep to themselves."""
     total = F.sum("n").over(Window.partitionBy(key, "salt"))
-    return rows.withColumn("total", total).filter((F.col("salt") != 0) | (F.col("total") > 1))
+    return rows.withColumn("total", total).filter((F.col("salt") % 2 != 0) | (F.col("total") > 1))
 
 
 def _group(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,8 +138,10 @@ def _windows(docs: DataFrame, size: int, anchor: int) -> DataFrame:
                 continue
             start = w.starts[near]
             key = C.mix(C.window_hashes(w.hashes, size, 11)[start] ^ C.mix(w.least[near]))
-            order = np.argsort(key, kind="stable")
-            first, run_of = _group(key[order])
+            second = C.window_hashes(w.hashes, size, 23)[start].view(np.int64) & ~np.int64(1)
+            order = np.lexsort((second, key))
+            new = (key[order][1:] != key[order][:-1]) | (second[order][1:] != second[order][:-1])
+            first, run_of = _group(np.cumsum(np.concatenate([[False], new])))
             times = np.empty(len(key), dtype=np.int64)
             times[order] = np.diff(np.concatenate([first, [len(key)]]))[run_of]
             text = w.words.row[start]
@@ -158,7 +160,7 @@ def _windows(docs: DataFrame, size: int, anchor: int) -> DataFrame:
             ones, none = np.ones(len(single), dtype=np.int32), np.zeros(len(probe), dtype=np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (
                 (key[single].view(np.int64), key[probe].view(np.int64), rows[head]),
-                (np.zeros(len(single) + len(probe), dtype=np.int64), rows[head] | 1),
+                (second[single], second[probe], rows[head] | 1),
                 (rows[single], rows[probe], rows[head]),
                 (pos[single].astype(np.int32), none, pos[head].astype(np.int32)),
                 (ones, none, length.astype(np.int32)),
