@@ -8,6 +8,8 @@ aggregation.  The model registry is a small Parquet table.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -84,6 +86,25 @@ def precision_recall_f1(df: DataFrame, label: str, pred: str) -> DataFrame:
     return c.withColumn("f1", f1)
 
 
+def metrics_by_version(df: DataFrame, label: str, predictions: dict, model: str) -> DataFrame:
+    """M-05 / Q-13 for several versions in one pass: ``predictions`` maps a
+    version number to its prediction column.  One aggregation counts all of
+    them; the counts are turned into a row per version afterwards."""
+    y = F.col(label)
+    cells = {"tp": (1, 1), "fp": (0, 1), "fn": (1, 0), "tn": (0, 0)}
+    counted = df.agg(*[F.count_if((y == a) & (p == b)).alias(f"{name}_{v}")
+                       for v, p in predictions.items() for name, (a, b) in cells.items()])
+    rows = counted.select(F.inline(F.array(*[
+        F.struct(F.lit(v).alias("version"), *[F.col(f"{c}_{v}").alias(c) for c in cells]) for v in predictions])))
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    precision = F.when(tp + fp > 0, tp / (tp + fp)).otherwise(F.lit(0.0))
+    recall = F.when(tp + fn > 0, tp / (tp + fn)).otherwise(F.lit(0.0))
+    rows = rows.withColumns({"precision": precision, "recall": recall})
+    total = F.col("precision") + F.col("recall")
+    f1 = F.when(total > 0, 2 * F.col("precision") * F.col("recall") / total).otherwise(F.lit(0.0))
+    return rows.withColumn("f1", f1).select(F.lit(model).alias("model"), "*")
+
+
 def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
     """M-06: rows = label, columns = predicted class."""
     return (df.groupBy(F.col(label).alias("label")).pivot(pred, [0, 1]).count()
@@ -94,13 +115,16 @@ def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
 # ------------------------------------------------------------------ registry
 def register(spark: SparkSession, model: PipelineModel, root: str, name: str, version: int,
              metrics: dict, params: dict | None = None) -> str:
-    """M-07: save the model under ``root/name/v=<version>`` and append a registry row."""
+    """M-07: save the model under ``root/models/<name>/v=<version>`` and record
+    it.  The record is a folder of its own per (model, version), overwritten by
+    a repeated registration, so a version never has two rows."""
     path = f"{root.rstrip('/')}/models/{name}/v={version}"
     model.write().overwrite().save(path)
     row = [(name, int(version), path, float(metrics.get("precision", 0.0)), float(metrics.get("recall", 0.0)),
             float(metrics.get("f1", 0.0)), str(params or {}))]
     spark.createDataFrame(row, "model string, version int, path string, precision double, recall double, "
-                               "f1 double, params string").write.mode("append").parquet(f"{root}/registry")
+                               "f1 double, params string").write.mode("overwrite").parquet(
+        f"{root.rstrip('/')}/registry/entry={name}-v{int(version)}")
     return path
 
 
@@ -112,34 +136,51 @@ def champion(registry: DataFrame, metric: str = "f1") -> DataFrame:
         F.col(f"c.{metric}").alias(metric))
 
 
-def load(spark: SparkSession, root: str, name: str, version: int | None = None) -> PipelineModel:
-    """M-08: load by version, or the champion when ``version`` is None (one-row lookup)."""
-    reg = spark.read.parquet(f"{root}/registry").filter(F.col("model") == name)
+def newest(registry: DataFrame) -> DataFrame:
+    """M-08: per model the alias to its highest version, whatever its metrics."""
+    return registry.groupBy("model").agg(
+        F.max("version").alias("newest_version"), F.max_by("path", "version").alias("path"))
+
+
+def load(spark: SparkSession, root: str, name: str, version: int | str | None = None) -> PipelineModel:
+    """M-08: load by version number, ``"newest"``, or the champion when
+    ``version`` is None (one-row lookup)."""
+    reg = spark.read.parquet(f"{root.rstrip('/')}/registry").filter(F.col("model") == name)
     if version is None:
         path = champion(reg).first()["path"]
+    elif version == "newest":
+        path = newest(reg).first()["path"]
     else:
         path = reg.filter(F.col("version") == version).first()["path"]
     return PipelineModel.load(path)
 
 
-def drift_report(reference: DataFrame, current: DataFrame, cols, by: str) -> DataFrame:
-    """M-13: per window of ``current`` (column ``by``), mean / stddev of each
-    feature next to the reference statistics and the mean shift in reference
-    standard deviations."""
-    ref = reference.agg(*[F.avg(c).alias(f"{c}__rm") for c in cols],
-                        *[F.stddev_samp(c).alias(f"{c}__rs") for c in cols])
-    cur = current.groupBy(by).agg(*[F.avg(c).alias(f"{c}__cm") for c in cols],
-                                  *[F.stddev_samp(c).alias(f"{c}__cs") for c in cols],
-                                  F.count(F.lit(1)).alias("rows"))
-    # ref is a single aggregated row: attach it as literals through a 1-row join key
-    j = cur.withColumn("__k", F.lit(1)).join(ref.withColumn("__k", F.lit(1)), "__k").drop("__k")
-    parts = []
-    for c in cols:
-        parts.append(F.struct(F.lit(c).alias("feature"), F.col(f"{c}__cm").alias("mean"),
-                              F.col(f"{c}__cs").alias("stddev"), F.col(f"{c}__rm").alias("ref_mean"),
-                              F.col(f"{c}__rs").alias("ref_stddev"),
-                              ((F.col(f"{c}__cm") - F.col(f"{c}__rm")) / F.col(f"{c}__rs")).alias("shift")))
-    return j.select(by, "rows", F.explode(F.array(*parts)).alias("d")).select(by, "rows", "d.*")
+def drift_report(reference: DataFrame, current: DataFrame, cols, by: str, quantiles=(0.5, 0.95),
+                 step: float = 1.0) -> DataFrame:
+    """M-13: per window of ``current`` (column ``by``), mean, stddev and
+    quantiles of each feature next to those of the ``reference`` window, and
+    the mean shift in reference standard deviations.
+
+    Quantiles are taken over values rounded down to ``step``, so what a task
+    holds is a histogram bounded by the range of the feature, not its values.
+    The reference is one aggregated row, used as a scalar subquery: no join."""
+    names = [f"p{round(100 * q)}" for q in quantiles]
+
+    def figures(c):
+        binned = F.floor(F.col(c) / step) * F.lit(step)
+        return [F.avg(c).alias("mean"), F.stddev_samp(c).alias("stddev"),
+                *[F.percentile(binned, q).alias(n) for q, n in zip(quantiles, names)]]
+
+    def packed(c):
+        return F.struct(*figures(c)).alias(c)
+
+    ref = reference.agg(*[packed(c) for c in cols]).select(F.struct(*cols)).scalar()
+    cur = current.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), *[packed(c) for c in cols]).withColumn("__ref", ref)
+    parts = [F.struct(F.lit(c).alias("feature"), *[F.col(f"{c}.{n}") for n in ("mean", "stddev", *names)],
+                      *[F.col(f"__ref.{c}.{n}").alias(f"ref_{n}") for n in ("mean", "stddev", *names)],
+                      ((F.col(f"{c}.mean") - F.col(f"__ref.{c}.mean")) / F.col(f"__ref.{c}.stddev")).alias("shift"))
+             for c in cols]
+    return cur.select(by, "rows", F.inline(F.array(*parts)))
 
 
 def component_training_frame(health_df: DataFrame, spec):
@@ -155,3 +196,19 @@ def train_component_models(frames: dict, specs: dict, num_trees: int = 100, seed
         train, feats = component_training_frame(df, specs[key])
         out[key] = fit(train.dropna(), feats, "label", num_trees=num_trees, seed=seed)
     return out
+
+
+def score_components(frames: dict, models: dict) -> DataFrame:
+    """M-11: every row of every twin scored by its own model: (component_type,
+    aircraft_id, component_id, event_timestamp, health_status,
+    predicted_anomaly).  Rows with a missing feature get a NULL prediction."""
+    parts = []
+    for key, df in frames.items():
+        # rows that the assembler would skip stay, without a prediction
+        feats = models[key].stages[0].getInputCols()
+        full = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in feats])
+        ids = ["aircraft_id", "component_id", "event_timestamp", "health_status"]
+        scored = score(models[key], df.filter(full)).select(*ids, "predicted_anomaly")
+        rest = df.filter(~full).select(*ids, F.lit(None).cast("int").alias("predicted_anomaly"))
+        parts.append(scored.unionByName(rest).select(F.lit(key).alias("component"), "*"))
+    return reduce(DataFrame.unionByName, parts)

@@ -131,9 +131,14 @@ def one_row_sum(long_df: DataFrame, metrics) -> DataFrame:
 
 def sanity_row(sensor: DataFrame, twins: dict, component_alerts: DataFrame | None = None,
                sensor_cols=("timestamp", "aircraft_id", "engine_temp", "fuel_efficiency", "vibration"),
-               statuses=(S.HEALTH_CRITICAL, S.HEALTH_WARNING), specs=None) -> DataFrame:
+               statuses=(S.HEALTH_CRITICAL, S.HEALTH_WARNING), specs=None,
+               check_time: str | None = None) -> DataFrame:
     """P-17: one wide row of nulls, counts, range violations, duplicate PKs and
-    alert counts per status (statuses pivoted to columns, K19).
+    alert counts per status (statuses pivoted to columns, K19), and the time of
+    the check if given (F-06).
+
+    The sensor frame is reduced to one row per key first, which carries its
+    counts, so duplicates and all other figures come from one evaluation.
 
     With ``component_alerts=None`` the alert counts are taken in the same
     aggregation pass as each twin's NULL counts (health rule applied inline,
@@ -144,13 +149,14 @@ def sanity_row(sensor: DataFrame, twins: dict, component_alerts: DataFrame | Non
         parts.append(metrics_long(one))
         names.extend(one.columns)
 
-    sensor_agg = sensor.agg(
+    outside = F.coalesce((F.col("engine_temp") > 1000) | (F.col("engine_temp") < 0) | (F.col("vibration") < 0),
+                         F.lit(False))
+    figures = [*(f"sensor_{c}_nulls" for c in sensor_cols), "sensor_out_of_range", "sensor_row_count"]
+    per_key = sensor.groupBy("aircraft_id", "timestamp").agg(
         *[F.count_if(F.col(c).isNull()).alias(f"sensor_{c}_nulls") for c in sensor_cols],
-        F.count_if(F.coalesce((F.col("engine_temp") > 1000) | (F.col("engine_temp") < 0)
-                              | (F.col("vibration") < 0), F.lit(False))).alias("sensor_out_of_range"),
-        F.count(F.lit(1)).alias("sensor_row_count"))
-    add(sensor_agg)
-    add(duplicate_key_count(sensor, ["aircraft_id", "timestamp"], "sensor_duplicate_pk"))
+        F.count_if(outside).alias("sensor_out_of_range"), F.count(F.lit(1)).alias("sensor_row_count"))
+    add(per_key.agg(*[F.sum(c).alias(c) for c in figures],
+                    F.count_if(F.col("sensor_row_count") > 1).alias("sensor_duplicate_pk")))
     alert_names = [f"component_alerts_{s.lower()}" for s in statuses]
     for prefix, df in twins.items():
         extra = []
@@ -172,8 +178,8 @@ def sanity_row(sensor: DataFrame, twins: dict, component_alerts: DataFrame | Non
     long_df = reduce(DataFrame.unionByName, parts).withColumn(
         "metric", F.when(F.col("metric").startswith("component_alerts_"),
                          F.lower("metric")).otherwise(F.col("metric")))
-    return one_row_sum(long_df, names)
-
+    row = one_row_sum(long_df, names)
+    return row if check_time is None else row.withColumn("check_time", F.lit(check_time).cast("timestamp_ntz"))
 
 
 def profile(df: DataFrame, sample_rows: int = 5):

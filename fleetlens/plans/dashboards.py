@@ -167,13 +167,16 @@ def histogram(df: DataFrame, col: str, width: float) -> DataFrame:
     return df.groupBy(b.alias("bucket_start")).agg(F.count(F.lit(1)).alias("readings"))
 
 
-def aircraft_status(engine_view: DataFrame, unified: DataFrame, maintenance: DataFrame) -> DataFrame:
-    """Q-23: status, alert count and last maintenance per aircraft."""
-    alerts = unified.groupBy("aircraft_id").agg(F.count(F.lit(1)).alias("alert_count"))
+def aircraft_status(summary: DataFrame, component_view: DataFrame, maintenance: DataFrame) -> DataFrame:
+    """Q-23: status, alert count (own and of all components) and last
+    maintenance per aircraft.  ``summary``: ``maps.aircraft_summary``."""
+    parts = component_view.groupBy("aircraft_id").agg(
+        F.count_if(F.col("health_status") != S.HEALTH_NOMINAL).alias("__parts"))
     maint = maintenance.groupBy("aircraft_id").agg(F.max("event_date").alias("last_maintenance"))
-    return (engine_view.select("aircraft_id", "engine_health_status", "timestamp")
-            .join(alerts, "aircraft_id", "left").join(maint, "aircraft_id", "left")
-            .withColumn("alert_count", F.coalesce("alert_count", F.lit(0))))
+    return (summary.join(parts, "aircraft_id", "left").join(maint, "aircraft_id", "left")
+            .select("aircraft_id", "engine_health_status", "timestamp",
+                    (F.col("alert_count") + F.coalesce("__parts", F.lit(0))).alias("alert_count"),
+                    "last_maintenance"))
 
 
 def high_risk_by_airport(engine_view: DataFrame, loc: DataFrame) -> DataFrame:

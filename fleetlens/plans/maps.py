@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import risk_label
 from ..operators.joins import ref_join
 from ..sources import driver as D
 
@@ -27,6 +28,25 @@ def location(spark, sf) -> DataFrame:
     return location_enriched(D.aircraft_airport_map(spark, sf), D.airport_reference(spark, sf))
 
 
+def aircraft_summary(predictions: DataFrame) -> DataFrame:
+    """Latest state and number of alerts per aircraft, in one pass over the
+    predictions (rows are unique by aircraft and time; no extra shuffle, as the
+    chain is partitioned by aircraft already)."""
+    return predictions.groupBy("aircraft_id").agg(
+        F.max_by(risk_label(), F.col("timestamp")).alias("engine_health_status"),
+        F.max("timestamp").alias("timestamp"),
+        F.count_if(F.col("predicted_anomaly") == 1).alias("alert_count"))
+
+
+def status_map_from(loc: DataFrame, summary: DataFrame, with_airport: bool = True) -> DataFrame:
+    """T-07 from ``aircraft_summary``."""
+    keys = ["aircraft_id"] + (["airport_code"] if with_airport else []) + ["latitude", "longitude"]
+    j = loc.select(*keys).join(summary.select("aircraft_id", "engine_health_status", "alert_count"),
+                               "aircraft_id", "left")
+    return (j.groupBy(*keys, "engine_health_status")
+            .agg(F.sum(F.coalesce(F.col("alert_count"), F.lit(0))).cast("long").alias("alert_count")))
+
+
 def status_map(loc: DataFrame, twin: DataFrame, alerts: DataFrame, with_airport: bool = True) -> DataFrame:
     """T-07 (J-05, A-01): location ⟕ latest engine state ⟕ alert count.
 

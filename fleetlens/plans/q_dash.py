@@ -92,9 +92,7 @@ LEFT JOIN ac_alerts a ON a.aircraft_id = l.aircraft_id
 GROUP BY l.aircraft_id, l.airport_code, l.latitude, l.longitude, e.engine_health_status""")
 def status_map(spark, sf):
     """T-07 / Q-06 (J-05, A-01): location ⟕ latest state ⟕ alert count."""
-    ch = _chain(spark, sf)
-    alerts = A.alerts_from_predictions(ch["predictions"], RUN_TS)
-    return maps.status_map(maps.location(spark, sf), ch["engine_view"], alerts)
+    return maps.status_map_from(maps.location(spark, sf), maps.aircraft_summary(_chain(spark, sf)["predictions"]))
 
 
 @query("location_v1", O.with_(O.LOCATION) + """
@@ -306,8 +304,8 @@ LEFT JOIN (SELECT aircraft_id, max(maint_date) AS last_maintenance FROM maint GR
   ON m.aircraft_id = e.aircraft_id""")
 def aircraft_status(spark, sf):
     """Q-23."""
-    maint = D.maintenance_events(spark, sf)
-    return Q.aircraft_status(_chain(spark, sf)["engine_view"], unified(spark, sf), maint)
+    return Q.aircraft_status(maps.aircraft_summary(_chain(spark, sf)["predictions"]), view(spark, sf),
+                             D.maintenance_events(spark, sf))
 
 
 @query("high_risk_by_airport", O.with_(*E1P, O.ENGINE_VIEW, O.LOCATION) + """

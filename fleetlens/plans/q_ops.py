@@ -199,33 +199,42 @@ def _champion_sql():
             "(PARTITION BY model ORDER BY f1 DESC, version DESC) AS rn FROM (" + reg + ") r) t WHERE rn = 1")
 
 
+def _versions(spark, sf):
+    """Metrics of the rule model at each cut-off, from one pass over the features."""
+    feats = _chain(spark, sf)["features"].filter(F.col("prev_anomaly").isNotNull())
+    return M.metrics_by_version(feats, "anomaly_score", {
+        i + 1: rule_score(params={"cut": c}) for i, c in enumerate(_CUTS)}, "aircraft_rule")
+
+
 @query("champion_select", _champion_sql())
 def champion_select(spark, sf):
     """M-07 … M-09: versions of the rule model (cut 0.4 / 0.5 / 0.6) evaluated
     against the anomaly label; the registry row with the best F1 is champion."""
-    feats = _chain(spark, sf)["features"].filter(F.col("prev_anomaly").isNotNull())
-    rows = []
-    for i, c in enumerate(_CUTS):
-        scored = feats.select(F.col("anomaly_score").alias("y"), rule_score(params={"cut": c}).alias("p"))
-        m = _r(M.precision_recall_f1(scored, "y", "p"), ["f1"])
-        rows.append(m.select(F.lit("aircraft_rule").alias("model"), F.lit(i + 1).alias("version"),
-                             F.lit("").alias("path"), "f1"))
-    reg = rows[0].unionByName(rows[1]).unionByName(rows[2])
-    return M.champion(reg).select("model", "champion_version", "f1")
+    m = _versions(spark, sf).withColumns({"path": F.lit(""), "f1": F.round("f1", 6)})
+    return M.champion(m).select("model", "champion_version", "f1")
 
 
-@query("drift_report", O.with_(O.SENSOR) + """,
-ref AS (SELECT avg(engine_temp) AS rm, stddev_samp(engine_temp) AS rs FROM sensor),
+_REF_END = "2024-01-11"
+
+
+@query("drift_report", O.with_(O.SENSOR) + f""",
+ref AS (SELECT avg(engine_temp) AS rm, stddev_samp(engine_temp) AS rs, quantile_cont(floor(engine_temp), 0.5) AS r5,
+               quantile_cont(floor(engine_temp), 0.95) AS r9 FROM sensor WHERE "timestamp" < TIMESTAMP '{_REF_END}'),
 cur AS (SELECT CAST("timestamp" AS DATE) AS day, count(*) AS "rows", avg(engine_temp) AS cm,
-               stddev_samp(engine_temp) AS cs FROM sensor GROUP BY ALL)
-SELECT day, "rows", 'engine_temp' AS feature, round(cm, 6) AS mean, round(cs, 6) AS stddev,
-       round(rm, 6) AS ref_mean, round(rs, 6) AS ref_stddev, round((cm - rm) / rs, 6) AS shift
+               stddev_samp(engine_temp) AS cs, quantile_cont(floor(engine_temp), 0.5) AS c5,
+               quantile_cont(floor(engine_temp), 0.95) AS c9
+        FROM sensor WHERE "timestamp" >= TIMESTAMP '{_REF_END}' GROUP BY ALL)
+SELECT day, "rows", 'engine_temp' AS feature, round(cm, 6) AS mean, round(cs, 6) AS stddev, round(c5, 6) AS p50,
+       round(c9, 6) AS p95, round(rm, 6) AS ref_mean, round(rs, 6) AS ref_stddev, round(r5, 6) AS ref_p50,
+       round(r9, 6) AS ref_p95, round((cm - rm) / rs, 6) AS shift
 FROM cur, ref""")
 def drift_report(spark, sf):
-    """M-13: per-day mean / stddev of a feature against the whole-history reference."""
+    """M-13: per day after the reference window, a feature's mean, stddev and
+    quantiles against those of the window."""
     r = D.sensor_readings(spark, sf).withColumn("day", F.to_date("timestamp"))
-    d = M.drift_report(r, r, ["engine_temp"], "day")
-    return _r(d, ["mean", "stddev", "ref_mean", "ref_stddev", "shift"])
+    end = F.lit(_REF_END).cast("timestamp_ntz")
+    d = M.drift_report(r.filter(F.col("timestamp") < end), r.filter(F.col("timestamp") >= end), ["engine_temp"], "day")
+    return _r(d, [c for c in d.columns if c not in ("day", "rows", "feature")])
 
 
 @query("stratified_split", f"""
@@ -434,14 +443,7 @@ def _model_metrics_sql():
 @query("model_metrics", _model_metrics_sql())
 def model_metrics(spark, sf):
     """Q-13 / M-05: metrics by model version (versions = cut-offs of the rule model)."""
-    feats = _chain(spark, sf)["features"].filter(F.col("prev_anomaly").isNotNull())
-    out = None
-    for i, c in enumerate(_CUTS):
-        scored = feats.select(F.col("anomaly_score").alias("y"), rule_score(params={"cut": c}).alias("p"))
-        m = _r(M.precision_recall_f1(scored, "y", "p"), ["precision", "recall", "f1"]).select(
-            F.lit("aircraft_rule").alias("model"), F.lit(i + 1).alias("version"), "*")
-        out = m if out is None else out.unionByName(m)
-    return out
+    return _r(_versions(spark, sf), ["precision", "recall", "f1"])
 
 
 @query("trace_lookup", O.with_(*O.mart_ctes(), O.TRACE) + """

@@ -142,6 +142,7 @@ def _sanity_sql():
         sel.append(f"(SELECT count(*) FROM {tname}) AS {prefix}_row_count")
     for st in ("CRITICAL", "WARNING"):
         sel.append(f"(SELECT count(*) FROM comp_alerts WHERE health_status = '{st}') AS component_alerts_{st.lower()}")
+    sel.append(f"TIMESTAMP '{O.RUN_TS}' AS check_time")
     ctes = [*O.E1, O.enriched("JOIN"), O.FEATURES, *O.comp_ctes(O.COMP_KEYS), O.comp_view(), O.COMP_ALERTS]
     return O.with_(*ctes) + "SELECT " + ",\n  ".join(sel)
 
@@ -152,5 +153,5 @@ def sanity_row(spark, sf):
     duplicate PKs and component alert counts per status."""
     feats = _chain(spark, sf)["features"]
     twins = {k: D.COMPONENT_SOURCES[k](spark, sf) for k in O.COMP_KEYS}
-    return Q.sanity_row(feats, twins, specs=S.COMPONENTS)
+    return Q.sanity_row(feats, twins, specs=S.COMPONENTS, check_time=O.RUN_TS)
 

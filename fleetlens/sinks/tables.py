@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.quality import drop_null_keys
+from ..operators.sampling import hash_uniform
 from ..operators.windows import dedupe
 
 VERSION_COL = "v"
@@ -175,10 +176,21 @@ def validate_feature_table(df: DataFrame, keys, on_duplicate: str = "fail") -> D
 def register_feature_table(spark: SparkSession, df: DataFrame, path: str, keys, time_key=None,
                            registry_path: str | None = None, description: str = "",
                            on_duplicate: str = "fail") -> None:
-    """O-06: validate, write, and record (path, keys, time key) in a registry table."""
+    """O-06: validate, write, and record (path, keys, time key) in a registry
+    table: one folder per table path, overwritten when registered again."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     overwrite(validate_feature_table(df, keys, on_duplicate), path)
     if registry_path:
         row = [(path, ",".join(keys), time_key or "", description)]
+        entry = uuid.uuid5(uuid.NAMESPACE_URL, path).hex
         spark.createDataFrame(row, "table_path string, primary_keys string, timestamp_key string, "
-                                   "description string").write.mode("append").parquet(registry_path)
+                                   "description string").write.mode("overwrite").parquet(
+            f"{registry_path.rstrip('/')}/entry=t{entry}")
+
+
+def random_shift(df: DataFrame, cols, key: str, max_days: int, seed: int = 42) -> DataFrame:
+    """O-11 / F-07: dates moved by 0 to ``max_days`` days, drawn per row from a
+    keyed hash, so a repeated run gives the same dates."""
+    days = F.floor(hash_uniform(key, seed) * (max_days + 1)).cast("int")
+    return df.withColumns({c: F.col(c) + F.make_interval(days=days)
+                           for c in ([cols] if isinstance(cols, str) else cols)})

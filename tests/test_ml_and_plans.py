@@ -50,7 +50,7 @@ def test_no_cartesian_products(spark, sf, name):
         pytest.skip("runs a job while building")
     p = _plan(queries()[name](spark, sf))
     assert "CartesianProduct" not in p
-    assert "BroadcastNestedLoopJoin" not in p or name in ("drift_report",)
+    assert "BroadcastNestedLoopJoin" not in p
 
 
 def test_sensor_chain_single_shuffle(spark, sf):
