@@ -34,3 +34,18 @@ def flatten_json_kv(df: DataFrame, id_cols, json_col: str,
     """Flat JSON object text → (id…, key, value) rows (values as text)."""
     m = F.from_json(F.col(json_col), T.MapType(T.StringType(), T.StringType()))
     return df.select(*id_cols, F.explode(m).alias(key_name, value_name))
+
+
+def flatten_json_deep(df: DataFrame, id_cols, json_col: str, levels: int = 8,
+                      key_name: str = "config_key", value_name: str = "config_value") -> DataFrame:
+    """Nested JSON object text → (id…, dotted key, value as text) rows, one per
+    leaf.  Objects below ``levels`` and empty objects stay as JSON text; arrays
+    are leaves."""
+    kind = T.MapType(T.StringType(), T.StringType())
+    out = flatten_json_kv(df, id_cols, json_col, "__key", "__value")
+    for _ in range(levels - 1):
+        inner = F.when(F.col("__value").startswith("{"), F.from_json("__value", kind))
+        out = out.select(*id_cols, "__key", "__value", F.explode_outer(inner).alias("__k", "__v")).select(
+            *id_cols, F.concat_ws(".", "__key", "__k").alias("__key"),
+            F.when(F.col("__k").isNull(), F.col("__value")).otherwise(F.col("__v")).alias("__value"))
+    return out.select(*id_cols, F.col("__key").alias(key_name), F.col("__value").alias(value_name))

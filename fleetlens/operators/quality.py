@@ -188,3 +188,10 @@ def profile(df: DataFrame, sample_rows: int = 5):
     stats = df.agg(F.count(F.lit(1)).alias("row_count"),
                    *[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in df.columns])
     return stats, df.limit(sample_rows)
+
+
+def malformed_counts(raw: DataFrame, parsed: dict) -> DataFrame:
+    """K4: row count and, per text column, the texts that do not parse
+    (``parsed``: column → parsed expression, NULL where malformed)."""
+    return raw.agg(F.count(F.lit(1)).alias("row_count"),
+                   *[F.count_if(F.col(c).isNotNull() & p.isNull()).alias(f"{c}_malformed") for c, p in parsed.items()])

@@ -25,7 +25,7 @@ def query(name: str, sql: str | None = None):
 
 def _load():
     # importing the modules registers their queries
-    from . import q_sensor, q_quality, q_components, q_alerts, q_dash, q_ops  # noqa: F401
+    from . import q_sensor, q_quality, q_components, q_alerts, q_dash, q_ops, q_ingest  # noqa: F401
 
 
 def queries() -> dict:

@@ -53,8 +53,12 @@ def sensor_readings_from(events: DataFrame) -> DataFrame:
 
 
 def maintenance_events(spark, sf_dir) -> DataFrame:
+    return maintenance_events_from(table(spark, sf_dir, "events"))
+
+
+def maintenance_events_from(events: DataFrame) -> DataFrame:
     """Maintenance events = signup events (event_date = day of ts)."""
-    e = table(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
+    e = events.filter(F.col("event_type") == "signup")
     return e.select(
         F.col("user_id").alias("aircraft_id"),
         F.to_date("ts").alias("event_date"),
