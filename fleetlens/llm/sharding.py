@@ -2,8 +2,8 @@
 
 Rows of equal text form a group that is never split.  Groups are taken in
 order of falling size, and each enters the bin with the tightest remaining
-capacity that still takes it; bins are kept in an ordered sequence that is
-searched by bisection.  Groups of one size are alike, so the packing works on
+capacity that still takes it; open bins stand in a balanced (AVL) tree by
+remaining room.  Groups of one size are alike, so the packing works on
 the histogram of sizes: a run of ``c`` groups fills the tightest bin with as
 many as fit, then the next.  The result is the same bins as one by one.
 
@@ -18,8 +18,6 @@ shard.  A null text has size 1 (no bytes, plus 1).
 
 from __future__ import annotations
 
-import bisect
-
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,19 +27,84 @@ from . import common as C
 ROWS_PER_BUCKET = 100_000
 
 
+class RoomTree:
+    """AVL tree of (remaining room, bin); a node is (key, left, right, height)."""
+
+    def __init__(self):
+        self.top = None
+
+    def insert(self, key: tuple[int, int]) -> None:
+        self.top = _inserted(self.top, key)
+
+    def pop_at_least(self, low: tuple[int, int]) -> tuple[int, int] | None:
+        """Take out the smallest key from ``low`` on, None if there is none."""
+        found, at = None, self.top
+        while at:
+            if at[0] >= low:
+                found, at = at[0], at[1]
+            else:
+                at = at[2]
+        if found is not None:
+            self.top = _removed(self.top, found)
+        return found
+
+
+def _node(key, left, right):
+    return key, left, right, 1 + max(left[3] if left else 0, right[3] if right else 0)
+
+
+def _balanced(key, left, right):
+    """A node whose sides differ by one level at most, given sides that differ by two."""
+    lean = (left[3] if left else 0) - (right[3] if right else 0)
+    if lean > 1:
+        k, a, b, _ = left
+        if (a[3] if a else 0) >= (b[3] if b else 0):
+            return _node(k, a, _node(key, b, right))
+        return _node(b[0], _node(k, a, b[1]), _node(key, b[2], right))
+    if lean < -1:
+        k, a, b, _ = right
+        if (b[3] if b else 0) >= (a[3] if a else 0):
+            return _node(k, _node(key, left, a), b)
+        return _node(a[0], _node(key, left, a[1]), _node(k, a[2], b))
+    return _node(key, left, right)
+
+
+def _inserted(at, key):
+    if at is None:
+        return _node(key, None, None)
+    k, left, right, _ = at
+    if key < k:
+        return _balanced(k, _inserted(left, key), right)
+    return _balanced(k, left, _inserted(right, key))
+
+
+def _removed(at, key):
+    k, left, right, _ = at
+    if key < k:
+        return _balanced(k, _removed(left, key), right)
+    if key > k:
+        return _balanced(k, left, _removed(right, key))
+    if left is None or right is None:
+        return left or right
+    least = right
+    while least[1]:
+        least = least[1]
+    return _balanced(least[0], left, _removed(right, least[0]))
+
+
 class Bins:
-    """Bins of one capacity, ordered by (remaining room, bin)."""
+    """Bins of one capacity, in a tree by remaining room."""
 
     def __init__(self, capacity: int):
-        self.capacity, self.rooms, self.opened = capacity, [], 0
+        self.capacity, self.rooms, self.opened = capacity, RoomTree(), 0
 
     def put(self, size: int, count: int, limit: int | None = None):
         """Place ``count`` groups of ``size``; yields (bin, how many).  Returns
         early, with groups left over, if more than ``limit`` bins were needed."""
         while count:
-            i = bisect.bisect_left(self.rooms, (size, -1))
-            if i < len(self.rooms):
-                room, b = self.rooms.pop(i)
+            tightest = self.rooms.pop_at_least((size, -1))
+            if tightest is not None:
+                room, b = tightest
             elif limit is not None and self.opened >= limit:
                 return
             else:
@@ -50,7 +113,7 @@ class Bins:
             k = min(count, room // size)
             yield b, k
             count -= k
-            bisect.insort(self.rooms, (room - k * size, b))
+            self.rooms.insert((room - k * size, b))
 
 
 def best_fit_runs(sizes: list[int], counts: list[int], capacity: int,

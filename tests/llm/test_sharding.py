@@ -93,3 +93,27 @@ def test_empty(none):
 def test_needs_one_of_both(odd):
     with pytest.raises(ValueError):
         sharding.shard_documents(odd, 16, capacity=5)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.booleans(), st.integers(0, 60)), max_size=150))
+def test_room_tree(steps):
+    """The tree gives what a sorted list gives, and stays balanced."""
+    tree, plain = sharding.RoomTree(), []
+
+    def height(at):
+        if at is None:
+            return 0
+        left, right = height(at[1]), height(at[2])
+        assert abs(left - right) <= 1 and at[3] == 1 + max(left, right)
+        return at[3]
+
+    for i, (put, size) in enumerate(steps):
+        if put:
+            tree.insert((size, i))
+            plain = sorted([*plain, (size, i)])
+        else:
+            fit = next((x for x in plain if x >= (size, -1)), None)
+            assert tree.pop_at_least((size, -1)) == fit
+            plain = [x for x in plain if x != fit]
+        height(tree.top)
