@@ -9,8 +9,9 @@ matter is learned through the attention weights.
 
 Training: full-batch Adam in NumPy on at most ``max_labels`` labelled texts
 (those with the smallest hash of their id, so the sample is the same in every
-run), all passages of each.  Scoring covers every passage of every text, in
-the tasks, without a shuffle.
+run), all passages of each, as long as they have at most ``max_passages``
+together; labelled texts with over a twentieth of that are not learned from.
+Scoring covers every passage of every text, in the tasks, without a shuffle.
 
 A text without words (null, empty, blank) is one passage of zeros and gets the
 score the model gives that.  Rows with a null label are not labelled.  If the
@@ -36,6 +37,7 @@ FEATURES = STATS + PROFILE
 HIDDEN = 24
 ATTENTION = 12
 MAX_LABELS = 4000
+MAX_PASSAGES = 100_000
 STEPS = 300
 THRESHOLD = 0.7
 
@@ -178,9 +180,10 @@ def train(x: np.ndarray, row: np.ndarray, y: np.ndarray, steps: int = STEPS, see
 
 
 def fit(df: DataFrame, labels: DataFrame, label_col: str, max_labels: int = MAX_LABELS,
-        id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Train on at most ``max_labels`` of the labelled texts.  Only these
-    texts' passage features reach the driver."""
+        id_col: str = "doc_id", text_col: str = "text", max_passages: int = MAX_PASSAGES) -> Model:
+    """Train on at most ``max_labels`` of the labelled texts with at most
+    ``max_passages`` passages.  Only these texts' passage features reach the
+    driver."""
     sample = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
               .groupBy(F.col(id_col).alias("__i")).agg(F.max(label_col).cast("double").alias("__y"))
               .orderBy(F.xxhash64("__i"), "__i").limit(max_labels))
@@ -189,17 +192,22 @@ def fit(df: DataFrame, labels: DataFrame, label_col: str, max_labels: int = MAX_
         F.broadcast(sample), F.col(id_col) == F.col("__i")).select(
         F.xxhash64("__i", "__text").alias("__k"), "__y", "__text").dropDuplicates(["__k"])
     out = T.StructType([T.StructField("k", T.LongType()), T.StructField("y", T.DoubleType()),
-                        T.StructField("x", T.BinaryType())])
+                        T.StructField("n", T.LongType()), T.StructField("x", T.BinaryType())])
 
     def run(batches):
         for b in C.slices(batches, "__text"):
             x, row = passages(C.encode(b.column("__text")))
             cut = np.flatnonzero(np.diff(row)) + 1
             yield pa.RecordBatch.from_arrays(
-                [b.column("__k"), b.column("__y"), pa.array([p.astype("<f4").tobytes() for p in np.split(x, cut)],
-                                                            pa.binary())], names=out.names)
-
-    got = sorted(((r["k"], r["y"], bytes(r["x"])) for r in rows.mapInArrow(run, out).collect()))
+                [b.column("__k"), b.column("__y"), pa.array(np.bincount(row, minlength=b.num_rows)),
+                 pa.array([p.astype("<f4").tobytes() for p in np.split(x, cut)], pa.binary())], names=out.names)
+
+    bags = C.materialize(rows.mapInArrow(run, out), "label-passages").filter(F.col("n") <= max_passages // 20)
+    sizes = sorted((r["k"], r["n"]) for r in bags.select("k", "n").collect())     # at most ``max_labels`` rows
+    fits = int(np.searchsorted(np.cumsum([n for _, n in sizes]), max_passages, side="right"))
+    if fits < len(sizes):
+        bags = bags.filter(F.col("k") < sizes[fits][0])
+    got = sorted((r["k"], r["y"], bytes(r["x"])) for r in bags.collect())
     if not got:
         return train(np.zeros((0, FEATURES)), np.zeros(0, dtype=np.int64), np.zeros(0))
     bags = [np.frombuffer(g[2], dtype="<f4").reshape(-1, FEATURES) for g in got]

@@ -75,3 +75,21 @@ def test_passages_cover_the_whole_text():
     x, row = K.passages([b"", text, b" \n "])
     assert np.bincount(row).tolist() == [1, -(-1000 // K.PASSAGE), 1]
     assert not x[0].any() and x[1:-1].any(axis=1).all()
+
+
+def test_training_is_bounded(spark):
+    """Over-long texts are scored but not learned from, and the rest only as
+    far as the passages allow."""
+    words = " ".join(["plain"] * (K.PASSAGE * 3))
+    docs = spark.createDataFrame([(i, words + (" ##" * 40 if i % 2 else f" {i}")) for i in range(40)]
+                                 + [(99, "## " * (K.PASSAGE * 51))], "doc_id long, text string")
+    labels = docs.select("doc_id", ((F.col("doc_id") + 1) % 2).cast("int").alias("quality"))
+    seen = []
+    plain, K.train = K.train, lambda x, row, y: seen.append((len(x), len(y))) or plain(x, row, y)
+    try:
+        for bound in (1000, 100):
+            assert K.score(docs, K.fit(docs, labels, "quality", max_passages=bound)).count() == 41
+    finally:
+        K.train = plain
+    assert seen[0] == (160, 40)
+    assert seen[1] == (100, 25)
