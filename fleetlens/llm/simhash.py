@@ -266,19 +266,27 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def _row_hashes(id_col: str, text_col: str) -> tuple:
+    """Two hashes of id and text: 128 bits that tell different rows apart."""
+    return F.xxhash64(id_col, text_col), F.xxhash64(F.lit("row"), text_col, id_col)
+
+
 def linked_rows(df: DataFrame, shingle: int, radius: int, tile: int = TILE,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One slim row per input row: id, ``row`` (a hash of id and text), ``fp``,
-    ``root`` (smallest fingerprint of the component) and ``component_id``."""
-    marked = df.select(F.col(id_col), F.xxhash64(id_col, text_col).alias("row"), F.col(text_col))
-    rows = C.materialize(fingerprints(marked, shingle, text_col, "fp", [id_col, "row"]), "fingerprints")
+    """One slim row per input row: id, ``row`` and ``row2`` (two hashes of id
+    and text), ``fp``, ``root`` (smallest fingerprint of the component) and
+    ``component_id``."""
+    row, row2 = _row_hashes(id_col, text_col)
+    marked = df.select(F.col(id_col), row.alias("row"), row2.alias("row2"), F.col(text_col))
+    rows = C.materialize(fingerprints(marked, shingle, text_col, "fp", [id_col, "row", "row2"]), "fingerprints")
     distinct = C.materialize(rows.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct-fingerprints")
     roots = components(link_edges(distinct.select("fp"), radius, tile))
     nodes = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     named = nodes.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("component_id"))
     of_fp = nodes.join(named, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "root", "component_id")
-    return rows.join(of_fp, F.col("fp") == F.col("f")).select(id_col, "row", "fp", "root", "component_id")
+    return rows.join(of_fp, F.col("fp") == F.col("f")).select(
+        id_col, "row", "row2", "fp", "root", "component_id")
 
 
 def near_duplicates(df: DataFrame, shingle: int = 4, radius: int = 4, tile: int = TILE,
@@ -292,11 +300,14 @@ def near_duplicates(df: DataFrame, shingle: int = 4, radius: int = 4, tile: int
 
 def one_per_component(df: DataFrame, linked: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that stay if each component of ``linked`` keeps the
-    row with its smallest id (repeated rows: one)."""
-    first = linked.groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("row"))).alias("m"))
-    row, rank, of, keep_id = (C.free_name(df, x) for x in ("row", "rank", "keep", "keep_id"))
-    keep = first.select(F.col("m.row").alias(of), F.col(f"m.{id_col}").alias(keep_id))
-    same = Window.partitionBy(row, id_col).orderBy(F.lit(1))
-    return (df.withColumn(row, F.xxhash64(id_col, text_col))
-            .join(keep, (F.col(row) == F.col(of)) & F.col(id_col).eqNullSafe(F.col(keep_id)), "left_semi")
+    row with its smallest id (repeated rows: one).  The texts shuffle once: the
+    rank of repeated rows uses the join's partitions."""
+    first = linked.groupBy("root").agg(
+        F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("row"), F.col("row2"))).alias("m"))
+    row, row2, rank, of, of2 = (C.free_name(df, x) for x in ("row", "row2", "rank", "of", "of2"))
+    keep = first.select(F.col("m.row").alias(of), F.col("m.row2").alias(of2))
+    one, two = _row_hashes(id_col, text_col)
+    same = Window.partitionBy(row, row2).orderBy(F.lit(1))
+    return (df.withColumns({row: one, row2: two})
+            .join(keep, (F.col(row) == F.col(of)) & (F.col(row2) == F.col(of2)), "left_semi")
             .withColumn(rank, F.row_number().over(same)).filter(F.col(rank) == 1).select(*df.columns))
