@@ -38,6 +38,7 @@ HIDDEN = 24
 ATTENTION = 12
 MAX_LABELS = 4000
 MAX_PASSAGES = 100_000
+SLICE = 1 << 20             # text bytes made into passages at once
 STEPS = 300
 THRESHOLD = 0.7
 
@@ -195,7 +196,7 @@ def fit(df: DataFrame, labels: DataFrame, label_col: str, max_labels: int = MAX_
                         T.StructField("n", T.LongType()), T.StructField("x", T.BinaryType())])
 
     def run(batches):
-        for b in C.slices(batches, "__text"):
+        for b in C.slices(batches, "__text", SLICE):
             x, row = passages(C.encode(b.column("__text")))
             cut = np.flatnonzero(np.diff(row)) + 1
             yield pa.RecordBatch.from_arrays(
@@ -223,7 +224,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] |
                         T.StructField(score_col, T.DoubleType())])
 
     def run(batches):
-        for b in C.slices(batches, text_col):
+        for b in C.slices(batches, text_col, SLICE):
             x, row = passages(C.encode(b.column(text_col)))
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in keep), pa.array(model.score(x, row, b.num_rows))], names=out.names)
