@@ -11,7 +11,12 @@ longest rule that fits.  Hosts that no rule settles are judged by their links:
 * a host is blocked if its distrust, as a share of trust plus distrust,
   reaches ``threshold``; a host that neither reaches is allowed.
 
-Seeds are the hosts with pages that a rule allows or blocks.  The iteration
+Seeds are the nodes with pages that a rule allows or blocks.  With ``sections``
+a path-scoped rule makes a node of its own of the part of a host that it
+governs, and links go from and to the node of their url: the rule seeds that
+part alone, and the other pages of the host are judged as a host of their own.
+Without it the node of every page is its host.  Links within a host are no
+edges either way.  The iteration
 stops after ``rounds``; the state is written to the shared folder each few
 rounds, so lineage stays short.
 
@@ -56,16 +61,32 @@ def rule_columns(host, path, rules=RULES) -> tuple:
     return rule, verdict
 
 
-def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(``src``, ``dst``, ``links``): distinct hosts linked by absolute hrefs."""
+def node_of(host, path, rules=RULES, sections: bool = False):
+    """Node of a url: its host, and with ``sections`` followed by the path
+    prefix of the rule that governs it, if that rule has one."""
+    if not sections:
+        return host
+    prefix = F.lit("")
+    for _, suffix, start in sorted(rules, key=lambda r: len(r[1] + r[2])):
+        fits = ((host == suffix) | host.endswith("." + suffix)) & path.startswith(start)
+        prefix = F.when(fits, F.lit("" if start == "/" else start)).otherwise(prefix)
+    return F.concat(host, prefix)
+
+
+def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html", rules=RULES,
+               sections: bool = False) -> DataFrame:
+    """(``src``, ``dst``, ``links``): nodes of distinct hosts linked by
+    absolute hrefs."""
     links = F.regexp_extract_all(F.coalesce(F.col(html_col), F.lit("")),
                                  F.lit(r"""(?i)\bhref\s*=\s*["']?([^"'\s>]*://[^"'\s>]+)"""), F.lit(1))
-    src, _ = url_parts(F.col(url_col))
-    dst, _ = url_parts(F.col("link"))
-    return (pages.select(src.alias("src"), F.explode(links).alias("link"))
-            .select("src", dst.alias("dst"))
-            .filter("src <> '' and dst <> '' and src <> dst")
-            .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("links")))
+    host, path = url_parts(F.col(url_col))
+    to_host, to_path = url_parts(F.col("link"))
+    return (pages.select(host.alias("host"), path.alias("path"), F.explode(links).alias("link"))
+            .select("host", "path", to_host.alias("to_host"), to_path.alias("to_path"))
+            .filter("host <> '' and to_host <> '' and host <> to_host")
+            .groupBy(node_of(F.col("host"), F.col("path"), rules, sections).alias("src"),
+                     node_of(F.col("to_host"), F.col("to_path"), rules, sections).alias("dst"))
+            .agg(F.count(F.lit(1)).alias("links")))
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING,
@@ -100,27 +121,29 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
 
 
 def judge_urls(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD, rounds: int = ROUNDS,
-               id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+               id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+               sections: bool = False) -> DataFrame:
     """id, ``host``, ``path``, ``rule``, ``verdict``, ``trust``, ``distrust``
-    for every page."""
+    for every page; trust and distrust are those of its node."""
     host, path = url_parts(F.col(url_col))
     parted = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
-    ruled = parted.withColumns({"rule": rule, "ruled": verdict})
+    ruled = parted.withColumns({"rule": rule, "ruled": verdict,
+                                "__node": node_of(F.col("host"), F.col("path"), rules, sections)})
 
-    edges = C.materialize(host_edges(pages, url_col, html_col), "host-edges")
-    marked = (ruled.filter("ruled is not null and host <> ''").groupBy("host")
+    edges = C.materialize(host_edges(pages, url_col, html_col, rules, sections), "host-edges")
+    marked = (ruled.filter("ruled is not null and host <> ''").groupBy(F.col("__node").alias("host"))
               .agg(F.max((F.col("ruled") == "allow").cast("int")).alias("a"),
                    F.max((F.col("ruled") == "block").cast("int")).alias("b")))
     marked = C.materialize(marked, "host-seeds")
-    # a host that rules both allow and block seeds neither side
+    # a node that rules both allow and block seeds neither side
     seeds = marked.select("host", (F.col("a") * (1 - F.col("b"))).alias("good"),
                           (F.col("b") * (1 - F.col("a"))).alias("bad"))
     sums = seeds.agg(F.sum("good").alias("g"), F.sum("bad").alias("b")).first()
     seeds = seeds.select("host", (F.col("good") / F.lit(float(sums["g"] or 1))).alias("good"),
                          (F.col("bad") / F.lit(float(sums["b"] or 1))).alias("bad"))
     trust = propagate(edges, seeds, rounds).withColumnRenamed("host", "h")
-    judged = ruled.join(trust, F.col("host") == F.col("h"), "left")
+    judged = ruled.join(trust, F.col("__node") == F.col("h"), "left")
     t, d = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
     by_links = F.when((d > 0) & (d >= threshold * (t + d)), "block").otherwise("allow")
     return judged.select(id_col, "host", "path", "rule", F.coalesce("ruled", by_links).alias("verdict"),

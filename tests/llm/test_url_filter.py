@@ -118,3 +118,29 @@ def test_longest_rule_wins(spark, url, host, path, rule):
     frame = spark.createDataFrame([(url,)], "url string").select(h.alias("h"), p.alias("p"))
     r = frame.select("h", "p", U.rule_columns(F.col("h"), F.col("p"))[0].alias("rule")).first()
     assert tuple(r) == (host, path, rule)
+
+
+def test_path_rule_leaves_the_rest_of_its_host(spark):
+    """A rule for /de/ blocks those pages alone: the host's other pages, and
+    who links to them, stay allowed; who links to /de/ does not."""
+    urls = ["http://a.example.com/de/1", *[f"http://a.example.com/en/{i}" for i in range(5)],
+            "http://likes-en.test/", "http://likes-de.test/", "http://m.example.net/en/1", "http://m.example.net/de/1",
+            "http://m.example.net", "http://from-en.test/x"]
+    html = {6: '<a href="http://a.example.com/en/1">', 7: '<a href="http://a.example.com/de/9">',
+            1: '<a href="http://a.example.com/de/1">', 8: '<a href="http://from-en.test/">'}
+    df = spark.createDataFrame([(i, u, html.get(i), "c", "c") for i, u in enumerate(urls)], SCHEMA).repartition(3)
+    got = {r.page_id: r for r in U.judge_urls(df, sections=True).collect()}
+    assert [got[i].verdict for i in range(12)] == ["block"] + ["allow"] * 6 + ["block", "allow", "block", "block", "allow"]
+    assert all(got[i].distrust == 0 for i in range(1, 7)) and got[0].distrust > 0
+    # a host with an allowed and a blocked part seeds both
+    assert got[8].trust > 0 and got[9].distrust > 0 and got[11].trust > 0
+
+
+def test_registered_query_blocks_only_what_rules_or_links_block(spark, sf):
+    """No page of the table links to another host, so a page that no rule
+    settles is allowed."""
+    from fleetlens.llm.queries import op6_urls
+    got = op6_urls(spark, sf).collect()
+    rules = {r.page_id: rule_of(*parts(r.url))[0] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    assert {r.page_id: r.verdict for r in got} == {i: v or "allow" for i, v in rules.items()}
+    assert any(v is None for v in rules.values())
