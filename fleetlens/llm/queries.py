@@ -33,7 +33,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge_urls(C.read(spark, sf_dir, "pages"), sections=True)
+    return url_filter.judge_urls(C.read(spark, sf_dir, "pages"), rounds=None, sections=True)
 
 
 def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:

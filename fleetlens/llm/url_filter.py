@@ -16,9 +16,13 @@ a path-scoped rule makes a node of its own of the part of a host that it
 governs, and links go from and to the node of their url: the rule seeds that
 part alone, and the other pages of the host are judged as a host of their own.
 Without it the node of every page is its host.  Links within a host are no
-edges either way.  The iteration
-stops after ``rounds``; the state is written to the shared folder each few
-rounds, so lineage stays short.
+edges either way.
+
+The iteration stops after ``rounds``, or with ``rounds=None`` once every
+host's trust and distrust have settled, however long the chain of links that
+leads to it; a host that has not settled after ``MAX_ROUNDS`` is an error.
+The state is written to the shared folder each few rounds, so lineage stays
+short.
 
 A null url, or one without ``://``, has an empty host and path and, as no link
 reaches the empty host, is allowed.  Null html has no links.
@@ -38,6 +42,8 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
          ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 DAMPING = 0.85
 ROUNDS = 12
+TOLERANCE = 1e-9            # of a host's own value, without a fixed number of rounds
+MAX_ROUNDS = 1000
 THRESHOLD = 0.5
 
 
@@ -89,38 +95,69 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html", r
             .agg(F.count(F.lit(1)).alias("links")))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING,
-              checkpoint_every: int = 4) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = ROUNDS, damping: float = DAMPING,
+              checkpoint_every: int = 4, tolerance: float = TOLERANCE, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """(``host``, ``trust``, ``distrust``) for every host that either reaches.
 
     ``seeds``: (host, good, bad) with the shares of trust and distrust that
-    start there; each sums to one over all hosts, or to zero.
+    start there; each sums to one over all hosts, or to zero.  Without
+    ``rounds``, rounds go on until the last one changed no host's trust or
+    distrust by more than ``tolerance`` of its own value (a host reached just
+    then has changed by all of it); a ``RuntimeError`` after ``max_rounds``.
     """
     out = edges.groupBy("src").agg(F.sum("links").alias("total")).withColumnRenamed("src", "s")
     back = edges.groupBy("dst").agg(F.sum("links").alias("total")).withColumnRenamed("dst", "d")
     forward = edges.join(out, F.col("src") == F.col("s")).select(
         F.col("src").alias("from"), F.col("dst").alias("to"), (F.col("links") / F.col("total")).alias("w"),
-        F.lit(True).alias("along"))
+        F.lit("along").alias("way"))
     reverse = edges.join(back, F.col("dst") == F.col("d")).select(
         F.col("dst").alias("from"), F.col("src").alias("to"), (F.col("links") / F.col("total")).alias("w"),
-        F.lit(False).alias("along"))
-    steps = C.materialize(forward.unionByName(reverse), "host-steps")
-    state = seeds.select("host", F.col("good").alias("trust"), F.col("bad").alias("distrust"))
-    start = seeds.select("host", ((1 - damping) * F.col("good")).alias("trust"),
-                         ((1 - damping) * F.col("bad")).alias("distrust"))
-    for i in range(rounds):
+        F.lit("against").alias("way"))
+    # every host keeps what it has by a step to itself, so a round reads the state once
+    hosts = reduce(DataFrame.union, [edges.select("src"), edges.select("dst"), seeds.select("host")]).distinct()
+    stay = hosts.select(F.col("src").alias("from"), F.col("src").alias("to"), F.lit(1.0).alias("w"),
+                        F.lit("stay").alias("way"))
+    steps = C.materialize(forward.unionByName(reverse).unionByName(stay), "host-steps")
+    begin = 1.0 if rounds == 0 else 1 - damping
+    state = seeds.select("host", (begin * F.col("good")).alias("trust"), (begin * F.col("bad")).alias("distrust"))
+    state = state.withColumns({"more_trust": F.col("trust"), "more_distrust": F.col("distrust")})
+    limit = max_rounds if rounds is None else rounds
+    for i in range(1, limit + 1):
+        # with a fixed number of rounds the last one passes on all that is left
+        rate = damping / (1 - damping) if i == rounds else damping
+
+        def over(way, share):
+            return F.when(F.col("way") == way, F.col("w") * share).otherwise(0.0)
+
         moved = steps.join(state, steps["from"] == state["host"]).select(
-            F.col("to").alias("host"),
-            F.when(F.col("along"), F.col("w") * F.col("trust") * damping).otherwise(0.0).alias("trust"),
-            F.when(~F.col("along"), F.col("w") * F.col("distrust") * damping).otherwise(0.0).alias("distrust"))
-        state = moved.unionByName(start).groupBy("host").agg(
-            F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
-        if (i + 1) % checkpoint_every == 0 or i == rounds - 1:
+            F.col("to").alias("host"), over("stay", F.col("trust")).alias("trust"),
+            over("stay", F.col("distrust")).alias("distrust"),
+            over("along", F.col("more_trust") * rate).alias("more_trust"),
+            over("against", F.col("more_distrust") * rate).alias("more_distrust"))
+        state = moved.groupBy("host").agg(
+            F.sum(F.col("trust") + F.col("more_trust")).alias("trust"),
+            F.sum(F.col("distrust") + F.col("more_distrust")).alias("distrust"),
+            F.sum("more_trust").alias("more_trust"), F.sum("more_distrust").alias("more_distrust"))
+        if i % checkpoint_every == 0 or i == limit:
             state = C.materialize(state, "host-trust")
-    return state
+            if rounds is None and _change(state) <= tolerance:
+                break
+    else:
+        if rounds is None:
+            raise RuntimeError(f"trust and distrust still change after {max_rounds} rounds")
+    return state.select("host", "trust", "distrust")
+
+
+def _change(state: DataFrame) -> float:
+    """Largest share of a host's trust or distrust that its last round added."""
+    def share(more, of):
+        return F.when(F.col(of) > 0, F.col(more) / F.col(of)).otherwise(0.0)
+
+    row = state.agg(F.max(F.greatest(share("more_trust", "trust"), share("more_distrust", "distrust")))).first()
+    return row[0] or 0.0
 
 
-def judge_urls(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD, rounds: int = ROUNDS,
+def judge_urls(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD, rounds: int | None = ROUNDS,
                id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                sections: bool = False) -> DataFrame:
     """id, ``host``, ``path``, ``rule``, ``verdict``, ``trust``, ``distrust``

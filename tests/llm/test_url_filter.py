@@ -1,6 +1,7 @@
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +145,54 @@ def test_registered_query_blocks_only_what_rules_or_links_block(spark, sf):
     rules = {r.page_id: rule_of(*parts(r.url))[0] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
     assert {r.page_id: r.verdict for r in got} == {i: v or "allow" for i, v in rules.items()}
     assert any(v is None for v in rules.values())
+
+
+def exact(edges, good, bad, damping=U.DAMPING):
+    """{host: (trust, distrust)} by solving the linear equations."""
+    hosts = sorted({h for e in edges for h in e} | set(good) | set(bad))
+    at = {h: i for i, h in enumerate(hosts)}
+    out, back = defaultdict(int), defaultdict(int)
+    for (a, b), n in edges.items():
+        out[a] += n
+        back[b] += n
+    t, d = np.zeros((len(hosts),) * 2), np.zeros((len(hosts),) * 2)
+    for (a, b), n in edges.items():
+        t[at[b], at[a]] += n / out[a]
+        d[at[a], at[b]] += n / back[b]
+    def start(s):
+        return (1 - damping) * np.array([(h in s) / max(len(s), 1) for h in hosts])
+    x = np.linalg.solve(np.eye(len(hosts)) - damping * t, start(good))
+    y = np.linalg.solve(np.eye(len(hosts)) - damping * d, start(bad))
+    return {h: (x[i], y[i]) for h, i in at.items()}
+
+
+def test_long_chain_and_cycle_settle(spark):
+    """A blocked host at the end of 25 links blocks the first host as well,
+    and a cycle with both trust and distrust meets the exact solution."""
+    links = [(f"h{i}.test", f"h{i + 1}.test") for i in range(24)] + [("h24.test", "bad.net")]
+    links += [("a.org", "c1.test"), ("c1.test", "c2.test"), ("c2.test", "c3.test"), ("c3.test", "c1.test"),
+              ("c3.test", "bad.net"), ("c2.test", "a.org"), ("c2.test", "a.org")]
+    data = [(i, f"http://{a}/fr/", f'<a href="http://{b}/fr/">', "c", "c") for i, (a, b) in enumerate(links)]
+    data.append((len(data), "http://bad.net/", None, "c", "c"))
+    edges = defaultdict(int)
+    for e in links:
+        edges[e] += 1
+    # the part /fr/ of a.org is a node of its own under the rules
+    edges = {tuple("a.org/fr/" if h == "a.org" else h for h in e): n for e, n in edges.items()}
+    want = exact(edges, {"a.org/fr/"}, {"bad.net"})
+    got = U.judge_urls(spark.createDataFrame(data, SCHEMA), rounds=None, sections=True).collect()
+    for r in got:
+        t, d = want["a.org/fr/" if r.host == "a.org" else r.host]
+        assert abs(r.trust - t) <= 1e-7 * t and abs(r.distrust - d) <= 1e-7 * d
+        if r.rule is None:
+            assert r.verdict == ("block" if d >= U.THRESHOLD * (t + d) else "allow")
+    assert {r.verdict for r in got if r.host.startswith("h")} == {"block"}
+
+
+def test_unsettled_rounds_are_an_error(spark):
+    edges = spark.createDataFrame([(f"h{i}", f"h{i + 1}", 1) for i in range(9)], "src string, dst string, links long")
+    seeds = spark.createDataFrame([("h9", 0.0, 1.0)], "host string, good double, bad double")
+    with pytest.raises(RuntimeError, match="8 rounds"):
+        U.propagate(edges, seeds, rounds=None, max_rounds=8)
+    got = {r.host: r.distrust for r in U.propagate(edges, seeds, rounds=None).collect()}
+    assert len(got) == 10 and abs(got["h0"] - 0.15 * 0.85 ** 9) < 1e-12
