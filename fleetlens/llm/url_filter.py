@@ -3,8 +3,9 @@
 Rules are a list of (verdict, host suffix, path prefix).  Every url gets the
 longest rule that fits.  Hosts that no rule settles are judged by their links:
 
-* host edges come from the absolute links in the pages (href attributes),
-  aggregated per (source host, target host) before anything shuffles on;
+* host edges come from the links in the pages (href attributes) that name a
+  host, by ``scheme://`` or ``//`` at their start, aggregated per (source host,
+  target host) before anything shuffles on;
 * trust is a personalised PageRank from trusted hosts along the links;
 * distrust is the same from blocked hosts along the reversed links, so that
   who links to a blocked host gets a share of its distrust;
@@ -81,12 +82,13 @@ def node_of(host, path, rules=RULES, sections: bool = False):
 
 def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html", rules=RULES,
                sections: bool = False) -> DataFrame:
-    """(``src``, ``dst``, ``links``): nodes of distinct hosts linked by
-    absolute hrefs."""
+    """(``src``, ``dst``, ``links``): nodes of distinct hosts linked by hrefs
+    that start with ``scheme://`` or ``//``."""
     links = F.regexp_extract_all(F.coalesce(F.col(html_col), F.lit("")),
-                                 F.lit(r"""(?i)\bhref\s*=\s*["']?([^"'\s>]*://[^"'\s>]+)"""), F.lit(1))
+                                 F.lit(r"""(?i)\bhref\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""), F.lit(1))
     host, path = url_parts(F.col(url_col))
-    to_host, to_path = url_parts(F.col("link"))
+    link = F.col("link")
+    to_host, to_path = url_parts(F.when(link.startswith("//"), F.concat(F.lit("http:"), link)).otherwise(link))
     return (pages.select(host.alias("host"), path.alias("path"), F.explode(links).alias("link"))
             .select("host", "path", to_host.alias("to_host"), to_path.alias("to_path"))
             .filter("host <> '' and to_host <> '' and host <> to_host")

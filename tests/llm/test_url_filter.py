@@ -196,3 +196,45 @@ def test_unsettled_rounds_are_an_error(spark):
         U.propagate(edges, seeds, rounds=None, max_rounds=8)
     got = {r.host: r.distrust for r in U.propagate(edges, seeds, rounds=None).collect()}
     assert len(got) == 10 and abs(got["h0"] - 0.15 * 0.85 ** 9) < 1e-12
+
+
+def test_links_that_name_a_host(spark):
+    html = ('<a href="//one.test/x"><a href=//one.test><a HREF=\'HTTPS://Two.test/y\'><a href="/login?next=https://bad.net">'
+            '<a href="page?u=http://bad.net/"><a href="#http://bad.net"><a href="svn+ssh://three.test"><a href="/x//bad.net">')
+    df = spark.createDataFrame([(1, "http://here.test/", html, "c", "c")], SCHEMA)
+    assert sorted(map(tuple, U.host_edges(df).collect())) == [
+        ("here.test", "one.test", 2), ("here.test", "three.test", 1), ("here.test", "two.test", 1)]
+
+
+def test_planted_links(spark):
+    """600 pages of 45 hosts with links planted in every form."""
+    rng = np.random.default_rng(3)
+    hosts = [f"h{i}.test" for i in range(35)] + [f"bad{i}.net" for i in range(4)] + [f"g{i}.org" for i in range(6)]
+    forms = ['<a href="http://{}/fr/p">', "<A HREF='//{}/fr/'>", "<link href=https://{}/fr/q?x=//none.test rel=x>",
+             '<a href="/login?next=http://{}/fr/">', '<a href="./{}/">']
+    data, edges = [], defaultdict(int)
+    for i in range(600):
+        a = hosts[i % len(hosts)]
+        html = []
+        for j, k in zip(rng.integers(0, len(hosts), 4), rng.integers(0, len(forms), 4)):
+            # bad hosts are linked to rarely and link nowhere good
+            if (".net" in hosts[j] and j % 4 != i % 11) or (".org" in hosts[j] and ".net" in a):
+                continue
+            html.append(forms[k].format(hosts[j]))
+            if k < 3 and hosts[j] != a:
+                edges[a, hosts[j]] += 1
+        data.append((i, f"https://{a}/fr/{i}", "<p>\n".join(html), "c", "c"))
+    def node(h):
+        return h + "/fr/" if h.endswith(".org") else h
+    edges = {(node(a), node(b)): n for (a, b), n in edges.items()}
+    want = exact(edges, {node(h) for h in hosts if h.endswith(".org")}, {h for h in hosts if h.endswith(".net")})
+    df = spark.createDataFrame(data, SCHEMA).repartition(5)
+    assert {(r.src, r.dst): r.links for r in U.host_edges(df, sections=True).collect()} == edges
+    got = U.judge_urls(df, rounds=None, sections=True).collect()
+    assert len(got) == 600
+    for r in got:
+        t, d = want[node(r.host)]
+        assert abs(r.trust - t) <= 1e-7 * t and abs(r.distrust - d) <= 1e-7 * d
+        if r.rule is None:
+            assert r.verdict == ("block" if d > 0 and d >= U.THRESHOLD * (t + d) else "allow")
+    assert {r.verdict for r in got if r.rule is None} == {"block", "allow"}
