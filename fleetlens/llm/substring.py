@@ -9,15 +9,17 @@ window is removed.
    anchors and about one phrase in thirteen is one.  Only anchors shuffle, with the
    row they stand in; those seen once are dropped.
 2. *Confirmation.*  The windows whose anchor recurs are counted by two
-   independent hashes (127 bits together, so that no two different windows of
-   any corpus meet); those seen twice or more are the recurring passages.  A task merges what it sees twice itself into runs and
+   hashes (127 bits together, both made from one 64-bit hash a word; no words
+   are compared across texts); those seen twice or more are the recurring
+   passages, at every place.  A task merges what it sees twice itself into runs and
    sends one probe per window for the others, so a passage in a third of all
    texts does not meet in one task.
 3. *Automata.*  Texts come together with their confirmed positions.  Each
    slice of texts compiles its passages (maximal runs of confirmed windows, as
    sequences of word numbers) into one shard of Aho-Corasick automata and
-   streams its texts through it; every occurrence found is removed.  Shards
-   are as many as slices, each bounded by the slice's size.
+   streams its texts through it; every occurrence found is removed.  These
+   are the places that step 2 gave: the automaton marks them again and finds
+   no others.  Shards are as many as slices, each bounded by the slice's size.
 
 The texts shuffle by a hash of the row (id and text); both joins use the same
 exchange.  Null texts have no words.  Repeated rows count as copies.
