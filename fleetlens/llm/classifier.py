@@ -10,7 +10,9 @@ matter is learned through the attention weights.
 Training: full-batch Adam in NumPy on at most ``max_labels`` labelled texts
 (those with the smallest hash of their id, so the sample is the same in every
 run), all passages of each, as long as they have at most ``max_passages``
-together; labelled texts with over a twentieth of that are not learned from.
+together; labelled texts of over ``max_text_passages`` (by default a twentieth
+of that) are not learned from.  Of the texts that share a labelled id the one
+with the smallest hash is learned from.
 Scoring covers every passage of every text, in the tasks, without a shuffle.
 
 A text without words (null, empty, blank) is one passage of zeros and gets the
@@ -181,17 +183,23 @@ def train(x: np.ndarray, row: np.ndarray, y: np.ndarray, steps: int = STEPS, see
 
 
 def fit(df: DataFrame, labels: DataFrame, label_col: str, max_labels: int = MAX_LABELS,
-        id_col: str = "doc_id", text_col: str = "text", max_passages: int = MAX_PASSAGES) -> Model:
-    """Train on at most ``max_labels`` of the labelled texts with at most
-    ``max_passages`` passages.  Only these texts' passage features reach the
+        id_col: str = "doc_id", text_col: str = "text", max_passages: int = MAX_PASSAGES,
+        max_text_passages: int | None = None) -> Model:
+    """Train on at most ``max_labels`` of the labelled texts, one an id, with at
+    most ``max_passages`` passages together and ``max_text_passages`` (default:
+    a twentieth of that) each.  Only these texts' passage features reach the
     driver."""
+    longest = max_passages // 20 if max_text_passages is None else max_text_passages
     sample = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
               .groupBy(F.col(id_col).alias("__i")).agg(F.max(label_col).cast("double").alias("__y"))
               .orderBy(F.xxhash64("__i"), "__i").limit(max_labels))
     sample = C.materialize(sample, "label-sample")         # at most ``max_labels`` rows
     rows = df.select(F.col(id_col), F.col(text_col).alias("__text")).join(
         F.broadcast(sample), F.col(id_col) == F.col("__i")).select(
-        F.xxhash64("__i", "__text").alias("__k"), "__y", "__text").dropDuplicates(["__k"])
+        "__i", "__y", F.struct(F.xxhash64("__text").alias("h"), F.col("__text")).alias("__t"))
+    # one text for each sampled id, so that no id brings more than its row
+    rows = rows.groupBy("__i").agg(F.max("__y").alias("__y"), F.min("__t").alias("__t")).select(
+        F.xxhash64("__i", "__t.__text").alias("__k"), "__y", "__t.__text")
     out = T.StructType([T.StructField("k", T.LongType()), T.StructField("y", T.DoubleType()),
                         T.StructField("n", T.LongType()), T.StructField("x", T.BinaryType())])
 
@@ -203,7 +211,7 @@ def fit(df: DataFrame, labels: DataFrame, label_col: str, max_labels: int = MAX_
                 [b.column("__k"), b.column("__y"), pa.array(np.bincount(row, minlength=b.num_rows)),
                  pa.array([p.astype("<f4").tobytes() for p in np.split(x, cut)], pa.binary())], names=out.names)
 
-    bags = C.materialize(rows.mapInArrow(run, out), "label-passages").filter(F.col("n") <= max_passages // 20)
+    bags = C.materialize(rows.mapInArrow(run, out), "label-passages").filter(F.col("n") <= longest)
     sizes = sorted((r["k"], r["n"]) for r in bags.select("k", "n").collect())     # at most ``max_labels`` rows
     fits = int(np.searchsorted(np.cumsum([n for _, n in sizes]), max_passages, side="right"))
     if fits < len(sizes):
@@ -238,9 +246,11 @@ def held_out(id_col: str = "doc_id"):
 
 
 def score_documents(df: DataFrame, labels: DataFrame, label_col: str = "quality", max_labels: int = MAX_LABELS,
-                    threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text",
+                    max_passages: int = MAX_PASSAGES, max_text_passages: int | None = None) -> DataFrame:
     """id, ``held_out``, ``score``, ``predicted`` of every text."""
-    model = fit(df, labels.filter(~held_out(id_col)), label_col, max_labels, id_col, text_col)
+    model = fit(df, labels.filter(~held_out(id_col)), label_col, max_labels, id_col, text_col, max_passages,
+                max_text_passages)
     return score(df, model, text_col, [id_col]).select(
         id_col, held_out(id_col).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -93,3 +93,16 @@ def test_training_is_bounded(spark):
         K.train = plain
     assert seen[0] == (160, 40)
     assert seen[1] == (100, 25)
+
+
+def test_one_text_for_each_labelled_id(spark, monkeypatch):
+    """An id that stands on most rows brings one text to the training, and
+    the longest text that is learned from is a parameter."""
+    docs = spark.createDataFrame([(7, f"hot text {i}") for i in range(300)]
+                                 + [(i, "word " * (K.PASSAGE * i)) for i in range(1, 7)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 8)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(K, "train", lambda x, row, y, plain=K.train: seen.append((len(x), len(y))) or plain(x, row, y))
+    for longest in (None, 3):
+        K.fit(docs.repartition(4), labels, "quality", max_labels=7, max_text_passages=longest)
+    assert seen == [(22, 7), (7, 4)]
