@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, chat, classifier, common as C, exact, packing, quality_rules, sharding, simhash, substring,
-               url_filter)
+from . import (bpe, chat, classifier, common as C, exact, lines, merkle, packing, quality_rules, search, sharding,
+               simhash, substring, url_filter)
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,9 +53,27 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    proofs = merkle.document_proofs(C.read(spark, sf_dir, "documents"), tampered, F.translate("text", "\n", ""))
+    return proofs.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+                         F.sha2(F.concat_ws("", "proof"), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(C.read(spark, sf_dir, "documents"), C.read(spark, sf_dir, "benchmark"), k=20)
+
+
+def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.drop_repeated_lines(docs, min_docs=2, min_chars=10).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash, op2_packing, op3_quality_rules, op4_chat, op5_bpe, op6_urls,
-                                    op7_substring, op8_sharding, op9_classifier, op10_exact)}
+                                    op7_substring, op8_sharding, op9_classifier, op10_exact, op11_merkle, op12_search,
+                                    op13_lines)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -81,5 +99,37 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (P
 """
 
 
+OP12_SQL = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+d AS (SELECT doc_id, ts, len(ts) AS n FROM words WHERE len(ts) > 0),
+c AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS total FROM d),
+post AS (SELECT doc_id, any_value(n) AS n, t, count(*) AS tf FROM (SELECT doc_id, n, unnest(ts) AS t FROM d)
+         GROUP BY doc_id, t),
+freq AS (SELECT t, count(*) AS df FROM post GROUP BY t),
+q AS (SELECT item_id, t, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark) GROUP BY item_id, t),
+s AS (SELECT item_id, doc_id, CAST(sum(times * CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT)
+             * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nd) // total)))) AS BIGINT) AS score
+      FROM q JOIN freq USING (t) JOIN post USING (t), c GROUP BY item_id, doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+             doc_id, score FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 20
+"""
+
+OP13_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                  generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+k AS (SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+g AS (SELECT key, min(doc_id) AS first_id FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+m AS (SELECT doc_id, pos, line, g.first_id IS NOT NULL AND g.first_id <> doc_id AS gone FROM k LEFT JOIN g USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_substring": OP7_SQL, "op10_exact": OP10_SQL}
+    return {"op7_substring": OP7_SQL, "op10_exact": OP10_SQL, "op12_search": OP12_SQL, "op13_lines": OP13_SQL}
