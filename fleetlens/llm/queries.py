@@ -99,6 +99,52 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (P
 """
 
 
+OP11_SQL = r"""
+WITH RECURSIVE
+f AS (SELECT doc_id, source, [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR)] AS head, text,
+             replace(text, chr(10), '') AS cut,
+             list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+               lambda x: CAST(ascii(x) AS BIGINT))), lambda c, x: list_reduce(list_prepend(xor(c, x), range(8)),
+               lambda v, i: xor(v >> 1, (v & 1) * 3988292384))) & 1 AS low FROM documents),
+h AS (SELECT doc_id, source, sha256(array_to_string(list_transform(head || [text], lambda v:
+               coalesce(strlen(v) || ':' || v, '-')), '')) AS leaf,
+             CASE WHEN low = 1 THEN sha256(array_to_string(list_transform(head || [cut], lambda v:
+               coalesce(strlen(v) || ':' || v, '-')), '')) END AS seen FROM f),
+lv AS (SELECT source, doc_id, leaf, seen, row_number() OVER w - 1 AS idx, count(*) OVER (PARTITION BY source) AS n
+       FROM h WINDOW w AS (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf)),
+up AS (SELECT source, 0 AS level, idx, leaf AS hash, n AS size FROM lv
+       UNION ALL
+       SELECT source, level + 1, idx // 3, sha256(string_agg(hash, '' ORDER BY idx)), (any_value(size) + 2) // 3
+       FROM up WHERE size > 1 GROUP BY source, level, idx // 3),
+sub AS (SELECT source, hash AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos,
+               count(*) OVER () AS n FROM up WHERE size = 1),
+over_ AS (SELECT 0 AS level, pos AS idx, subroot AS hash, n AS size FROM sub
+          UNION ALL
+          SELECT level + 1, idx // 3, sha256(string_agg(hash, '' ORDER BY idx)), (any_value(size) + 2) // 3
+          FROM over_ WHERE size > 1 GROUP BY level, idx // 3),
+side AS (SELECT o.source, o.level, o.idx, coalesce(string_agg(s.hash, '' ORDER BY s.idx) FILTER (s.idx < o.idx), '') AS l,
+                coalesce(string_agg(s.hash, '' ORDER BY s.idx) FILTER (s.idx > o.idx), '') AS r
+         FROM up o JOIN up s ON o.source IS NOT DISTINCT FROM s.source AND o.level = s.level AND o.idx // 3 = s.idx // 3
+         WHERE o.size > 1 GROUP BY o.source, o.level, o.idx),
+oside AS (SELECT o.level, o.idx, coalesce(string_agg(s.hash, '' ORDER BY s.idx) FILTER (s.idx < o.idx), '') AS l,
+                 coalesce(string_agg(s.hash, '' ORDER BY s.idx) FILTER (s.idx > o.idx), '') AS r
+          FROM over_ o JOIN over_ s ON o.level = s.level AND o.idx // 3 = s.idx // 3 WHERE o.size > 1 GROUP BY o.level, o.idx),
+walk AS (SELECT source, doc_id, leaf, idx AS start, idx, 0 AS level, '' AS proof, coalesce(seen, leaf) AS at FROM lv
+         UNION ALL
+         SELECT w.source, w.doc_id, w.leaf, w.start, w.idx // 3, w.level + 1, w.proof || s.l || s.r, sha256(s.l || w.at || s.r)
+         FROM walk w JOIN side s ON w.source IS NOT DISTINCT FROM s.source AND w.level = s.level AND w.idx = s.idx),
+done AS (SELECT w.doc_id, w.leaf, w.proof, w.at, sub.subroot, sub.pos AS idx, 0 AS level, w.source, w.start
+         FROM walk w JOIN sub ON w.source IS NOT DISTINCT FROM sub.source
+         WHERE NOT EXISTS (SELECT 1 FROM side s WHERE s.source IS NOT DISTINCT FROM w.source AND s.level = w.level)),
+climb AS (SELECT * FROM done
+          UNION ALL
+          SELECT c.doc_id, c.leaf, c.proof || s.l || s.r, sha256(s.l || c.at || s.r), c.subroot, c.idx // 3, c.level + 1,
+                 c.source, c.start
+          FROM climb c JOIN oside s ON c.level = s.level AND c.idx = s.idx)
+SELECT c.doc_id, c.leaf, c.subroot, o.hash AS root, sha256(c.proof) AS proof_sha256, c.at AS folded_root, c.at = o.hash AS verified
+FROM climb c, over_ o WHERE o.size = 1 AND c.level = o.level
+"""
+
 OP12_SQL = r"""
 WITH words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                       'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
@@ -132,4 +178,5 @@ FROM m GROUP BY doc_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_substring": OP7_SQL, "op10_exact": OP10_SQL, "op12_search": OP12_SQL, "op13_lines": OP13_SQL}
+    return {"op7_substring": OP7_SQL, "op10_exact": OP10_SQL, "op11_merkle": OP11_SQL,
+            "op12_search": OP12_SQL, "op13_lines": OP13_SQL}
