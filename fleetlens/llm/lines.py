@@ -59,9 +59,12 @@ def drop_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     idc, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     name = F.concat(F.length(idc.cast("string")).cast("string"), F.lit(":"), idc.cast("string"))
     row = F.unhex(F.md5(F.concat(F.coalesce(name, F.lit("-")), F.coalesce(text, F.lit(""))).cast("binary")))
-    lines = (df.select(idc.alias("id"), row.alias("row"), F.posexplode(split_lines(text)).alias("pos", "line"))
-             .withColumn("key", line_key(F.col("line"))).filter(F.length("key") >= min_chars)
-             .select("id", "row", "pos", F.unhex(F.md5(F.col("key").cast("binary"))).alias("hash")))
+    # keys and hashes are made in the array, before it is exploded, so each is made once; the outer form (a
+    # text has a line at least) keeps Spark from filtering on the array's size and so making it twice
+    keys = F.transform(split_lines(text), line_key)
+    hashes = F.transform(keys, lambda k: F.when(F.length(k) >= min_chars, F.unhex(F.md5(k.cast("binary")))))
+    lines = (df.select(idc.alias("id"), row.alias("row"), hashes.alias("hashes"))
+             .select("id", "row", F.posexplode_outer("hashes").alias("pos", "hash")).filter(F.col("hash").isNotNull()))
 
     docs = F.count_distinct("id") + F.max(F.col("id").isNull().cast("int"))
     repeated = C.materialize(lines.groupBy("hash").agg(docs.alias("docs"), F.min("id").alias("first"))
