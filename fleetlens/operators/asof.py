@@ -11,15 +11,14 @@ A comparison with NULL is never true: right rows with a NULL key or NULL
 ordering value are dropped first, and left rows with one have no match (they
 go with ``how='inner'`` and stay, unmatched, with ``how='left'``).
 
-Skew: with ``bucket`` (a function mapping the ordering column to a coarser
-value, e.g. month) the running scan is split in two levels so that a key that
-holds a large share of all rows is spread over many tasks:
-
-1. per (keys, bucket) the last right row inside the bucket (partial
-   aggregation, tiny output);
-2. the carry-in of each bucket = last of (1) over earlier buckets, a window
-   over the small bucket table;
-3. the row-level scan runs per (keys, bucket) and falls back to the carry-in.
+Skew: with ``bucket`` (see ``skew.py``) the running scan is split in two levels
+so that a key that holds a large share of all rows is spread over many tasks:
+
+1. the rows are dealt out once by (keys, part);
+2. the last right row of each (keys, part) is carried into the later parts by
+   a window over one row per part;
+3. the row-level scan runs per (keys, part) and falls back to the carry-in;
+   scan and carry-in read the same exchange.
 """
 
 from __future__ import annotations
@@ -27,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .skew import with_part
+
 _R = "__asof_r"
 _ORD = "__asof_ord"
 _SIDE = "__asof_side"
@@ -60,8 +61,9 @@ def asof_join(left: DataFrame, right: DataFrame, keys, left_on, right_on, right_
     ``tie`` orders right rows sharing the same ``right_on`` (greatest wins).
     ``how='inner'`` drops left rows without a match (the original behaviour),
     ``'left'`` keeps them with NULLs.
-    ``bucket`` (e.g. ``skew.day_bucket``) takes the two-level plan: for
-    histories in which one key may hold more rows than a task should sort.
+    ``bucket`` (``skew.day_bucket``, ``skew.RangeParts()``) takes the two-level
+    plan: for histories in which one key may hold more rows than a task should
+    sort.
     The rows are the same either way.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -80,19 +82,12 @@ def asof_join(left: DataFrame, right: DataFrame, keys, left_on, right_on, right_
 
 
 def _bucketed(u, keys, order, bucket):
-    u = u.withColumn(_BKT, bucket(F.col(_ORD)))
-    # (1) last right row per (keys, bucket): partial aggregation before the shuffle
-    rights = u.filter(F.col(_SIDE) == 0)
-    order_struct = F.struct(*order)
-    last_in_bucket = (rights.groupBy(*keys, _BKT)
-                      .agg(F.max_by(F.col(_R), order_struct).alias("__last")))
-    # (2) carry-in per bucket that has left rows: last of the earlier buckets
-    lb = u.filter(F.col(_SIDE) == 1).select(*keys, _BKT).distinct()
-    small = (lb.join(last_in_bucket, [*keys, _BKT], "full")
-             .withColumn("__carry", F.last("__last", ignorenulls=True).over(
-                 Window.partitionBy(*keys).orderBy(_BKT).rowsBetween(Window.unboundedPreceding, -1)))
-             .select(*keys, _BKT, "__carry"))
-    # (3) row-level scan inside each (keys, bucket), falling back to the carry-in
+    u = with_part(u, keys, order, bucket, _BKT)
+    last = F.max_by(F.col(_R), F.when(F.col(_R).isNotNull(), F.struct(*order)))      # right rows only
+    parts = u.groupBy(*keys, _BKT).agg(last.alias("__last"))
+    carry = F.last("__last", ignorenulls=True).over(
+        Window.partitionBy(*keys).orderBy(_BKT).rowsBetween(Window.unboundedPreceding, -1))
+    small = parts.select(*keys, _BKT, carry.alias("__carry")).filter(F.col("__carry").isNotNull())
     w = Window.partitionBy(*keys, _BKT).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     scanned = u.withColumn(_R, F.last(_R, ignorenulls=True).over(w)).filter(F.col(_SIDE) == 1)
     return (scanned.join(small, [*keys, _BKT], "left")

@@ -5,12 +5,13 @@ Ordering is always made total (K2, K3): callers pass the ordering columns
 followed by a unique tie-break, so results do not depend on shuffle order.
 
 Skew: a per-aircraft window puts a whole aircraft history into one task.  With
-``bucket`` set, :func:`rolling_features` runs per (keys, time bucket); a hot key
-is then spread over as many tasks as it has buckets while the result stays
-exactly equal.  Row frames pull in a *halo* of the ``n-1`` preceding rows of
-each bucket, located by global row index computed from per-bucket counts.
-Range frames need no look-up: their buckets are as long as the frame, so every
-row is needed in its own bucket and the next one.
+``bucket`` set, :func:`rolling_features` runs per (keys, part) instead, see
+``skew.py``; a hot key is then spread over its parts while the result stays
+exactly equal.  Row frames are right inside a part but for its first ``n-1``
+rows.  Those, and the last ``n-1`` rows of every part, are few; a window over
+them alone gives the first rows their values.  Range frames need no carry:
+their buckets are as long as the frame, so every row is needed in its own
+bucket and the next one.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .skew import with_part
+
 
 def _cols(x):
     return [x] if isinstance(x, str) else list(x)
@@ -36,8 +39,8 @@ def rolling_features(df: DataFrame, keys, order, lags=None, avgs=None, n: int =
     frame='rows'  → rows between n-1 preceding and current row (original "7d").
     frame='range' → true time window of ``range_seconds`` ending at the row
                     (``range_col`` is a timestamp/date column).
-    bucket        → function Column→Column giving a time bucket of the first
-                    ordering column: take it for histories that may hold more
+    bucket        → a time bucket of the first ordering column or RangeParts
+                    (``skew.py``): take it for histories that may hold more
                     rows of one key than a task should sort.  Range frames
                     only look at whether it is set.
     Without a bucket all expressions share one window spec, hence one
@@ -47,7 +50,7 @@ def rolling_features(df: DataFrame, keys, order, lags=None, avgs=None, n: int =
     lags, avgs = dict(lags or {}), dict(avgs or {})
     if bucket is not None:
         if frame == "rows":
-            return _rolling_halo(df, keys, order, lags, avgs, n, bucket)
+            return _rolling_parts(df, keys, order, lags, avgs, n, bucket)
         if lags:
             raise ValueError("lags belong to a rows frame")
         return _rolling_range_split(df, keys, avgs, range_col, range_seconds)
@@ -75,40 +78,28 @@ def _epoch_seconds(df, c, name=None):
     return c.cast("timestamp").cast("long")
 
 
-def _rolling_halo(df, keys, order, lags, avgs, n, bucket):
-    """Exact rows-frame features computed per (keys, bucket) plus a halo.
-
-    NULL keys form a group and NULL times a bucket (the first one), as in the
-    plain window."""
-    B, LI, GI = "__bkt", "__li", "__gi"
-    halo = max(n - 1 if avgs else 1, 1 if lags else 0)
-    per_bucket = Window.partitionBy(*keys, B)
-    d = (df.withColumn(B, bucket(order[0]))
-         .select("*", F.row_number().over(per_bucket.orderBy(*order)).alias(LI),
-                 F.count(F.lit(1)).over(per_bucket).alias("__cnt")))
-    # bucket offsets: exclusive running sum of the bucket counts (one row per bucket)
-    offs = (d.filter(F.col(LI) == 1)
-            .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(B).alias("__b"), "__cnt")
-            .withColumn("__off", F.coalesce(F.sum("__cnt").over(
-                Window.partitionBy(*[f"__k{i}" for i in range(len(keys))]).orderBy("__b")
-                .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__cnt"))
-    on_key = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
-    extra = [f"__k{i}" for i in range(len(keys))] + ["__b"]
-    d = (d.join(offs, on_key + [F.col(B).eqNullSafe(F.col("__b"))])
-         .withColumn(GI, F.col("__off") + F.col(LI)).drop(*extra))
-    # halo rows: the last `halo` rows of each bucket, sent to every bucket whose
-    # first global index lies within the next `halo` positions
-    tails = d.filter(F.col(LI) > F.col("__cnt") - halo).drop(B)
-    targets = tails.withColumn("__t", F.explode(F.sequence(F.col(GI) + 1, F.col(GI) + halo)))
-    starts = offs.withColumn("__s", F.col("__off") + 1).drop("__off")
-    halo_rows = (targets.join(starts, on_key + [F.col("__t") == F.col("__s")])
-                 .withColumnRenamed("__b", B).drop("__t", "__s", *extra[:-1]).withColumn("__own", F.lit(False)))
-    u = d.withColumn("__own", F.lit(True)).unionByName(halo_rows)
-    w = Window.partitionBy(*keys, B).orderBy(GI)
-    roll = w.rowsBetween(-(n - 1), 0)
-    out = u.select("*", *[F.lag(F.col(src), 1).over(w).alias(new) for new, src in lags.items()],
-                   *[F.avg(F.col(src)).over(roll).alias(new) for new, src in avgs.items()])
-    return out.filter("__own").drop(B, LI, GI, "__off", "__cnt", "__own")
+def _rolling_parts(df, keys, order, lags, avgs, n, bucket):
+    """Exact rows-frame features per (keys, part), the first rows of each part
+    mended from the edges.  The window over the edges sees at most 2(n-1) rows
+    of a key per part.  NULL keys form a group and NULL times come first, as in
+    the plain window."""
+    P, RN, CNT = "__part", "__rn", "__cnt"
+    halo = max(n - 1 if avgs else 1, 1)
+
+    def features(w):
+        roll = w.rowsBetween(-(n - 1), 0)
+        return [*[F.lag(F.col(src), 1).over(w).alias(new) for new, src in lags.items()],
+                *[F.avg(F.col(src)).over(roll).alias(new) for new, src in avgs.items()]]
+
+    own = [F.col(f"`{c}`") for c in df.columns]
+    part = Window.partitionBy(*keys, P)
+    d = with_part(df, keys, order, bucket, P).select(
+        *own, P, F.row_number().over(part.orderBy(*order)).alias(RN), F.count(F.lit(1)).over(part).alias(CNT),
+        *features(part.orderBy(*order)))
+    head, tail = F.col(RN) <= halo, F.col(RN) > F.col(CNT) - halo
+    edges = d.filter(head | tail).select(*own, P, RN)
+    mended = edges.select(*own, RN, *features(Window.partitionBy(*keys).orderBy(P, RN))).filter(head).drop(RN)
+    return d.filter(~head).drop(P, RN, CNT).unionByName(mended)
 
 
 def _rolling_range_split(df, keys, avgs, range_col, range_seconds):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..operators.skew import RangeParts
 from ..sources import driver as D
 from . import components as C
 from . import oracle as O
@@ -33,7 +34,7 @@ def _register_component(key):
     @query(f"features_{key}", O.with_(*O.comp_ctes([key])) + O.comp_features_select(key))
     def _features(spark, sf):
         h = C.health(D.COMPONENT_SOURCES[key](spark, sf), spec)
-        return _round(C.features(h, spec), [n for n, _ in spec.avgs])
+        return _round(C.features(h, spec, skew_bucket=RangeParts()), [n for n, _ in spec.avgs])
 
 
 for _k in O.COMP_KEYS:

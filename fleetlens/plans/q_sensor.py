@@ -53,8 +53,8 @@ def asof_left(spark, sf):
 
 @query("asof_join_bucketed", O.with_(*O.E1, O.enriched("JOIN")) + "SELECT * EXCLUDE (reading_id) FROM enr")
 def asof_join_bucketed(spark, sf):
-    """Same result through the skew-safe two-level plan (daily buckets)."""
-    return _chain(spark, sf, skew_bucket=sensor.day_bucket)["enriched"].drop("reading_id")
+    """Same result through the skew-safe two-level plan (range parts)."""
+    return _chain(spark, sf, skew_bucket=sensor.RangeParts())["enriched"].drop("reading_id")
 
 
 _FEAT_SQL = (O.with_(*O.E1, O.enriched("JOIN"), O.FEATURES)
@@ -68,8 +68,8 @@ def sensor_features(spark, sf):
 
 @query("sensor_features_bucketed", _FEAT_SQL)
 def sensor_features_bucketed(spark, sf):
-    """Same features through the skew-safe halo plan (daily buckets)."""
-    return _round(_chain(spark, sf, skew_bucket=sensor.day_bucket)["features"], R6)
+    """Same features through the skew-safe split plan (range parts)."""
+    return _round(_chain(spark, sf, skew_bucket=sensor.RangeParts())["features"], R6)
 
 
 @query("rule_score", O.with_(*O.E1, O.enriched("JOIN"), O.FEATURES, O.PREDICTIONS)
@@ -128,7 +128,7 @@ SELECT aircraft_id, "timestamp", reading_id,
 FROM sensor
 WINDOW w AS (PARTITION BY aircraft_id ORDER BY "timestamp", reading_id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""")
 def rolling_rows_bucketed(spark, sf):
-    """W-06 through the skew-safe halo plan (daily buckets, many tiny buckets)."""
+    """W-06 through the skew-safe split plan (daily buckets, many tiny parts)."""
     r = D.sensor_readings(spark, sf)
     out = rolling_features(r, ["aircraft_id"], ["timestamp", "reading_id"],
                            lags={"prev_temp": "engine_temp"}, avgs={"avg_temp_7r": "engine_temp"},

@@ -5,9 +5,9 @@ reference is bounded); afterwards the as-of join, PK dedupe, lag/rolling
 features and the latest-state pick all run on one hash partitioning by
 ``aircraft_id`` – a single shuffle for the whole chain.
 
-With ``skew_bucket`` (e.g. ``month_bucket``) the as-of join and the rolling
-windows run per (aircraft, time bucket) instead, so an aircraft holding a
-large share of all readings is spread across many tasks.
+With ``skew_bucket`` (``RangeParts()``, or a time bucket such as ``day_bucket``)
+the as-of join and the rolling windows run per (aircraft, part) instead, so an
+aircraft holding a large share of all readings is spread across many tasks.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from ..functions.scalars import days_since, risk_label, rule_score
 from ..operators.asof import asof_join
 from ..operators.joins import ref_join
 from ..operators.quality import clean
-from ..operators.skew import day_bucket, month_bucket  # noqa: F401
+from ..operators.skew import RangeParts, day_bucket, month_bucket  # noqa: F401
 from ..operators.windows import dedupe, latest_by, rolling_features
 
 

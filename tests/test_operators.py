@@ -210,11 +210,11 @@ def _null_history(spark):
             spark.createDataFrame(right, "k string, d date, mid int"))
 
 
-@pytest.mark.parametrize("bucket", ["day", "month"])
+@pytest.mark.parametrize("bucket", ["day", "month", "range", "range_many"])
 def test_split_windows_equal_plain_with_nulls(spark, bucket):
     from fleetlens.operators import skew as K
     df, _ = _null_history(spark)
-    b = {"day": K.day_bucket, "month": K.month_bucket}[bucket]
+    b = {"day": K.day_bucket, "month": K.month_bucket, "range": K.RangeParts(), "range_many": K.RangeParts(60)}[bucket]
     kw = dict(keys=["k"], order=["ts", "id"], lags={"px": "x"}, avgs={"ax": "x"}, n=4)
     plain = rolling_features(df, **kw).select("k", "ts", "id", "px", F.round("ax", 9).alias("ax"))
     split = rolling_features(df, bucket=b, **kw).select(*plain.columns[:4], F.round("ax", 9).alias("ax"))
@@ -233,5 +233,35 @@ def test_asof_never_matches_nulls(spark, how):
     kw = dict(keys=["k"], left_on=F.to_date("ts"), right_on="d", right_cols=["d", "mid"], tie=["mid"], how=how)
     want = _rows(asof_join_ranked(df, right, **kw), ["id"])
     assert _rows(asof_join(df, right, **kw), ["id"]) == want
-    assert _rows(asof_join(df, right, bucket=K.day_bucket, **kw), ["id"]) == want
+    for b in (K.day_bucket, K.RangeParts(), K.RangeParts(60)):
+        assert _rows(asof_join(df, right, bucket=b, **kw), ["id"]) == want
     assert len(want) == 900 if how == "left" else all(r[0] is not None and r[1] is not None for r in want)
+
+
+def test_split_plans_read_their_input_once(spark, sf):
+    """The rows behind both branches of a split plan come from one exchange."""
+    from fleetlens.sources import driver as D
+    from fleetlens.operators.skew import RangeParts
+    scans = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        scans.add(1)
+        yield from batches
+
+    df = D.sensor_readings(spark, sf).select("aircraft_id", "timestamp", "engine_temp", "reading_id").coalesce(1)
+    for bucket, reads in ((month_bucket, 1), (RangeParts(6), 2)):       # a range cut samples its input first
+        before = scans.value
+        counted = df.mapInArrow(count, df.schema)
+        out = rolling_features(counted, ["aircraft_id"], ["timestamp", "reading_id"], lags={"p": "engine_temp"},
+                               avgs={"a": "engine_temp"}, bucket=bucket)
+        assert out.count() == df.count()
+        out.write.format("noop").mode("overwrite").save()
+        assert scans.value - before <= 2 * reads
+
+
+def test_hot_key_is_spread_by_range_parts(spark):
+    from pyspark.sql import functions as F
+    from fleetlens.operators.skew import RangeParts, with_part
+    df = spark.range(6000).select(F.lit(1).alias("k"), F.timestamp_seconds("id").alias("ts"))
+    sizes = [r["count"] for r in with_part(df, ["k"], [F.col("ts")], RangeParts(12), "p").groupBy("p").count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 1000
