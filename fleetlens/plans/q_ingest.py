@@ -14,11 +14,14 @@ from ..functions.nested import flatten_json_deep
 from ..functions.scalars import parse_date
 from ..ml import model as M
 from ..operators import quality as Q
+from ..operators.quality import clean
 from ..operators.sampling import hash_uniform_sql
 from ..sinks import tables as X
 from ..sources import driver as D
 from ..sources import files
 from ..streaming import ingest as I
+from ..streaming.expectations import ExpectationLog, totals
+from ..streaming.state import features_stream
 from . import alerts as A
 from . import components as C
 from . import oracle as O
@@ -26,7 +29,8 @@ from . import sensor
 from .catalog import query
 from .q_alerts import RUN_TS, predictions_long
 from .q_components import health_frames
-from .q_sensor import R6, _round
+from .q_quality import _exp_sql
+from .q_sensor import _FEAT_SQL, R6, _round
 
 _TS = "date_trunc('second', CAST({} AS TIMESTAMP))"
 
@@ -111,6 +115,44 @@ def stream_to_gold(spark, sf):
         "aircraft_id", "timestamp", "engine_health_status", "predicted_anomaly", *R6)
 
 
+def _event_drops(spark, sf, loc, drops=4):
+    """The events written as ``drops`` folders of whole days in order of time;
+    yields after each, so that a stream can take it up before the next is there."""
+    events = D.table(spark, sf, "events")
+    day = F.unix_date(F.to_date("ts"))
+    first, last = events.agg(F.min(day), F.max(day)).first()
+    if first is None:                                  # an empty table is one empty drop
+        first = last = 0
+    drop = F.least(F.floor((day - first) * drops / (last - first + 1)), F.lit(drops - 1))
+    for k in range(drops):
+        events.filter(F.coalesce(drop, F.lit(0)) == k).write.mode("append").parquet(f"{loc}/raw")
+        yield I.parquet_stream(spark, f"{loc}/raw", "*.parquet", events.schema)
+
+
+@query("stream_features", _FEAT_SQL)
+def stream_features(spark, sf):
+    """X-05 / T-02: lag, 7-row means and latest maintenance from keyed stream
+    state, over four drops, the query restarted for each."""
+    loc = I.scratch_location(spark, "features")
+    for events in _event_drops(spark, sf, loc):
+        readings = clean(D.sensor_readings_from(events))[0].join(D.model_reference(spark, sf), "model", "left")
+        out = features_stream(readings, D.maintenance_events_from(events))
+        I.run_available(out, f"{loc}/sink", f"{loc}/checkpoint")
+    rows = spark.read.schema(out.schema).parquet(f"{loc}/sink")
+    return _round(rows.filter(~F.col("late")).drop("late"), R6)
+
+
+@query("stream_expectations", _exp_sql())
+def stream_expectations(spark, sf):
+    """P-02 / X-02: the counts that a cleaning stream observes, logged per
+    micro-batch over three drops and added up."""
+    loc = I.scratch_location(spark, "expectations")
+    with ExpectationLog(spark, f"{loc}/log") as log:
+        for events in _event_drops(spark, sf, loc, drops=3):
+            log.wait(I.run_available(I.clean_stream(D.sensor_readings_from(events)), f"{loc}/sink", f"{loc}/checkpoint"))
+    return totals(spark, f"{loc}/log").select("expectation", "total_rows", "failed_rows")
+
+
 @query("stream_latest_state", O.with_(O.SENSOR) + """
 SELECT aircraft_id, "timestamp", engine_temp, reading_id FROM (
   SELECT *, row_number() OVER (PARTITION BY aircraft_id ORDER BY "timestamp" DESC, reading_id DESC) AS rn

@@ -4,20 +4,24 @@ Each run processes only files not seen before (the checkpoint records them)
 and stops when caught up (``availableNow``), which is exactly-once file
 ingest; a rerun without new files adds nothing.  The stateless stages
 (parse, clean, expectations, health rules) run inside the stream; row-frame
-features are computed by a batch refresh afterwards (X-03), because Spark
-rejects non-time windows on streams.
+features come from keyed state (``state.py``) or from the incremental batch
+refresh (``plans/incremental.py``), because Spark rejects non-time windows on
+streams.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..operators.quality import clean, observe_expectations
 from ..plans.components import component_alerts, health
 from ..session import ensure_checkpoint_dir
-from ..sources.files import parse_component, parse_maintenance, parse_sensor
+from ..sources.files import parse_component, parse_maintenance, parse_sensor, read_path_or_empty
 
 
 def csv_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
@@ -83,7 +87,6 @@ def alert_stream(readings: DataFrame, spec, sink_path: str, checkpoint: str):
 
 def scratch_location(spark: SparkSession, name: str) -> str:
     """A folder for stream sinks/checkpoints under the shared checkpoint dir."""
-    import uuid
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/streams/{name}-{uuid.uuid4().hex[:12]}"
 
@@ -91,23 +94,62 @@ def scratch_location(spark: SparkSession, name: str) -> str:
 def latest_state_stream(stream_df: DataFrame, root: str, checkpoint: str, keys, order):
     """X-05: keep a latest-row-per-key table current from a stream.
 
-    Each micro-batch is merged with the current version (union → latest per
-    key) and written as a new version (O-07).  A version is one folder that
-    appears when its job commits, and merging a batch twice gives the same
-    rows, so a retried batch is harmless."""
+    A micro-batch writes only its own latest rows, to a folder of its epoch
+    beside the table; a repeated epoch replaces its folder.  When the run has
+    caught up, the changes that are not in the table yet are merged once into a
+    new version (O-07): the table is rewritten per run, not per micro-batch.
+    Merging changes twice gives the same rows, so a run that breaks off before
+    or after its merge loses and doubles nothing."""
     from ..operators.windows import latest_by
-    from ..sinks.tables import read_current, write_version
-
-    def merge(batch: DataFrame, epoch: int):
-        spark = batch.sparkSession
-        try:
-            cur = read_current(spark, root)
-            merged = latest_by(cur.unionByName(batch), keys, order)
-        except FileNotFoundError:
-            merged = latest_by(batch, keys, order)
-        write_version(spark, root, merged)
-
-    q = (stream_df.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    from ..sinks.tables import write_version
+    changes, merged = _change_folders(root, checkpoint)
+
+    def note(batch: DataFrame, epoch: int):
+        (latest_by(batch, keys, order).withColumn("epoch", F.lit(epoch)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(changes))
+
+    q = (stream_df.writeStream.foreachBatch(note).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    spark = stream_df.sparkSession
+    new = _unmerged(spark, changes, merged, stream_df.schema)
+    last = new.agg(F.max("epoch")).first()[0]
+    current = _current_or_empty(spark, root, stream_df.schema)
+    if last is not None or current is None:
+        write_version(spark, root, _with_changes(current, new, keys, order))
+    if last is not None:
+        spark.createDataFrame([(last,)], "upto long").coalesce(1).write.mode("append").parquet(merged)
     return q
+
+
+def read_latest(spark: SparkSession, root: str, checkpoint: str, keys, order, schema) -> DataFrame:
+    """The table of :func:`latest_state_stream` with the changes that a run
+    still going on, or broken off, has not merged yet."""
+    new = _unmerged(spark, *_change_folders(root, checkpoint), schema)
+    return _with_changes(_current_or_empty(spark, root, schema), new, keys, order)
+
+
+def _change_folders(root: str, checkpoint: str) -> tuple[str, str]:
+    # epochs count per checkpoint, so each checkpoint has its own folders
+    own = f"{root.rstrip('/')}-changes/{uuid.uuid5(uuid.NAMESPACE_URL, checkpoint.rstrip('/')).hex}"
+    return f"{own}/rows", f"{own}/merged"
+
+
+def _current_or_empty(spark, root, schema):
+    from ..sinks.tables import read_current
+    try:
+        return read_current(spark, root)
+    except FileNotFoundError:
+        return None
+
+
+def _unmerged(spark, changes, merged, schema) -> DataFrame:
+    upto = read_path_or_empty(spark, merged, "upto long").agg(F.max("upto")).first()[0]
+    rows = read_path_or_empty(spark, changes, T.StructType([*schema.fields, T.StructField("epoch", T.LongType())]))
+    return rows if upto is None else rows.filter(F.col("epoch") > upto)
+
+
+def _with_changes(current, new, keys, order) -> DataFrame:
+    from ..operators.windows import latest_by
+    new = new.drop("epoch")
+    return latest_by(new if current is None else current.unionByName(new), keys, order)

@@ -99,3 +99,114 @@ def test_every_twin_and_maintenance_stream(spark, tmp_path):
     (src / "a.csv").write_text("aircraft_id,event_date,event_type\nA,2024-01-02,Routine Check\nB,bad,Engine Repair\n")
     I.run_available(I.maintenance_stream(spark, str(src)), f"{tmp_path}/m-out", f"{tmp_path}/m-ck")
     assert spark.read.parquet(f"{tmp_path}/m-out").filter("event_date is null").count() == 1
+
+
+def _sensor_rows(spark, path):
+    return sorted((tuple(r) for r in spark.read.parquet(path).collect()), key=repr)
+
+
+def _maintenance(path, rows):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write("aircraft_id,event_date,event_type\n" + "".join(",".join(r) + "\n" for r in rows))
+
+
+def _reading(aircraft, day, hour, temp, anomaly=0, rpm=3000):
+    return [f"2024-03-{day:02d} {hour:02d}:00:00", aircraft, "A320", temp, 80, 4, 30000, 450, anomaly, 50, rpm, 24]
+
+
+def test_features_from_state_equal_batch_over_restarts(spark, tmp_path):
+    """Four runs of one checkpoint: NULL metrics, more readings than the tail
+    holds, a new aircraft, maintenance between drops, a repeated reading."""
+    from pyspark.sql import functions as F
+    from fleetlens.plans import sensor
+    from fleetlens.streaming.state import features_stream
+    src, maint, sink, ck = (f"{tmp_path}/{x}" for x in ("in", "maint", "out", "ck"))
+    _maintenance(f"{maint}/a.csv", [("AC0", "2024-03-01", "Routine Check"), ("AC1", "2024-03-02", "Engine Repair")])
+    drops = [[_reading("AC0", 1, h, 500 + h, h % 2) for h in range(5)] + [_reading("AC1", 1, 3, 600)],
+             [_reading("AC0", 2, h, "" if h == 2 else 510 + h, 1, "" if h == 3 else 2000 + h) for h in range(9)]
+             + [_reading("AC1", 2, h, 640 + h) for h in (8, 2, 5)] + [_reading("AC1", 2, 5, 600)],
+             [_reading("AC2", 3, 1, 520), _reading("AC0", 3, 1, 530)],
+             [_reading("AC2", 4, 1, 521), _reading("AC2", 4, 2, 522), _reading("AC1", 4, 1, 501, 1)]]
+    for k, rows in enumerate(drops):
+        _drop(f"{src}/{k}.csv", rows)
+        if k == 2:
+            _maintenance(f"{maint}/b.csv", [("AC2", "2024-03-04", "Engine Repair"), ("AC0", "2024-03-03", "Engine Repair")])
+        readings = I.clean_stream(I.sensor_stream(spark, src))
+        out = features_stream(readings, I.maintenance_stream(spark, maint))
+        I.run_available(out, sink, ck)
+        I.run_available(features_stream(I.clean_stream(I.sensor_stream(spark, src)), I.maintenance_stream(spark, maint)),
+                        sink, ck)                                            # nothing new
+    none = spark.createDataFrame([], "model string, manufacturer string, engine_type string, capacity int, range_km int")
+    batch = sensor.run(files.read_sensor_csv(spark, src), files.read_maintenance_csv(spark, maint), none)["features"]
+    cols = [c for c in S.SENSOR_FEATURE_COLS if c not in ("manufacturer", "engine_type", "capacity", "range_km")]
+    got = sorted((tuple(r) for r in spark.read.parquet(sink).filter(~F.col("late")).select(*cols).collect()), key=repr)
+    want = sorted((tuple(r) for r in batch.select(*cols).collect()), key=repr)
+    assert got == want and len(got) > 15
+
+
+def test_late_readings_are_marked_not_lost(spark, tmp_path):
+    from fleetlens.streaming.state import features_stream
+    src, maint, sink, ck = (f"{tmp_path}/{x}" for x in ("in", "maint", "out", "ck"))
+    _maintenance(f"{maint}/a.csv", [("AC0", "2024-03-01", "Routine Check")])
+    for k, hours in enumerate([(1, 5), (3, 5, 7)]):
+        _drop(f"{src}/{k}.csv", [_reading("AC0", 1, h, 500 + h) for h in hours])
+        out = features_stream(I.sensor_stream(spark, src), I.maintenance_stream(spark, maint), ttl_ms=3_600_000)
+        I.run_available(out, sink, ck)
+    got = {(r.timestamp.hour, r.engine_temp): (r.late, r.avg_engine_temp_7d) for r in spark.read.parquet(sink).collect()
+           if r.late or r.timestamp.hour == 7}
+    assert got == {(3, 503.0): (True, None), (5, 505.0): (True, None), (7, 507.0): (False, (501 + 505 + 507) / 3)}
+
+
+def test_trailing_mean_against_plain_loop():
+    import numpy as np
+    from fleetlens.streaming.state import trailing_mean
+    rng = np.random.Generator(np.random.PCG64(1))
+    for n in (1, 3, 7):
+        for size in (0, 1, 5, 40):
+            x = np.where(rng.random(size) < .3, np.nan, rng.random(size))
+            want = [np.nan if not len(k := w[~np.isnan(w)]) else sum(k) / len(k)
+                    for w in (x[max(0, i - n + 1):i + 1] for i in range(size))]
+            assert np.allclose(trailing_mean(x, n), want, equal_nan=True)
+
+
+def test_expectation_log_per_batch(spark, tmp_path):
+    from fleetlens.operators.quality import expectation_report
+    from fleetlens.streaming.expectations import ExpectationLog, counts, totals
+    src, sink, ck, log_at = (f"{tmp_path}/{x}" for x in ("in", "out", "ck", "log"))
+    with ExpectationLog(spark, log_at) as log:
+        for k in range(3):
+            _drop(f"{src}/{k}.csv", [_row(i, t) for i, t in enumerate([500, -5 * k, 1200, ""][:k + 2])])
+            log.wait(I.run_available(I.clean_stream(I.sensor_stream(spark, src)), sink, ck))
+    report = expectation_report(files.read_sensor_csv(spark, src))
+    assert sorted(map(tuple, totals(spark, log_at).collect())) == sorted(map(tuple, report.collect()))
+    per_batch = {(r.batch_id, r.expectation): (r.total_rows, r.failed_rows) for r in counts(spark, log_at).collect()}
+    assert per_batch[0, "valid_engine_temp"] == (2, 0) and per_batch[2, "valid_engine_temp"] == (4, 3)
+    assert len(per_batch) == 9
+
+
+def test_latest_state_writes_changes_and_one_version_a_run(spark, tmp_path):
+    """Three files in one run are three micro-batches but one version; an
+    unmerged change (a run that broke off) is read, and merged by the next run."""
+    from fleetlens.sinks.tables import read_current
+    src, root, ck = f"{tmp_path}/in", f"{tmp_path}/state", f"{tmp_path}/ck"
+    keys, order = ["aircraft_id"], ["timestamp"]
+
+    def run():
+        stream = I.csv_stream(spark, src, S.RAW_SENSOR_SCHEMA, max_files=1).select("aircraft_id", "timestamp", "engine_temp")
+        I.latest_state_stream(stream, root, ck, keys, order)
+        return stream.schema
+
+    for k in range(3):
+        _drop(f"{src}/{k}.csv", [_row(i + 6 * k, 600 + i) for i in range(3)])
+    schema = run()
+    run()                                                                    # nothing new, no new version
+    assert [d.split("-")[0] for d in os.listdir(root)] == ["v=000000000000"]
+    changes, merged = I._change_folders(root, ck)
+    assert len([d for d in os.listdir(changes) if d.startswith("epoch=")]) == 3
+    (spark.createDataFrame([("AC0", "2024-03-09 00:00:00", 1.0)], schema).selectExpr("*", "7L AS epoch").write
+     .mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(changes))
+    assert {r.engine_temp for r in I.read_latest(spark, root, ck, keys, order, schema).collect()} == {1.0, 601.0, 602.0}
+    run()
+    assert {r.engine_temp for r in read_current(spark, root).collect()} == {1.0, 601.0, 602.0}
+    assert len(os.listdir(root)) == 2
