@@ -25,8 +25,8 @@ from ..streaming.state import features_stream
 from . import alerts as A
 from . import components as C
 from . import oracle as O
-from . import sensor
 from .catalog import query
+from .incremental import IncrementalGold
 from .q_alerts import RUN_TS, predictions_long
 from .q_components import health_frames
 from .q_quality import _exp_sql
@@ -100,21 +100,30 @@ def _events_stream(spark, sf):
 SELECT aircraft_id, "timestamp", engine_health_status, predicted_anomaly,
        """ + ", ".join(f"round({c}, 6) AS {c}" for c in R6) + " FROM engine_view")
 def stream_to_gold(spark, sf):
-    """X-03: readings and maintenance arrive as streams, their sinks feed the
-    batch refresh of the features and of the latest state."""
-    loc = I.scratch_location(spark, "gold")
-    events = _events_stream(spark, sf)
-    readings = I.clean_stream(D.sensor_readings_from(events))
-    maintenance = D.maintenance_events_from(events)
-    for name, df in (("readings", readings), ("maintenance", maintenance)):
-        I.run_available(df, f"{loc}/{name}", f"{loc}/checkpoint-{name}")
-    chain = sensor.run(spark.read.schema(readings.schema).parquet(f"{loc}/readings"),
-                       spark.read.schema(maintenance.schema).parquet(f"{loc}/maintenance"),
-                       D.model_reference(spark, sf))
-    return _round(chain["engine_view"], R6).select(
+    """X-03: readings and maintenance arrive as streams in two drops; each
+    micro-batch refreshes the gold cells that it touches."""
+    gold = _gold_from_streams(spark, sf)
+    return _round(gold.engine_view(), R6).select(
         "aircraft_id", "timestamp", "engine_health_status", "predicted_anomaly", *R6)
 
 
+@query("gold_features_incremental", _FEAT_SQL)
+def gold_features_incremental(spark, sf):
+    """X-03 / T-02: the gold feature table that those refreshes leave."""
+    return _round(_gold_from_streams(spark, sf).table("sensor_features").drop("month", "bucket"), R6)
+
+
+def _gold_from_streams(spark, sf):
+    loc, gold = I.scratch_location(spark, "gold"), None
+    for events in _event_drops(spark, sf, loc, drops=2):
+        streams = {"maintenance": D.maintenance_events_from(events), "readings": D.sensor_readings_from(events)}
+        gold = gold or IncrementalGold(spark, f"{loc}/gold", D.model_reference(spark, sf), streams["readings"].schema,
+                                       streams["maintenance"].schema, RUN_TS)
+        for kind, stream in streams.items():
+            gold.follow(stream, f"{loc}/checkpoint-{kind}", kind)
+    return gold
+
+
 def _event_drops(spark, sf, loc, drops=4):
     """The events written as ``drops`` folders of whole days in order of time;
     yields after each, so that a stream can take it up before the next is there."""
