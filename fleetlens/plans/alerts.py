@@ -8,6 +8,8 @@ of the same batch is repeatable (F-06).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,23 +90,37 @@ def traceability(unified: DataFrame, predictions_long: DataFrame, run_ts: str) -
 
 def traceability_from_predictions(predictions_long: DataFrame, spark, run_ts: str,
                                   batch: str | None = None) -> DataFrame:
-    """T-14 in one pass when alerts and inferences come from the same long
-    prediction frame: the inference side per (component, aircraft, timestamp)
-    is a window aggregate over that key, so alerts carry it without a join
-    (one shuffle on the key instead of two shuffles and a join)."""
+    """T-14 from one evaluation of one long prediction frame: a key's inference
+    row, its matches and its number of alerts come from the same aggregation
+    (partial before the only shuffle, nothing is buffered per key).  The alerts
+    of a key differ in no column of the mart, so a key's row is repeated as
+    often as it has alerts.  Keys are compared as in :func:`traceability`: with
+    a NULL in the key there is no inference."""
     rest = [c for c in predictions_long.columns if c not in TRACE_KEYS]
-    w = Window.partitionBy(*TRACE_KEYS)
-    p = predictions_long.select(
-        "*", F.max_by(F.struct(*rest), F.struct(*rest)).over(w).alias("__i"),
-        F.count(F.lit(1)).over(w).alias("inf_matches"))
-    alerts = alerts_from_predictions(p, run_ts, batch)
-    u = unify_alerts(alerts, spark, run_ts, passthrough=["__i", "inf_matches"])
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in TRACE_KEYS])
+    raised = F.col("predicted_anomaly").cast("int") == 1
+    keys = predictions_long.groupBy(*TRACE_KEYS).agg(
+        F.max_by(F.struct(*rest), F.struct(*rest)).alias("__i"), F.count(F.lit(1)).alias("inf_matches"),
+        F.count_if(raised).cast("int").alias("__alerts"))
+    alerts = (keys.filter("__alerts > 0")
+              .withColumn("__i", F.when(whole, F.col("__i")))
+              .withColumn("inf_matches", F.when(whole, F.col("inf_matches")))
+              .withColumn("__alerts", F.explode(F.array_repeat(F.lit(1), F.col("__alerts"))))
+              .withColumnRenamed("__alerts", "predicted_anomaly"))
+    u = unify_alerts(alerts_from_predictions(alerts, run_ts, batch), spark, run_ts, passthrough=["__i", "inf_matches"])
     return (u.select(*[c for c in u.columns if c not in ("__i", "inf_matches")],
                      *[F.col(f"__i.{c}").alias(f"inf_{c}") for c in rest], "inf_matches")
             .withColumn("inference_table", F.col("inference_source"))
             .withColumn("trace_created_at", run_ts_col(run_ts)))
 
 
+def lookup(trace: DataFrame, condition) -> DataFrame:
+    """J-11: all rows of the trace that share a trace id with a row for which
+    ``condition`` holds (an id is not unique, so this is no filter on it)."""
+    hit = F.max(F.coalesce(condition, F.lit(False))).over(Window.partitionBy("inference_trace_id"))
+    return trace.withColumn("__hit", hit).filter("__hit").drop("__hit")
+
+
 def alert_summary(unified: DataFrame, approx: bool = False) -> DataFrame:
     """A-03: per component, category, severity and day: alerts and distinct aircraft."""
     distinct = (F.approx_count_distinct("aircraft_id") if approx else F.count_distinct("aircraft_id"))

@@ -32,9 +32,7 @@ def unified(spark, sf):
 
 
 def trace(spark, sf):
-    preds = predictions_long(spark, sf)
-    alerts = A.unify_alerts(A.alerts_from_predictions(preds, RUN_TS), spark, RUN_TS)
-    return A.traceability(alerts, preds, RUN_TS)
+    return A.traceability_from_predictions(predictions_long(spark, sf), spark, RUN_TS)
 
 
 MART = O.with_(*O.mart_ctes())

@@ -451,11 +451,10 @@ SELECT t.* FROM trace t WHERE t.inference_trace_id IN (
   SELECT inference_trace_id FROM unified WHERE alert_category = 'CRITICAL')""")
 def trace_lookup(spark, sf):
     """J-11 / Q-12 / Q-20: alert details with their inference rows for the
-    trace ids of every CRITICAL-category alert (semi join on the id set; the
-    id is for lookup, not a join key, so no pairs are formed within an id)."""
-    from .q_alerts import trace, unified
-    ids = unified(spark, sf).filter(F.col("alert_category") == "CRITICAL").select("inference_trace_id")
-    return trace(spark, sf).join(ids, "inference_trace_id", "left_semi")
+    trace ids of every CRITICAL-category alert, in one evaluation."""
+    from . import alerts as A
+    from .q_alerts import trace
+    return A.lookup(trace(spark, sf), F.col("alert_category") == "CRITICAL")
 
 
 @query("ref_join_inner", O.with_(O.COMP_RAW["fuel"]) + """
