@@ -155,34 +155,6 @@ def load(spark: SparkSession, root: str, name: str, version: int | str | None =
     return PipelineModel.load(path)
 
 
-def drift_report(reference: DataFrame, current: DataFrame, cols, by: str, quantiles=(0.5, 0.95),
-                 step: float = 1.0) -> DataFrame:
-    """M-13: per window of ``current`` (column ``by``), mean, stddev and
-    quantiles of each feature next to those of the ``reference`` window, and
-    the mean shift in reference standard deviations.
-
-    Quantiles are taken over values rounded down to ``step``, so what a task
-    holds is a histogram bounded by the range of the feature, not its values.
-    The reference is one aggregated row, used as a scalar subquery: no join."""
-    names = [f"p{round(100 * q)}" for q in quantiles]
-
-    def figures(c):
-        binned = F.floor(F.col(c) / step) * F.lit(step)
-        return [F.avg(c).alias("mean"), F.stddev_samp(c).alias("stddev"),
-                *[F.percentile(binned, q).alias(n) for q, n in zip(quantiles, names)]]
-
-    def packed(c):
-        return F.struct(*figures(c)).alias(c)
-
-    ref = reference.agg(*[packed(c) for c in cols]).select(F.struct(*cols)).scalar()
-    cur = current.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), *[packed(c) for c in cols]).withColumn("__ref", ref)
-    parts = [F.struct(F.lit(c).alias("feature"), *[F.col(f"{c}.{n}") for n in ("mean", "stddev", *names)],
-                      *[F.col(f"__ref.{c}.{n}").alias(f"ref_{n}") for n in ("mean", "stddev", *names)],
-                      ((F.col(f"{c}.mean") - F.col(f"__ref.{c}.mean")) / F.col(f"__ref.{c}.stddev")).alias("shift"))
-             for c in cols]
-    return cur.select(by, "rows", F.inline(F.array(*parts)))
-
-
 def component_training_frame(health_df: DataFrame, spec):
     """M-11: label = status is not NOMINAL, features = the spec's numeric metrics."""
     feats = [n for n, t in spec.metrics if t.typeName() in ("double", "integer")]

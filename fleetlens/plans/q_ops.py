@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +12,10 @@ from ..functions.nested import flatten_json_kv
 from ..functions.scalars import rule_score
 from ..ml import model as M
 from ..operators.joins import mapped_keys, ref_join, unmapped_keys
+from ..ml import drift as DR
+from ..operators import distinct as DC
 from ..operators.skew import day_bucket
+from ..session import ensure_checkpoint_dir
 from ..operators.sampling import hash_uniform_sql, sample_n, stratified_split
 from ..operators.windows import rolling_features
 from ..sinks import tables as X
@@ -217,26 +222,50 @@ def champion_select(spark, sf):
 _REF_END = "2024-01-11"
 
 
-@query("drift_report", O.with_(O.SENSOR) + f""",
-ref AS (SELECT avg(engine_temp) AS rm, stddev_samp(engine_temp) AS rs, quantile_cont(floor(engine_temp), 0.5) AS r5,
-               quantile_cont(floor(engine_temp), 0.95) AS r9 FROM sensor WHERE "timestamp" < TIMESTAMP '{_REF_END}'),
-cur AS (SELECT CAST("timestamp" AS DATE) AS day, count(*) AS "rows", avg(engine_temp) AS cm,
-               stddev_samp(engine_temp) AS cs, quantile_cont(floor(engine_temp), 0.5) AS c5,
-               quantile_cont(floor(engine_temp), 0.95) AS c9
-        FROM sensor WHERE "timestamp" >= TIMESTAMP '{_REF_END}' GROUP BY ALL)
-SELECT day, "rows", 'engine_temp' AS feature, round(cm, 6) AS mean, round(cs, 6) AS stddev, round(c5, 6) AS p50,
-       round(c9, 6) AS p95, round(rm, 6) AS ref_mean, round(rs, 6) AS ref_stddev, round(r5, 6) AS ref_p50,
-       round(r9, 6) AS ref_p95, round((cm - rm) / rs, 6) AS shift
-FROM cur, ref""")
+_DRIFT = ["engine_temp", "vibration", "anomaly_score"]
+
+
+def _drift_sql():
+    """Figures of the unrounded values, written out per feature."""
+    def figures(c):
+        return (f"avg({c}) AS m, stddev_samp({c}) AS s, quantile_disc({c}, 0.5) AS q5, quantile_disc({c}, 0.95) AS q9")
+    parts = [f"""SELECT day, c."rows", '{f}' AS feature, round(c.m, 6) AS mean, round(c.s, 6) AS stddev,
+       round(c.q5, 6) AS p50, round(c.q9, 6) AS p95, round(r.m, 6) AS ref_mean, round(r.s, 6) AS ref_stddev,
+       round(r.q5, 6) AS ref_p50, round(r.q9, 6) AS ref_p95, round((c.m - r.m) / r.s, 6) AS shift
+FROM (SELECT CAST("timestamp" AS DATE) AS day, count(*) AS "rows", {figures(f)} FROM sensor
+      WHERE "timestamp" >= TIMESTAMP '{_REF_END}' GROUP BY ALL) c,
+     (SELECT {figures(f)} FROM sensor WHERE "timestamp" < TIMESTAMP '{_REF_END}') r""" for f in _DRIFT]
+    return O.with_(O.SENSOR) + "\nUNION ALL\n".join(parts)
+
+
+@query("drift_report", _drift_sql())
 def drift_report(spark, sf):
-    """M-13: per day after the reference window, a feature's mean, stddev and
-    quantiles against those of the window."""
+    """M-13: per day after the reference window, each feature's mean, stddev
+    and quantiles against those of the window, from stored daily sketches."""
     r = D.sensor_readings(spark, sf).withColumn("day", F.to_date("timestamp"))
-    end = F.lit(_REF_END).cast("timestamp_ntz")
-    d = M.drift_report(r.filter(F.col("timestamp") < end), r.filter(F.col("timestamp") >= end), ["engine_temp"], "day")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/drift-{uuid.uuid4().hex}"
+    DR.feature_sketches(r, "day", _DRIFT).write.parquet(path)
+    d = DR.drift_report(spark.read.parquet(path), "day", F.col("day") < F.lit(_REF_END).cast("date"))
     return _r(d, [c for c in d.columns if c not in ("day", "rows", "feature")])
 
 
+@query("alert_distinct_windows", O.with_(*O.mart_ctes()) + """,
+d AS (SELECT DISTINCT component_id, alert_date FROM unified),
+a AS (SELECT component_id, alert_date, aircraft_id, count(*) AS c FROM unified GROUP BY ALL)
+SELECT d.component_id, d.alert_date AS window_end, CAST(w.days AS INTEGER) AS days, CAST(sum(a.c) AS BIGINT) AS "rows",
+       count(DISTINCT a.aircraft_id) AS affected_aircraft
+FROM d, (VALUES (7), (30)) w(days), a
+WHERE a.component_id = d.component_id AND a.alert_date BETWEEN d.alert_date - (w.days - 1) AND d.alert_date
+GROUP BY ALL""")
+def alert_distinct_windows(spark, sf):
+    """A-03 / A-04 / A-08: aircraft with alerts in the last 7 and 30 days of
+    every day, from one stored sketch per component and day."""
+    from .q_alerts import unified
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/alert-sketches-{uuid.uuid4().hex}"
+    DC.daily_sketches(unified(spark, sf), ["component_id"], "alert_date", "aircraft_id").write.parquet(path)
+    return DC.rolling_distinct(spark.read.parquet(path), ["component_id"], (7, 30), "affected_aircraft")
+
+
 @query("stratified_split", f"""
 SELECT doc_id, quality, toxic,
        row_number() OVER (PARTITION BY quality ORDER BY u, doc_id)
