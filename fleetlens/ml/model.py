@@ -8,6 +8,8 @@ aggregation.  The model registry is a small Parquet table.
 
 from __future__ import annotations
 
+import json
+
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -17,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.asof import asof_join
+from ..sources.files import read_path_or_empty
 
 SENSOR_MODEL_FEATURES = [
     "engine_temp", "fuel_efficiency", "vibration", "altitude", "airspeed", "oil_pressure", "engine_rpm",
@@ -114,20 +117,71 @@ def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 # ------------------------------------------------------------------ registry
 def register(spark: SparkSession, model: PipelineModel, root: str, name: str, version: int,
-             metrics: dict, params: dict | None = None) -> str:
+             metrics: dict, params: dict | None = None, signature: DataFrame | None = None) -> str:
     """M-07: save the model under ``root/models/<name>/v=<version>`` and record
     it.  The record is a folder of its own per (model, version), overwritten by
-    a repeated registration, so a version never has two rows."""
+    a repeated registration, so a version never has two rows.  ``signature``:
+    a frame with the columns that the model was trained on; their names and
+    types are recorded and checked by :func:`load`."""
     path = f"{root.rstrip('/')}/models/{name}/v={version}"
     model.write().overwrite().save(path)
     row = [(name, int(version), path, float(metrics.get("precision", 0.0)), float(metrics.get("recall", 0.0)),
-            float(metrics.get("f1", 0.0)), str(params or {}))]
+            float(metrics.get("f1", 0.0)), str(params or {}), signature_of(model, signature))]
     spark.createDataFrame(row, "model string, version int, path string, precision double, recall double, "
-                               "f1 double, params string").write.mode("overwrite").parquet(
+                               "f1 double, params string, signature string").write.mode("overwrite").parquet(
         f"{root.rstrip('/')}/registry/entry={name}-v{int(version)}")
     return path
 
 
+def signature_of(model: PipelineModel, df: DataFrame | None) -> str | None:
+    """The input columns of the model and their types in ``df``, as JSON."""
+    if df is None:
+        return None
+    return json.dumps({c: df.schema[c].dataType.simpleString() for c in input_columns(model)}, sort_keys=True)
+
+
+def input_columns(model: PipelineModel) -> list[str]:
+    return list(model.stages[0].getInputCols())
+
+
+def check_signature(signature: str | None, df: DataFrame) -> None:
+    """Raise if ``df`` lacks an input column of the model or has it in a type
+    that is not the trained one (a model without a signature accepts any)."""
+    wrong = []
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    for c, t in json.loads(signature or "{}").items():
+        if have.get(c) != t:
+            wrong.append(f"{c}: {t} expected, {have.get(c, 'no such column')} given")
+    if wrong:
+        raise ValueError("input does not fit the model's signature: " + "; ".join(wrong))
+
+
+_ALIAS = "model string, alias string, version int, move long"
+
+
+def set_alias(spark: SparkSession, root: str, name: str, alias: str, version: int) -> None:
+    """M-08: point ``alias`` of a model at a version that is registered.  A move
+    is one new record in one file, numbered after the alias's last one, so
+    readers see the old target or the new one."""
+    if _record(spark, root, name, version) is None:
+        raise ValueError(f"{name} has no version {version}")
+    moves = read_path_or_empty(spark, f"{root.rstrip('/')}/aliases", _ALIAS)
+    last = moves.filter((F.col("model") == name) & (F.col("alias") == alias)).agg(F.max("move")).first()[0]
+    (spark.createDataFrame([(name, alias, int(version), 0 if last is None else last + 1)], _ALIAS).coalesce(1)
+     .write.mode("append").parquet(f"{root.rstrip('/')}/aliases"))
+
+
+def aliases(spark: SparkSession, root: str) -> DataFrame:
+    """(``model``, ``alias``, ``version``): where every alias points now."""
+    return read_path_or_empty(spark, f"{root.rstrip('/')}/aliases", _ALIAS).groupBy("model", "alias").agg(
+        F.max_by("version", F.struct("move", "version")).alias("version"))
+
+
+def _record(spark, root, name, version):
+    reg = spark.read.option("mergeSchema", True).parquet(f"{root.rstrip('/')}/registry")
+    return reg.filter((F.col("model") == name) & (F.col("version") == int(version))).first()
+
+
 def champion(registry: DataFrame, metric: str = "f1") -> DataFrame:
     """M-08 / M-09: per model the best version by ``metric`` (ties → newest)."""
     return registry.groupBy("model").agg(
@@ -142,17 +196,27 @@ def newest(registry: DataFrame) -> DataFrame:
         F.max("version").alias("newest_version"), F.max_by("path", "version").alias("path"))
 
 
-def load(spark: SparkSession, root: str, name: str, version: int | str | None = None) -> PipelineModel:
-    """M-08: load by version number, ``"newest"``, or the champion when
-    ``version`` is None (one-row lookup)."""
-    reg = spark.read.parquet(f"{root.rstrip('/')}/registry").filter(F.col("model") == name)
+def load(spark: SparkSession, root: str, name: str, version: int | str | None = None,
+         check: DataFrame | None = None) -> PipelineModel:
+    """M-08: load by version number, ``"newest"``, an alias, or the champion
+    when ``version`` is None (one-row look-ups).  ``check``: the frame to be
+    scored; a model whose signature it does not fit is refused."""
+    reg = spark.read.option("mergeSchema", True).parquet(f"{root.rstrip('/')}/registry").filter(F.col("model") == name)
     if version is None:
-        path = champion(reg).first()["path"]
+        version = champion(reg).first()["champion_version"]
     elif version == "newest":
-        path = newest(reg).first()["path"]
-    else:
-        path = reg.filter(F.col("version") == version).first()["path"]
-    return PipelineModel.load(path)
+        version = newest(reg).first()["newest_version"]
+    elif isinstance(version, str):
+        found = aliases(spark, root).filter((F.col("model") == name) & (F.col("alias") == version)).first()
+        if found is None:
+            raise ValueError(f"{name} has no alias {version!r}")
+        version = found["version"]
+    record = _record(spark, root, name, version)
+    if record is None:
+        raise ValueError(f"{name} has no version {version}")
+    if check is not None:
+        check_signature(record.asDict().get("signature"), check)
+    return PipelineModel.load(record["path"])
 
 
 def component_training_frame(health_df: DataFrame, spec):

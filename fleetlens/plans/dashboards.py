@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..operators.skew import RangeParts, with_part
 from ..functions.scalars import health_band, health_score
 
 
@@ -269,15 +270,61 @@ def critical_over_time(view: DataFrame) -> DataFrame:
 def worst_first(aircraft_daily: DataFrame, as_of: str) -> DataFrame:
     """Q-02 / Q-08: one day's aircraft in order of health, worst first.
 
-    Ranked by (score, alerts) class: the classes are few and counted first, so
-    no window holds a whole fleet; inside a class the aircraft id decides."""
+    The rows are cut into ranges of the order itself; a place is the number of
+    rows in the ranges before (a window over one row per range) and the rank
+    inside the range, so neither the fleet nor a class of equal health meets
+    in one task."""
     d = aircraft_daily.filter(F.col("date") == F.lit(as_of).cast("date")).select(
         "aircraft_id", "health_score", "alert_count")
-    classes = d.groupBy("health_score", "alert_count").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("health_score", F.col("alert_count").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    classes = classes.select(F.col("health_score").alias("__h"), F.col("alert_count").alias("__a"),
-                             F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    inside = Window.partitionBy("health_score", "alert_count").orderBy("aircraft_id")
-    return (d.withColumn("__in", F.row_number().over(inside))
-            .join(classes, F.col("health_score").eqNullSafe(F.col("__h")) & F.col("alert_count").eqNullSafe(F.col("__a")))
-            .withColumn("place", (F.col("__before") + F.col("__in")).cast("long")).drop("__in", "__h", "__a", "__before"))
+    order = [F.col("health_score").asc(), F.col("alert_count").desc(), F.col("aircraft_id").asc()]
+    d = with_part(d, [], order, RangeParts(), "__part")
+    sizes = d.groupBy(F.col("__part").alias("__of")).agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__of").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("__of", F.coalesce(before, F.lit(0)).alias("__before"))
+    inside = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    return (d.withColumn("__in", inside).join(F.broadcast(offsets), F.col("__part") == F.col("__of"))
+            .select("aircraft_id", "health_score", "alert_count",
+                    (F.col("__before") + F.col("__in")).cast("long").alias("place")))
+
+
+#: levels of :func:`fleet_cube`, from the whole fleet to one aircraft's component on one day
+CUBE_DIMS = ["model", "airport", "aircraft_id", "component_type", "day"]
+CUBE_LEVELS = [[], ["component_type"], ["model", "component_type"], ["airport", "component_type"],
+               ["aircraft_id", "component_type"], ["model", "component_type", "day"], ["airport", "component_type", "day"],
+               ["component_type", "day"], ["aircraft_id", "component_type", "day"]]
+
+
+def fleet_cube(view: DataFrame, aircraft: DataFrame) -> DataFrame:
+    """Q-02 / Q-08 / Q-27: readings, alerts and mean health of every level of
+    ``CUBE_LEVELS`` in one pass over the component view.
+
+    ``aircraft``: aircraft_id, model, airport (an aircraft without a row has
+    NULL for both).  ``level`` is ``grouping_id`` over ``CUBE_DIMS``, so a NULL
+    value and a dimension that is rolled up are told apart.  Readings are
+    summed per (aircraft, component, day) first, so what the grouping sets
+    multiply is days of aircraft, not readings."""
+    daily = view.groupBy("aircraft_id", "component_type", F.to_date("event_timestamp").alias("day")).agg(
+        F.count(F.lit(1)).alias("r"), F.count_if(F.col("health_status") == S.HEALTH_CRITICAL).alias("c"),
+        F.count_if(F.col("health_status") == S.HEALTH_WARNING).alias("w"))
+    known = aircraft.select(F.col("aircraft_id").alias("__a"), "model", "airport")
+    rows = daily.join(known, F.col("aircraft_id") == F.col("__a"), "left").drop("__a")
+    readings = F.sum("r")
+    score = (F.sum(F.col("r") - F.col("c") - F.col("w")) * 100.0 + F.sum("w") * 70.0 + F.sum("c") * 40.0) / readings
+    dims = [F.col(c) for c in CUBE_DIMS]
+    return rows.groupingSets([[F.col(c) for c in level] for level in CUBE_LEVELS], *dims).agg(
+        F.grouping_id().cast("long").alias("level"), readings.alias("readings"), F.sum("c").alias("critical"),
+        F.sum("w").alias("warning"), score.alias("mean_health"))
+
+
+def cube_level(cube: DataFrame, dims, **where) -> DataFrame:
+    """One level of the cube, filtered: ``cube_level(cube, ["airport",
+    "component_type"], airport=7)`` is the heat map of a base (Q-27)."""
+    if sorted(dims) not in [sorted(level) for level in CUBE_LEVELS]:
+        raise ValueError(f"no level {dims}")
+    if unknown := set(where) - set(dims):
+        raise ValueError(f"not dimensions of this level: {sorted(unknown)}")
+    bits = sum(1 << (len(CUBE_DIMS) - 1 - i) for i, c in enumerate(CUBE_DIMS) if c not in dims)
+    out = cube.filter(F.col("level") == bits)
+    for c, v in where.items():
+        out = out.filter(F.col(c) == v)
+    return out.select(*dims, "readings", "critical", "warning", "mean_health")

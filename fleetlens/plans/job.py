@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..operators.skew import RangeParts
 from . import alerts as A
 from . import components as C
 from . import maps, sensor
 
 GOLD_PARTITIONS = {
+    "quarantine": ["month"],
     "sensor_features": ["month"],
     "prediction_results": ["month"],
     "component_health": ["component_type", "month"],
@@ -32,7 +34,9 @@ GOLD_PARTITIONS = {
 MONTH_SOURCE = {"sensor_features": "timestamp", "prediction_results": "timestamp",
                 "component_health": "event_timestamp", "component_alerts": "alert_timestamp",
                 "unified_alerts": "alert_date", "inference_traceability": "alert_date",
-                "alert_summary": "alert_date", "alert_trends": "alert_date"}
+                "alert_summary": "alert_date", "alert_trends": "alert_date", "quarantine": "timestamp"}
+for _k in S.COMPONENTS:
+    GOLD_PARTITIONS[f"features_{_k}"], MONTH_SOURCE[f"features_{_k}"] = ["month"], "event_timestamp"
 
 
 def _write(df: DataFrame, root: str, name: str) -> str:
@@ -49,13 +53,20 @@ def _write(df: DataFrame, root: str, name: str) -> str:
 
 
 def refresh(spark: SparkSession, readings: DataFrame, maintenance: DataFrame, models: DataFrame,
-            component_frames: dict, locations: DataFrame, root: str, run_ts: str) -> dict:
-    """Run E1 → E2 → E3 and the maps; returns {table: path}."""
+            component_frames: dict, locations: DataFrame, root: str, run_ts: str, skew_bucket=None) -> dict:
+    """Run E1 → E2 → E3 and the maps; returns {table: path}.
+
+    Histories are split by ranges of (aircraft, time), so an aircraft with a
+    large share of all rows is spread over many tasks; ``skew_bucket`` takes
+    another cut (``operators/skew.py``).  For a few new files take
+    ``incremental.IncrementalGold``."""
     paths = {}
     read = spark.read.parquet
 
     # E1: sensor chain
-    chain = sensor.run(readings, maintenance, models)
+    bucket = skew_bucket or RangeParts()
+    chain = sensor.run(readings, maintenance, models, skew_bucket=bucket)
+    paths["quarantine"] = _write(chain["quarantined"], root, "quarantine")
     paths["sensor_features"] = _write(chain["features"], root, "sensor_features")
     preds = sensor.prediction_results(read(paths["sensor_features"]).drop("month"))
     paths["prediction_results"] = _write(preds, root, "prediction_results")
@@ -66,6 +77,8 @@ def refresh(spark: SparkSession, readings: DataFrame, maintenance: DataFrame, mo
     health = {k: C.health(df, S.COMPONENTS[k]) for k, df in component_frames.items()}
     paths["component_health"] = _write(C.component_view(health), root, "component_health")
     view = read(paths["component_health"]).drop("month")
+    for k, df in health.items():
+        paths[f"features_{k}"] = _write(C.features(df, S.COMPONENTS[k], skew_bucket=bucket), root, f"features_{k}")
     paths["component_alerts"] = _write(C.component_alerts(view), root, "component_alerts")
 
     # E3: alert mart from one long prediction table

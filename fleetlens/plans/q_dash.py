@@ -348,3 +348,39 @@ SELECT aircraft_id, count(*) AS "rows" FROM fuel_raw GROUP BY aircraft_id""")
 def rows_per_aircraft(spark, sf):
     """Q-29: rows per aircraft in a twin table."""
     return Q.rows_per_group(D.fuel_readings(spark, sf))
+
+
+def _cube_sql():
+    dims = Q.CUBE_DIMS
+    sets = ", ".join("(" + ", ".join(x) + ")" for x in Q.CUBE_LEVELS)
+    return O.with_(*O.comp_ctes(O.COMP_KEYS), O.comp_view()) + f""",
+fleet AS (SELECT v.aircraft_id, v.component_type, CAST(v.event_timestamp AS DATE) AS day, v.health_status,
+                 c.c_mktsegment AS model, c.c_nationkey AS airport
+          FROM comp_view v LEFT JOIN customer c ON c.c_custkey = v.aircraft_id)
+SELECT {', '.join(dims)}, GROUPING({', '.join(dims)}) AS level, count(*) AS readings,
+       count(*) FILTER (WHERE health_status = 'CRITICAL') AS critical,
+       count(*) FILTER (WHERE health_status = 'WARNING') AS warning, round(avg({O.SCORE}), 6) AS mean_health
+FROM fleet GROUP BY GROUPING SETS ({sets})"""
+
+
+def _fleet_cube(spark, sf):
+    aircraft = D.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("aircraft_id"), F.col("c_mktsegment").alias("model"),
+        F.col("c_nationkey").alias("airport"))
+    return Q.fleet_cube(view(spark, sf), aircraft)
+
+
+@query("fleet_cube", _cube_sql())
+def fleet_cube(spark, sf):
+    """Q-02 / Q-08 / Q-27: all levels of the fleet cube in one pass."""
+    return _fleet_cube(spark, sf).withColumn("mean_health", F.round("mean_health", 6))
+
+
+@query("heatmap_by_base", O.with_(*O.comp_ctes(O.COMP_KEYS), O.comp_view()) + """
+SELECT c.c_nationkey AS airport, v.component_type, count(*) AS readings,
+       count(*) FILTER (WHERE v.health_status = 'CRITICAL') AS critical,
+       count(*) FILTER (WHERE v.health_status = 'WARNING') AS warning
+FROM comp_view v JOIN customer c ON c.c_custkey = v.aircraft_id WHERE c.c_nationkey = 7 GROUP BY ALL""")
+def heatmap_by_base(spark, sf):
+    """Q-27: the heat map filtered by base, a level of the cube."""
+    return Q.cube_level(_fleet_cube(spark, sf), ["airport", "component_type"], airport=7).drop("mean_health")

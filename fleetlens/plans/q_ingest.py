@@ -186,15 +186,20 @@ def malformed_rows(spark, sf):
     return Q.malformed_counts(o.select(text.alias("event_date")), {"event_date": parse_date("event_date")})
 
 
-@query("header_report", "SELECT * FROM (VALUES (TRUE, CAST(4 AS BIGINT)), (FALSE, CAST(2 AS BIGINT))) t(matches, files)")
+@query("header_report", """
+SELECT month(o_orderdate) % 4 <> 0 AS matches, count(DISTINCT strftime(o_orderdate, '%Y-%m')) AS files
+FROM orders GROUP BY 1""")
 def header_report(spark, sf):
-    """P-19: CSV drops whose header has the expected columns, and others."""
+    """P-19: CSV drops, one a month, whose header has the expected columns;
+    in every fourth month two of them are swapped."""
     loc = I.scratch_location(spark, "headers")
-    o = D.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    o.repartition(4).write.option("header", True).csv(f"{loc}/raw/part=a")
-    (o.select("o_custkey", "o_orderkey", "o_totalprice").repartition(2).write.option("header", True)
-     .csv(f"{loc}/raw/part=b"))
-    report = files.header_report(spark, f"{loc}/raw", o.columns)
+    names = ["o_orderkey", "o_custkey", "o_totalprice"]
+    o = D.table(spark, sf, "orders").select(*names, F.date_format("o_orderdate", "yyyy-MM").alias("drop"),
+                                            (F.month("o_orderdate") % 4 == 0).alias("swapped"))
+    for swapped, cols in ((False, names), (True, [names[1], names[0], names[2]])):
+        (o.filter(F.col("swapped") == swapped).select(*cols, "drop").repartition("drop").write.mode("append")
+         .option("header", True).partitionBy("drop").csv(f"{loc}/raw"))
+    report = files.header_report(spark, f"{loc}/raw/*", names)
     return report.groupBy("matches").agg(F.count(F.lit(1)).alias("files"))
 
 

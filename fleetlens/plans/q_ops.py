@@ -81,11 +81,14 @@ def point_in_time_lookup(spark, sf):
 _TRAIN_FEATS = ["avg_engine_temp_7d", "avg_vibration_7d", "prev_anomaly", "days_since_maint"]
 
 
-@query("feature_lookup", O.with_(*E1F) + f"""
+_LOOKUP_SQL = O.with_(*E1F) + f"""
 SELECT s.aircraft_id, s."timestamp", CAST(s.anomaly_score AS INTEGER) AS label,
        {', '.join((f'round(f.{c}, 6) AS {c}' if c.startswith('avg_') else f'f.{c}') for c in _TRAIN_FEATS)}
 FROM sensor s LEFT JOIN feat f ON f.aircraft_id = s.aircraft_id AND f."timestamp" = s."timestamp"
-WHERE {' AND '.join(f'f.{c} IS NOT NULL' for c in _TRAIN_FEATS)}""")
+WHERE {' AND '.join(f'f.{c} IS NOT NULL' for c in _TRAIN_FEATS)}"""
+
+
+@query("feature_lookup", _LOOKUP_SQL)
 def feature_lookup(spark, sf):
     """J-09 / M-01 / P-10: label rows ⟕ feature table on (aircraft, timestamp), NULLs dropped."""
     labels = D.sensor_readings(spark, sf).select("aircraft_id", "timestamp",
@@ -94,6 +97,18 @@ def feature_lookup(spark, sf):
     return _r(ts, ["avg_engine_temp_7d", "avg_vibration_7d"])
 
 
+@query("feature_lookup_bucketed", _LOOKUP_SQL)
+def feature_lookup_bucketed(spark, sf):
+    """J-09 / O-06: the same look-up from a stored feature table bucketed by its keys."""
+    name = f"features_{uuid.uuid4().hex}"
+    keys = ["aircraft_id", "timestamp"]
+    X.write_bucketed(_chain(spark, sf)["features"].select(*keys, *_TRAIN_FEATS), name,
+                     f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}", keys, 16)
+    labels = D.sensor_readings(spark, sf).select(*keys, F.col("anomaly_score").cast("int").alias("label"))
+    ts = M.training_set(labels, spark.table(name), keys, _TRAIN_FEATS, "label")
+    return _r(ts, ["avg_engine_temp_7d", "avg_vibration_7d"])
+
+
 # ------------------------------------------------------------- aggregates
 @query("conditional_counts", """
 SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS healthy,

@@ -114,15 +114,15 @@ def upsert_frame(target: DataFrame, source: DataFrame, keys, on_duplicate: str =
 
 
 def assert_unique(df: DataFrame, keys, label: str = "key") -> DataFrame:
-    """Rows pass through; a key occurring twice fails the job (checked per key
-    partition, no driver round trip)."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    """Rows pass through; a key occurring twice fails the job.  The check is a
+    count per key (partial before its shuffle, a scalar for the rows), so the
+    rows themselves neither shuffle nor wait for others of their key."""
+    twice = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").agg(
+        F.count(F.lit(1)).alias("n")).select("n").scalar()
     # the check sits in a filter predicate: a projected-then-dropped column
     # would be pruned by the optimizer and never evaluated
-    return (df.withColumn("__n", n)
-            .filter(F.when(F.col("__n") == 1, F.lit(True))
-                    .otherwise(F.raise_error(F.lit(f"duplicate {label} {keys}")).cast("boolean")))
-            .drop("__n"))
+    return df.filter(F.when(twice == 0, F.lit(True))
+                     .otherwise(F.raise_error(F.lit(f"duplicate {label} {keys}")).cast("boolean")))
 
 
 def upsert(spark: SparkSession, root: str, source: DataFrame, keys, on_duplicate: str = "fail") -> int:
@@ -194,3 +194,12 @@ def random_shift(df: DataFrame, cols, key: str, max_days: int, seed: int = 42) -
     days = F.floor(hash_uniform(key, seed) * (max_days + 1)).cast("int")
     return df.withColumns({c: F.col(c) + F.make_interval(days=days)
                            for c in ([cols] if isinstance(cols, str) else cols)})
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, keys, buckets: int) -> None:
+    """J-09 / O-06: a feature table bucketed and sorted by its keys.  Look-ups
+    join it without shuffling or sorting the table again; only the label side
+    moves, to as many partitions as there are buckets."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    (df.repartition(buckets, *keys).write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
