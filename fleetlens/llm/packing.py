@@ -32,6 +32,7 @@ from .bpe import codec
 
 FAN_IN = 8
 TASK_ITEMS = 200_000
+FIRST_ITEMS = 20_000
 
 
 def pieces(df: DataFrame, tokenizer: str, capacity: int, end_id: int,
@@ -122,14 +123,16 @@ def _round(items: DataFrame, capacity: int, slack: int, last: bool) -> DataFrame
 
 
 def pack(parts: DataFrame, capacity: int, id_col: str = "doc_id", fan_in: int = FAN_IN,
-         task_items: int = TASK_ITEMS) -> DataFrame:
+         task_items: int = TASK_ITEMS, first_items: int = FIRST_ITEMS) -> DataFrame:
     """Pack rows of ``pieces`` into sequences; adds ``sequence_id`` and ``offset``.
 
-    ``task_items`` bounds the items that one task packs: the first round has
-    as many partitions as that asks for, and the tree narrows only as far as
-    the bins still underfull fit.
+    ``first_items`` are the items of a partition of the first round, and
+    ``task_items`` bounds what one task packs later: the tree narrows by
+    ``fan_in`` as far as the bins still underfull fit.  When a round saves
+    hardly anything, what is left meets in one last task if it fits, else it
+    is emitted.  Widths follow from the items alone, so the sequences are the
+    same on any number of cores.
     """
-    spark = parts.sparkSession
     parts = C.materialize(parts, "pieces")
     member = F.struct(*[F.col(c) for c in parts.columns])
     full = parts.filter(F.col("length") >= capacity)
@@ -138,10 +141,7 @@ def pack(parts: DataFrame, capacity: int, id_col: str = "doc_id", fan_in: int =
 
     bins = [full.select(F.col("length").alias("fill"), F.array(member).alias("members"))]
     left = items.count()
-    width = max(1, -(-left // task_items))
-    cores = max(1, spark.sparkContext.defaultParallelism)
-    if left > 20_000:
-        width = max(width, min(cores, left // 10_000))
+    width = max(1, -(-left // min(task_items, first_items)))
     slack, seed = max(1, capacity // 64), 0
     while left:
         last = width == 1
@@ -155,11 +155,12 @@ def pack(parts: DataFrame, capacity: int, id_col: str = "doc_id", fan_in: int =
         now = rest.count()
         items = rest.select(F.xxhash64("members").alias("key"), "fill", "members")
         seed += 1
-        if now >= 0.98 * left and seed > 1:       # nothing to gain by meeting again
+        stalled = now >= 0.98 * left and seed > 1      # little to gain by meeting again
+        if stalled and now > task_items:
             bins.append(rest.select("fill", "members"))
             break
         left, slack = now, min(capacity, slack * 2)
-        width = max(1, -(-left // task_items), width // fan_in)
+        width = 1 if stalled else max(1, -(-left // task_items), width // fan_in)
 
     every = bins[0]
     for b in bins[1:]:

@@ -71,3 +71,22 @@ def test_empty(none):
 def test_best_fit_takes_the_tightest_bin():
     bins = packing.best_fit_decreasing(np.array([6, 7, 3, 4, 2]), 10)
     assert sorted(sorted(b) for b in bins) == [[0, 3], [1, 2], [4]]
+
+
+def test_sequences_do_not_depend_on_cores(spark, small):
+    """Same pieces, other parallelism of the plan: the same number of sequences."""
+    parts = packing.pieces(small, PATH, 64, 2).persist()
+    found = set()
+    for n in (2, 16):
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found.add(check_sequences(packing.pack(parts.repartition(n), 64, first_items=100, task_items=300).collect(), 64))
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert len(found) == 1
+
+
+def test_what_is_left_meets_in_one_task_if_it_fits(small):
+    """Large items only, two never fit: every round stalls, none is lost."""
+    parts = packing.pieces(small, PATH, 64, 2).filter("length > 32 and length < 64")
+    got = packing.pack(parts, 64, first_items=20, task_items=100_000).persist()
+    assert got.count() == parts.count() == check_sequences(got.collect(), 64)
