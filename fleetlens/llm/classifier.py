@@ -228,7 +228,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] |
           score_col: str = "score") -> DataFrame:
     """The columns ``keep`` (default: all) plus the score of every text."""
     keep = [c for c in df.columns if c != score_col] if keep is None else keep
-    out = T.StructType([*(T.StructField(f.name, f.dataType) for f in df.select(*keep).schema),
+    out = T.StructType([*(T.StructField(f.name, f.dataType) for f in df.select(*[F.col(f"`{c}`") for c in keep]).schema),
                         T.StructField(score_col, T.DoubleType())])
 
     def run(batches):
@@ -237,7 +237,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] |
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in keep), pa.array(model.score(x, row, b.num_rows))], names=out.names)
 
-    return df.select(*dict.fromkeys([*keep, text_col])).mapInArrow(run, out)
+    return df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text_col])]).mapInArrow(run, out)
 
 
 def held_out(id_col: str = "doc_id"):

@@ -40,8 +40,10 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
     if bits < 64 or bits & (bits - 1):
         raise ValueError("bits must be a power of two, 64 at least")
     df = df.drop("keep_id", "group_size", "kept", "text_sha256")
+    own = [F.col(f"`{c}`") for c in df.columns]          # a name may hold a dot
     p0, p1, w0, w1, m0, m1, hit = (C.free_name(df, x) for x in ("p0", "p1", "w0", "w1", "m0", "m1", "hit"))
-    norm = C.ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
+    norm = C.ascii_lower(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    ident = F.col(f"`{id_col}`")
 
     def positions(frame):
         h = F.xxhash64(norm)
@@ -59,31 +61,31 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
               .join(words(w0, m0), F.shiftright(p0, 6) == F.col(w0), "left")
               .join(words(w1, m1), F.shiftright(p1, 6) == F.col(w1), "left")
               .withColumn(hit, bit(m0, p0) & bit(m1, p1))
-              .select(*df.columns, hit)
+              .select(*own, hit)
               .withColumn("text_sha256", F.sha2(norm, 256)))
     single = looked.filter(~F.col(hit)).select(
-        *df.columns, F.col(id_col).alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
+        *own, ident.alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "text_sha256")
 
-    suspects = looked.filter(F.col(hit)).select(*df.columns, "text_sha256")
-    gs, gk, gn, rn = (C.free_name(suspects, x) for x in ("gs", "gk", "gn", "rn"))
+    suspects = looked.filter(F.col(hit)).select(*own, "text_sha256")
+    gs, gk, gn, rn, tied_in = (C.free_name(suspects, x) for x in ("gs", "gk", "gn", "rn", "tied"))
     # by (text, id) first: a group of copies that holds a third of all rows is spread by its ids,
     # and each map task sends one row of it to the second step
-    groups = (suspects.groupBy(F.col("text_sha256").alias(gs), F.col(id_col).alias(gk))
+    groups = (suspects.groupBy(F.col("text_sha256").alias(gs), ident.alias(gk))
               .agg(F.count(F.lit(1)).alias(gn))
               .groupBy(gs).agg(F.max(F.struct(gk, gn)).alias("top"), F.sum(gn).alias(gn))
-              .select(gs, gn, F.col(f"top.{gk}").alias(gk), (F.col(f"top.{gn}") > 1).alias("tied")))
+              .select(gs, gn, F.col(f"top.{gk}").alias(gk), (F.col(f"top.{gn}") > 1).alias(tied_in)))
 
     def with_groups(which, kept):
         return (suspects.join(which, F.col("text_sha256") == F.col(gs))
-                .select(*df.columns, F.col(gk).alias("keep_id"), F.col(gn).alias("group_size"),
+                .select(*own, F.col(gk).alias("keep_id"), F.col(gn).alias("group_size"),
                         kept.alias("kept"), "text_sha256"))
 
-    largest = F.col(id_col).eqNullSafe(F.col(gk))
-    plain = with_groups(groups.filter(~F.col("tied")), largest)
+    largest = ident.eqNullSafe(F.col(gk))
+    plain = with_groups(groups.filter(~F.col(tied_in)), largest)
     # repeated rows share the largest id: one of them stays (rare, so a branch of its own)
-    tied = with_groups(groups.filter("tied"), largest)
-    order = Window.partitionBy("text_sha256", id_col).orderBy(F.lit(1))
+    tied = with_groups(groups.filter(F.col(tied_in)), largest)
+    order = Window.partitionBy("text_sha256", ident).orderBy(F.lit(1))
     tied = (tied.withColumn(rn, F.row_number().over(order))
             .withColumn("kept", F.col("kept") & (F.col(rn) == 1)).drop(rn))
     return single.unionByName(plain).unionByName(tied)

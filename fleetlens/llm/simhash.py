@@ -310,4 +310,5 @@ def one_per_component(df: DataFrame, linked: DataFrame, id_col: str = "doc_id",
     same = Window.partitionBy(row, row2).orderBy(F.lit(1))
     return (df.withColumns({row: one, row2: two})
             .join(keep, (F.col(row) == F.col(of)) & (F.col(row2) == F.col(of2)), "left_semi")
-            .withColumn(rank, F.row_number().over(same)).filter(F.col(rank) == 1).select(*df.columns))
+            .withColumn(rank, F.row_number().over(same)).filter(F.col(rank) == 1)
+            .select(*[F.col(f"`{c}`") for c in df.columns]))

@@ -232,8 +232,11 @@ def remove_repeated(df: DataFrame, size: int = 35, anchor: int = ANCHOR, id_col:
         raise ValueError("anchor must be between 1 and size")
     keep = [id_col] if keep is None else keep
     rest = [c for c in keep if c != text_col]
-    docs = df.select(*rest, F.coalesce(F.col(text_col), F.lit("")).alias("__text"),
-                     F.xxhash64(F.col(id_col), F.col(text_col)).alias("__row"))
+    kept_as = [f"keep{i}" for i in range(len(rest))]      # names of their own: no clash, no dots
+    whole = F.col(f"`{text_col}`")
+    docs = df.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(rest, kept_as)],
+                     F.coalesce(whole, F.lit("")).alias("__text"),
+                     F.xxhash64(F.col(f"`{id_col}`"), whole).alias("__row"))
 
     anchors = (_counted(_anchors(docs.select("__text", "__row"), size, anchor), "key")
                .groupBy(F.col("row").alias("__r")).agg(F.collect_set("key").alias("__anchors")))
@@ -242,7 +245,7 @@ def remove_repeated(df: DataFrame, size: int = 35, anchor: int = ANCHOR, id_col:
             .agg(F.collect_list(F.struct("pos", "len")).alias("__runs")))
 
     last = "kept_sha256" if digest else "kept_text"
-    out = T.StructType([*(T.StructField(f.name, f.dataType) for f in df.select(*rest).schema),
+    out = T.StructType([*(T.StructField(f.name, f.dataType) for f in df.select(*[F.col(f"`{c}`") for c in rest]).schema),
                         T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                         T.StructField(last, T.StringType())])
 
@@ -259,7 +262,7 @@ def remove_repeated(df: DataFrame, size: int = 35, anchor: int = ANCHOR, id_col:
                 joined = b" ".join(words)
                 kept.append(hashlib.sha256(joined).hexdigest() if digest else joined.decode())
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in rest), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
+                [*(b.column(k) for k in kept_as), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
                  pa.array(kept, pa.string())], names=out.names)
 
     return docs.join(runs, F.col("__row") == F.col("__r"), "left").mapInArrow(run, out)

@@ -1,6 +1,7 @@
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from fleetlens.llm import exact
 
@@ -49,3 +50,12 @@ def test_bad_bits(odd):
 def test_unique_rows_do_not_shuffle(small):
     plan = exact.exact_dedup(small)._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Union" in plan
+
+
+def test_clashing_and_dotted_names(odd):
+    df = odd
+    for c in ("tied", "a.b", "p0", "m1", "word", "mask", "top", "__tied", "gk"):
+        df = df.withColumn(c, F.lit(1))
+    out = exact.exact_dedup(df, bits=64)
+    assert set(df.columns) <= set(out.columns)
+    assert rows(out, *COLS) == brute([(r[0], r[1]) for r in odd_rows()])

@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from fleetlens.llm import substring
 
@@ -54,3 +55,14 @@ def test_shard_finds_overlapping_passages():
 def test_bad_anchor(odd):
     with pytest.raises(ValueError):
         substring.remove_repeated(odd, 5, 6)
+
+
+def test_clashing_and_dotted_names(odd):
+    names = ["__text", "__row", "__runs", "__r", "__anchors", "a.b", "keep0", "key", "salt"]
+    df = odd
+    for c in names:
+        df = df.withColumn(c, F.lit(1))
+    out = substring.remove_repeated(df, size=35, keep=["doc_id", *names])
+    plain = substring.remove_repeated(odd, size=35)
+    cols = ("doc_id", "n_words", "n_removed", "kept_text")
+    assert rows(out, *cols) == rows(plain, *cols) and set(names) <= set(out.columns)
