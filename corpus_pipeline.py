@@ -19,20 +19,25 @@ from pyspark.sql import functions as F
 from fleetlens.llm import classifier, common as C, exact, packing, simhash, substring
 
 
+def _col(name: str):
+    """A column by its whole name, which may hold a dot."""
+    return F.col(f"`{name}`")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     labels = C.read(spark, sf_dir, "labels").filter(~classifier.held_out())
     model = classifier.fit(docs, labels, "quality")
     name = C.free_name(docs, "score")
     scored = classifier.score(docs, model, keep=docs.columns, score_col=name)
-    return scored.filter(F.col(name) >= classifier.THRESHOLD).select(*docs.columns)
+    return scored.filter(F.col(name) >= classifier.THRESHOLD).select(*[_col(c) for c in docs.columns])
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the largest id stays."""
     clash = {c: C.free_name(docs, c) for c in ("keep_id", "group_size", "kept", "text_sha256") if c in docs.columns}
     out = exact.exact_dedup(docs.withColumnsRenamed(clash)).filter("kept")
-    return out.select(*[F.col(clash.get(c, c)).alias(c) for c in docs.columns])
+    return out.select(*[_col(clash.get(c, c)).alias(c) for c in docs.columns])
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +54,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     frame = docs.withColumnsRenamed(clash).withColumn(text, F.col("text"))
     out = substring.remove_repeated(frame, size=35, keep=[c for c in frame.columns if c != "text"])
     new = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col(text))
-    columns = {c: F.col(clash.get(c, c)) for c in docs.columns} | {"text": new}
+    columns = {c: _col(clash.get(c, c)) for c in docs.columns} | {"text": new}
     if "n_chars" in columns:
         columns["n_chars"] = F.when(F.col("n_removed") > 0, F.length(F.col("kept_text")).cast("long")).otherwise(
             F.col(clash.get("n_chars", "n_chars"))).cast(docs.schema["n_chars"].dataType)
