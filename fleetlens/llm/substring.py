@@ -4,25 +4,27 @@ A window is a run of ``size`` words of one text.  A window recurs if the same
 words start anywhere else too, in any text.  Every word covered by a recurring
 window is removed.
 
+Texts are put into parts of about ``part_bytes`` by a hash of id and text, in
+a fixed order, so a place is (part, word number).  They shuffle once; every
+step reads the same exchange.
+
 1. *Candidates.*  Of the ``anchor``-word phrases of each window the one with
    the smallest hash is its anchor (winnowing), so equal windows have equal
-   anchors and about one phrase in thirteen is one.  Only anchors shuffle, with the
-   row they stand in; those seen once are dropped.
-2. *Confirmation.*  The windows whose anchor recurs are counted by two
-   hashes (127 bits together, both made from one 64-bit hash a word; no words
-   are compared across texts); those seen twice or more are the recurring
-   passages, at every place.  A task merges what it sees twice itself into runs and
-   sends one probe per window for the others, so a passage in a third of all
-   texts does not meet in one task.
-3. *Automata.*  Texts come together with their confirmed positions.  Each
-   slice of texts compiles its passages (maximal runs of confirmed windows, as
-   sequences of word numbers) into one shard of Aho-Corasick automata and
-   streams its texts through it; every occurrence found is removed.  These
-   are the places that step 2 gave: the automaton marks them again and finds
-   no others.  Shards are as many as slices, each bounded by the slice's size.
-
-The texts shuffle by a hash of the row (id and text); both joins use the same
-exchange.  Null texts have no words.  Repeated rows count as copies.
+   anchors and about one phrase in thirteen is one.  A part sends each of its
+   anchors once; those of one place are dropped.
+2. *Confirmation.*  The windows whose anchor recurs are counted by two hashes
+   (127 bits together, from two word hashes).  A part sends each of its
+   windows once, so a passage in a third of all texts gives one row a part.
+   Of the places of a recurring window the smallest is its representative.
+3. *Passages.*  Windows of a part that always follow each other there and whose
+   representatives do so too make one passage.  Its words are cut out of the
+   representative's text alone, once for all the parts that ask for it.
+4. *Automata.*  The passages that a part asked for are compiled into shards of
+   Aho-Corasick automata of at most ``SHARD_WORDS`` words each, and all texts
+   of the part stream through every shard.  The hits, compared word by word,
+   are what is removed: the other places of a passage are not known before.
+
+Null texts have no words.  Repeated rows count as copies.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ from pyspark.sql import types as T
 from . import common as C
 
 ANCHOR = 12
+PART_BYTES = 4 << 20       # text bytes of a part
+SHARD_WORDS = 1 << 18      # words of the passages of one automaton
 
 
 def _window_starts(words: C.Words, size: int) -> np.ndarray:
@@ -61,7 +65,7 @@ def _sliding(best, x: np.ndarray, width: int) -> np.ndarray:
 
 
 class Windows:
-    """The windows of a slice of texts: ``starts`` (word numbers), their anchor
+    """The windows of the texts of a part: ``starts`` (word numbers), their anchor
     hashes ``least``, and the places ``picked`` of all phrases that are the
     anchor of some window (every place of a tie)."""
 
@@ -86,89 +90,101 @@ class Windows:
         self.picked = np.flatnonzero(around == self.phrase)
 
 
-def _counted(rows: DataFrame, key: str) -> DataFrame:
-    """Rows (key, ``salt``, ``n``, ...) whose key and salt occur twice or more.
-    Rows with an odd salt are known to recur and keep to themselves."""
-    total = F.sum("n").over(Window.partitionBy(key, "salt"))
-    return rows.withColumn("total", total).filter((F.col("salt") % 2 != 0) | (F.col("total") > 1))
-
-
-def _group(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first place of each run of equal sorted keys, run number of each)."""
-    new = np.concatenate([[True], keys[1:] != keys[:-1]])
-    return np.flatnonzero(new), np.cumsum(new) - 1
-
-
-def _anchors(docs: DataFrame, size: int, anchor: int) -> DataFrame:
-    """(``key``, ``salt``, ``row``, ``n``): the anchors of every text."""
-    out = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "salt", "row", "n")])
-
-    def run(batches):
-        for b in C.slices(batches, "__text"):
-            w = Windows(C.encode(b.column("__text")), size, anchor)
-            if not len(w.picked):
-                continue
-            key, row = w.phrase[w.picked], w.words.row[w.picked]
-            order = np.lexsort((row, key))
-            key, row = key[order], row[order]
-            first, run_of = _group(key)
-            known = np.diff(np.concatenate([first, [len(key)]]))[run_of] > 1
-            once = np.concatenate([[True], (key[1:] != key[:-1]) | (row[1:] != row[:-1])])
-            rows = b.column("__row").to_numpy()[row]
-            probe = first[known[first]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (
-                (key[once].view(np.int64), key[probe].view(np.int64)),
-                (np.where(known, rows | 1, 0)[once], np.zeros(len(probe), dtype=np.int64)),
-                (rows[once], rows[probe]),
-                (np.ones(int(once.sum()), dtype=np.int64), np.full(len(probe), 2)))], names=out.names)
-
-    return docs.mapInArrow(run, out)
-
-
-def _windows(docs: DataFrame, size: int, anchor: int) -> DataFrame:
-    """(``key``, ``salt``, ``row``, ``pos``, ``len``, ``n``): windows whose
-    anchor is among ``__anchors``; those a slice holds twice come as runs."""
-    out = T.StructType([*(T.StructField(c, T.LongType()) for c in ("key", "salt", "row")),
-                        *(T.StructField(c, T.IntegerType()) for c in ("pos", "len", "n"))])
-
-    def run(batches):
-        for b in C.slices(batches, "__text"):
-            w = Windows(C.encode(b.column("__text")), size, anchor)
-            repeated = b.column("__anchors").flatten().to_numpy().view(np.uint64)
-            near = np.flatnonzero(np.isin(w.least, repeated))
-            if not len(near):
-                continue
+def _texts(part: pa.Table) -> tuple[np.ndarray, list[bytes]]:
+    """(order of the rows, texts in it): the same however the rows arrive."""
+    raw = C.encode(part.column("text").combine_chunks())
+    row = part.column("row").to_pylist()
+    order = sorted(range(len(raw)), key=lambda i: (row[i], raw[i]))
+    return np.array(order, dtype=np.int64), [raw[i] for i in order]
+
+
+def _table(columns: dict[str, tuple]) -> pa.Table:
+    return pa.table({name: pa.array(values, kind) for name, (values, kind) in columns.items()})
+
+
+def _anchors(size: int, anchor: int):
+    """Part -> (``key``, ``part``, ``many``): its anchors, each once; ``many``
+    says that it stands at two places of the part or more."""
+    def run(part: pa.Table) -> pa.Table:
+        w = Windows(_texts(part)[1], size, anchor)
+        key, times = np.unique(w.phrase[w.picked], return_counts=True)
+        return _table({"key": (key.view(np.int64), pa.int64()),
+                       "part": (np.full(len(key), part.column("part")[0].as_py()), pa.int64()),
+                       "many": (times > 1, pa.bool_())})
+    return run
+
+
+def _chained(group: np.ndarray, start: np.ndarray, row: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For every group of equal windows: do its windows and those of the group
+    before its first one always stand side by side?  ``first`` is the index of
+    the first window of each group; windows are in the order of ``start``."""
+    beside = (start[1:] == start[:-1] + 1) & (row[1:] == row[:-1])
+    after = np.full(len(group), -1, dtype=np.int64)
+    after[:-1][beside] = group[1:][beside]
+    before = np.full(len(group), -1, dtype=np.int64)
+    before[1:][beside] = group[:-1][beside]
+    forks = np.bincount(group, weights=after != after[first][group], minlength=len(first)) > 0
+    joins = np.bincount(group, weights=before != before[first][group], minlength=len(first)) > 0
+    back = before[first]
+    return (back >= 0) & ~joins & ~forks[back]
+
+
+def _windows(size: int, anchor: int):
+    """Part and its recurring anchors -> (``key``, ``second``, ``place``): its
+    windows with such an anchor, each once, at the first word it starts at.  A
+    place is the part, the word number and two bits: does the part hold the
+    window twice or more, does it start a passage."""
+    def run(part: pa.Table, anchors: pa.Table) -> pa.Table:
+        key = second = place = np.zeros(0, dtype=np.int64)
+        if part.num_rows and anchors.num_rows:
+            w = Windows(_texts(part)[1], size, anchor)
+            near = np.flatnonzero(np.isin(w.least, anchors.column("key").to_numpy().view(np.uint64)))
             start = w.starts[near]
-            key = C.mix(C.window_hashes(w.hashes, size, 11)[start] ^ C.mix(w.least[near]))
-            second = C.window_hashes(w.hashes, size, 23)[start].view(np.int64) & ~np.int64(1)
-            order = np.lexsort((second, key))
-            new = (key[order][1:] != key[order][:-1]) | (second[order][1:] != second[order][:-1])
-            first, run_of = _group(np.cumsum(np.concatenate([[False], new])))
-            times = np.empty(len(key), dtype=np.int64)
-            times[order] = np.diff(np.concatenate([first, [len(key)]]))[run_of]
-            text = w.words.row[start]
-            rows = b.column("__row").to_numpy()[text]
-            pos = start - w.words.first[text]
-            probe = order[first[times[order[first]] > 1]]
-            single = np.flatnonzero(times == 1)
-            known = np.flatnonzero(times > 1)
-            head = known[:0]
-            length = np.zeros(0, dtype=np.int64)
-            if len(known):
-                new = np.concatenate([[True], (start[known][1:] != start[known][:-1] + 1)
-                                      | (text[known][1:] != text[known][:-1])])
-                head = known[new]
-                length = np.diff(np.concatenate([np.flatnonzero(new), [len(known)]]))
-            ones, none = np.ones(len(single), dtype=np.int32), np.zeros(len(probe), dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (
-                (key[single].view(np.int64), key[probe].view(np.int64), rows[head]),
-                (second[single], second[probe], rows[head] | 1),
-                (rows[single], rows[probe], rows[head]),
-                (pos[single].astype(np.int32), none, pos[head].astype(np.int32)),
-                (ones, none, length.astype(np.int32)),
-                (ones, none + 2, np.full(len(head), 2, dtype=np.int32)))], names=out.names)
-
-    return docs.mapInArrow(run, out)
+            if len(start):
+                one = C.mix(C.window_hashes(w.hashes, size, 11)[start] ^ C.mix(w.least[near])).view(np.int64)
+                two = C.window_hashes(w.words.hashes(2), size, 23)[start].view(np.int64)
+                order = np.lexsort((two, one))            # stable: equal windows stay in order of start
+                new = np.concatenate([[True], (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])])
+                group = np.empty(len(start), dtype=np.int64)
+                group[order] = np.cumsum(new) - 1
+                first = order[new]
+                many = np.bincount(group) > 1
+                cut = ~_chained(group, start, w.words.row[start], first)
+                number = np.int64(part.column("part")[0].as_py())
+                key, second = one[first], two[first]
+                place = (number << 32) | (start[first] << 2) | (many.astype(np.int64) << 1) | cut
+        return _table({"key": (key, pa.int64()), "second": (second, pa.int64()), "place": (place, pa.int64())})
+    return run
+
+
+def _requests(confirmed: pa.Table) -> pa.Table:
+    """Recurring windows of a part -> (``part``, ``home``, ``at``, ``len``):
+    its passages as runs of ``len`` windows at word ``at`` of the part ``home``."""
+    place = np.sort(confirmed.column("place").to_numpy())
+    rep = confirmed.column("rep").to_numpy()[np.argsort(confirmed.column("place").to_numpy())]
+    start, home, at = (place >> 2) & 0x3FFFFFFF, rep >> 32, (rep >> 2) & 0x3FFFFFFF
+    on = (place[1:] & 1 == 0) & (start[1:] == start[:-1] + 1) & (home[1:] == home[:-1]) & (at[1:] == at[:-1] + 1)
+    first = np.flatnonzero(np.concatenate([[True], ~on]))
+    return _table({"part": (place[first] >> 32, pa.int64()), "home": (home[first], pa.int64()),
+                   "at": (at[first], pa.int64()),
+                   "len": (np.diff(np.concatenate([first, [len(place)]])), pa.int64())})
+
+
+def _passages(size: int):
+    """Part and the runs wanted of it -> (``from``, ``word``, ``run``,
+    ``words``): the words of each, joined by one space."""
+    def run(part: pa.Table, wanted: pa.Table) -> pa.Table:
+        out = []
+        if part.num_rows and wanted.num_rows:
+            words = b"\n".join(_texts(part)[1]).split()
+            out = [b" ".join(words[a:a + n - 1 + size])
+                   for a, n in zip(wanted.column("at").to_pylist(), wanted.column("len").to_pylist())]
+        else:
+            wanted = wanted.slice(0, 0)
+        return _table({"from": (wanted.column("home").to_numpy(), pa.int64()),
+                       "word": (wanted.column("at").to_numpy(), pa.int64()),
+                       "run": (wanted.column("len").to_numpy(), pa.int64()), "words": (out, pa.binary())})
+    return run
 
 
 class Shard:
@@ -178,91 +194,118 @@ class Shard:
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         self.size = 0
 
-    def add(self, passage: tuple[int, ...]) -> None:
-        self.size += self.automaton.add_word(passage, len(passage))
+    def add(self, numbers: tuple[int, ...], words: list[bytes] | None = None) -> None:
+        """A passage; with ``words`` its hits are compared on them."""
+        self.size += len(numbers)
+        _, same = self.automaton.get(numbers, (0, []))     # other words that meet in the numbers
+        self.automaton.add_word(numbers, (len(numbers), [*same, words]))
 
     def compile(self) -> None:
         self.automaton.make_automaton()
 
-    def covered(self, words: tuple[int, ...]) -> np.ndarray:
+    def mark(self, edges: np.ndarray, numbers: tuple[int, ...], words: list[bytes] | None = None) -> None:
+        """Add one at the first word of every occurrence of a passage, and take
+        one off behind its last."""
+        for end, (length, passages) in self.automaton.iter(numbers):
+            begin = end + 1 - length
+            if words is None or words[begin:end + 1] in passages:
+                edges[begin] += 1
+                edges[end + 1] -= 1
+
+    def covered(self, numbers: tuple[int, ...], words: list[bytes] | None = None) -> np.ndarray:
         """Which words an occurrence of some passage covers."""
-        mark = np.zeros(len(words) + 1, dtype=np.int32)
-        for end, length in self.automaton.iter(words):
-            mark[end + 1 - length] += 1
-            mark[end + 1] -= 1
-        return np.cumsum(mark[:-1]) > 0
-
-
-def _locate(raw: list[bytes], runs: list[list | None], size: int) -> list[np.ndarray | None]:
-    """Covered words of every text of a slice (None: none)."""
-    shard = Shard()
-    words = C.Words(raw)
-    if not any(runs):
+        edges = np.zeros(len(numbers) + 1, dtype=np.int32)
+        self.mark(edges, numbers, words)
+        return np.cumsum(edges[:-1]) > 0
+
+
+def _locate(raw: list[bytes], passages: list[bytes], size: int,
+            shard_words: int = SHARD_WORDS) -> list[np.ndarray | None]:
+    """Covered words of every text (None: none), found by the automata of the
+    passages."""
+    if not passages:
         return [None] * len(raw)
+    words = C.Words(raw + passages)
     number = np.unique(words.hashes(), return_inverse=True)[1].tolist()
     bounds = words.first.tolist()
     rows = [tuple(number[a:b]) for a, b in zip(bounds, bounds[1:])]
-    for text, confirmed in zip(rows, runs):
-        if not confirmed:
-            continue
-        begin = reach = None
-        for r in sorted((r["pos"], r["pos"] + r["len"]) for r in confirmed):
-            if begin is not None and r[0] <= reach:
-                reach = max(reach, r[1])
-                continue
-            if begin is not None:
-                shard.add(text[begin:reach - 1 + size])
-            begin, reach = r
-        shard.add(text[begin:reach - 1 + size])
-    shard.compile()
+    shards = [Shard()]
+    for numbers, passage in zip(rows[len(raw):], passages):
+        if shards[-1].size >= shard_words:
+            shards.append(Shard())
+        shards[-1].add(numbers, passage.split(b" "))
+    for shard in shards:
+        shard.compile()
     out = []
-    for text in rows:
-        mask = shard.covered(text) if len(text) >= size else None
-        out.append(mask if mask is not None and mask.any() else None)
+    for numbers, text in zip(rows, raw):
+        edges = np.zeros(len(numbers) + 1, dtype=np.int32)
+        if len(numbers) >= size:
+            split = text.split()
+            for shard in shards:
+                shard.mark(edges, numbers, split)
+        out.append(np.cumsum(edges[:-1]) > 0 if edges.any() else None)
     return out
 
 
 def remove_repeated(df: DataFrame, size: int = 35, anchor: int = ANCHOR, id_col: str = "doc_id",
                     text_col: str = "text", keep: list[str] | None = None,
-                    digest: bool = False) -> DataFrame:
+                    digest: bool = False, part_bytes: int = PART_BYTES) -> DataFrame:
     """The columns ``keep`` (default: the id) plus ``n_words``, ``n_removed``
     and ``kept_text`` (the words left, joined by one space), or with ``digest``
-    its SHA-256 as ``kept_sha256``.  Every input row is returned."""
+    its SHA-256 as ``kept_sha256``.  Every input row is returned.  One
+    aggregation, of the text bytes, runs when this is called."""
     if not 1 <= anchor <= size:
         raise ValueError("anchor must be between 1 and size")
     keep = [id_col] if keep is None else keep
     rest = [c for c in keep if c != text_col]
     kept_as = [f"keep{i}" for i in range(len(rest))]      # names of their own: no clash, no dots
     whole = F.col(f"`{text_col}`")
+    total = df.agg(F.sum(F.octet_length(whole))).first()[0] or 0
+    row = F.xxhash64(F.col(f"`{id_col}`"), whole)
     docs = df.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(rest, kept_as)],
-                     F.coalesce(whole, F.lit("")).alias("__text"),
-                     F.xxhash64(F.col(f"`{id_col}`"), whole).alias("__row"))
-
-    anchors = (_counted(_anchors(docs.select("__text", "__row"), size, anchor), "key")
-               .groupBy(F.col("row").alias("__r")).agg(F.collect_set("key").alias("__anchors")))
-    windows = _windows(docs.join(anchors, F.col("__row") == F.col("__r")), size, anchor)
-    runs = (_counted(windows, "key").filter("len > 0").groupBy(F.col("row").alias("__r"))
-            .agg(F.collect_list(F.struct("pos", "len")).alias("__runs")))
+                     F.coalesce(whole, F.lit("")).alias("text"), row.alias("row"),
+                     F.pmod(F.xxhash64(row), F.lit(max(1, -(-total // part_bytes)))).alias("part"))
+    parts = docs.groupBy("part")
+
+    anchors = parts.applyInArrow(_anchors(size, anchor), "key long, part long, many boolean")
+    same = Window.partitionBy("key")
+    anchors = (anchors.withColumns({"places": F.count(F.lit(1)).over(same), "any": F.max("many").over(same)})
+               .filter("any or places > 1").select("part", "key"))
+    windows = parts.cogroup(anchors.groupBy("part")).applyInArrow(
+        _windows(size, anchor), "key long, second long, place long")
+    same = Window.partitionBy("key", "second")
+    confirmed = (windows.withColumns({"places": F.count(F.lit(1)).over(same), "rep": F.min("place").over(same),
+                                      "any": F.max(F.col("place").bitwiseAND(2)).over(same)})
+                 .filter("any > 0 or places > 1")
+                 .select(F.shiftright("place", 32).alias("part"), "place", "rep"))
+    requests = confirmed.groupBy("part").applyInArrow(_requests, "part long, home long, at long, len long")
+    wanted = requests.select("home", "at", "len").distinct()
+    passages = parts.cogroup(wanted.groupBy("home")).applyInArrow(
+        _passages(size), "from long, word long, run long, words binary")
+    sent = (requests.join(passages, (F.col("home") == F.col("from")) & (F.col("at") == F.col("word"))
+                          & (F.col("len") == F.col("run"))).select("part", "words"))
 
     last = "kept_sha256" if digest else "kept_text"
-    out = T.StructType([*(T.StructField(f.name, f.dataType) for f in df.select(*[F.col(f"`{c}`") for c in rest]).schema),
+    kinds = df.select(*[F.col(f"`{c}`") for c in rest]).schema
+    out = T.StructType([*(T.StructField(k, f.dataType) for k, f in zip(kept_as, kinds)),
                         T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
-                        T.StructField(last, T.StringType())])
-
-    def run(batches):
-        for b in C.slices(batches, "__text"):
-            raw = C.encode(b.column("__text"))
-            total, gone, kept = [], [], []
-            for text, mask in zip(raw, _locate(raw, b.column("__runs").to_pylist(), size)):
-                words = text.split()
-                total.append(len(words))
-                gone.append(0 if mask is None else int(mask.sum()))
-                if mask is not None:
-                    words = [x for x, m in zip(words, mask.tolist()) if not m]
-                joined = b" ".join(words)
-                kept.append(hashlib.sha256(joined).hexdigest() if digest else joined.decode())
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(k) for k in kept_as), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
-                 pa.array(kept, pa.string())], names=out.names)
-
-    return docs.join(runs, F.col("__row") == F.col("__r"), "left").mapInArrow(run, out)
+                        T.StructField("kept_last", T.StringType())])
+
+    def run(part: pa.Table, passages: pa.Table) -> pa.Table:
+        order, raw = _texts(part)
+        count, gone, kept = [], [], []
+        for text, mask in zip(raw, _locate(raw, passages.column("words").to_pylist(), size)):
+            words = text.split()
+            count.append(len(words))
+            gone.append(0 if mask is None else int(mask.sum()))
+            if mask is not None:
+                words = [x for x, m in zip(words, mask.tolist()) if not m]
+            joined = b" ".join(words)
+            kept.append(hashlib.sha256(joined).hexdigest() if digest else joined.decode())
+        rows = part.take(pa.array(order))
+        return pa.table([*(rows.column(k) for k in kept_as), pa.array(count, pa.int64()),
+                         pa.array(gone, pa.int64()), pa.array(kept, pa.string())], names=out.names)
+
+    found = parts.cogroup(sent.groupBy("part")).applyInArrow(run, out)
+    return found.select(*[F.col(k).alias(c) for k, c in zip(kept_as, rest)], "n_words", "n_removed",
+                        F.col("kept_last").alias(last))

@@ -33,6 +33,44 @@ def test_table(small, size, anchor):
     assert got == brute([(r.doc_id, r.text) for r in small.collect()], size)
 
 
+@pytest.mark.parametrize("size,anchor,part_bytes", [(35, 12, 20_000), (8, 4, 3_000), (3, 2, 500)])
+def test_many_parts(small, odd, size, anchor, part_bytes):
+    got = rows(substring.remove_repeated(small, size, anchor, digest=True, part_bytes=part_bytes))
+    assert got == brute([(r.doc_id, r.text) for r in small.collect()], size)
+    got = rows(substring.remove_repeated(odd, size, anchor, digest=True, part_bytes=part_bytes))
+    assert got == brute([(r[0], r[1]) for r in odd_rows()], size)
+
+
+def test_branching_passages(spark):
+    """Copies that share only the start, the middle or the end of a passage."""
+    a, b, c = ([f"{x}{i}" for i in range(9)] for x in "abc")
+    texts = [a + b + c, ["x"] + a + b + ["y"], b + c, ["z"] + b + ["w"], c + a + ["v"], a[1:] + c[:-1], b[2:] + b[:5]]
+    data = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    for size in (1, 2, 5, 8):
+        for part_bytes in (1, 150, 1 << 20):
+            assert rows(substring.remove_repeated(df, size, 1, digest=True, part_bytes=part_bytes)) == brute(data, size)
+
+
+def test_automata_find_places_that_nobody_told():
+    """Only the passages are given, no places; shards as small as can be."""
+    passages = [b"a b c d", b"d e f g", b"x y z"]
+    texts = [b"q a b c d e f g q", b"", b"a b c", b"x y z x y z", b"n\tx  y\nz a b c d"]
+    for shard_words in (1, 5, 100):
+        got = substring._locate(texts, passages, 3, shard_words)
+        assert [None if m is None else "".join("01"[int(x)] for x in m) for m in got] == [
+            "011111110", None, None, "111111", "01111111"]
+
+
+def test_hits_are_compared_on_words(monkeypatch):
+    """Word numbers that meet by their hash are no hit."""
+    monkeypatch.setattr(substring.C.Words, "hashes", lambda self, seed=1: self.end - self.start)
+    got = substring._locate([b"aa b cc", b"dd e ff"], [b"aa b cc"], 3)
+    assert got[0].all() and got[1] is None
+    got = substring._locate([b"aa b cc", b"dd e ff", b"gg h ii"], [b"aa b cc", b"dd e ff"], 3)
+    assert got[0].all() and got[1].all() and got[2] is None
+
+
 def test_text_and_kept_columns(odd):
     got = substring.remove_repeated(odd, keep=["doc_id", "lang", "kept"])
     assert got.columns == ["doc_id", "lang", "kept", "n_words", "n_removed", "kept_text"]
