@@ -249,13 +249,17 @@ def _locate(raw: list[bytes], passages: list[bytes], size: int,
 
 def remove_repeated(df: DataFrame, size: int = 35, anchor: int = ANCHOR, id_col: str = "doc_id",
                     text_col: str = "text", keep: list[str] | None = None,
-                    digest: bool = False, part_bytes: int = PART_BYTES) -> DataFrame:
+                    digest: bool = False, untouched: bool = False,
+                    part_bytes: int = PART_BYTES) -> DataFrame:
     """The columns ``keep`` (default: the id) plus ``n_words``, ``n_removed``
     and ``kept_text`` (the words left, joined by one space), or with ``digest``
-    its SHA-256 as ``kept_sha256``.  Every input row is returned.  One
-    aggregation, of the text bytes, runs when this is called."""
+    its SHA-256 as ``kept_sha256``.  With ``untouched`` the kept text of a row
+    that loses nothing is its text as it came, null too.  Every input row is
+    returned.  One aggregation, of the text bytes, runs when this is called."""
     if not 1 <= anchor <= size:
         raise ValueError("anchor must be between 1 and size")
+    if digest and untouched:
+        raise ValueError("a digest is taken of the words left")
     keep = [id_col] if keep is None else keep
     rest = [c for c in keep if c != text_col]
     kept_as = [f"keep{i}" for i in range(len(rest))]      # names of their own: no clash, no dots
@@ -263,7 +267,7 @@ def remove_repeated(df: DataFrame, size: int = 35, anchor: int = ANCHOR, id_col:
     total = df.agg(F.sum(F.octet_length(whole))).first()[0] or 0
     row = F.xxhash64(F.col(f"`{id_col}`"), whole)
     docs = df.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(rest, kept_as)],
-                     F.coalesce(whole, F.lit("")).alias("text"), row.alias("row"),
+                     whole.cast("string").alias("text"), row.alias("row"),
                      F.pmod(F.xxhash64(row), F.lit(max(1, -(-total // part_bytes)))).alias("part"))
     parts = docs.groupBy("part")
 
@@ -293,16 +297,19 @@ def remove_repeated(df: DataFrame, size: int = 35, anchor: int = ANCHOR, id_col:
 
     def run(part: pa.Table, passages: pa.Table) -> pa.Table:
         order, raw = _texts(part)
+        rows = part.take(pa.array(order))
         count, gone, kept = [], [], []
-        for text, mask in zip(raw, _locate(raw, passages.column("words").to_pylist(), size)):
+        for i, (text, mask) in enumerate(zip(raw, _locate(raw, passages.column("words").to_pylist(), size))):
             words = text.split()
             count.append(len(words))
             gone.append(0 if mask is None else int(mask.sum()))
+            if mask is None and untouched:
+                kept.append(rows.column("text")[i].as_py())
+                continue
             if mask is not None:
                 words = [x for x, m in zip(words, mask.tolist()) if not m]
             joined = b" ".join(words)
             kept.append(hashlib.sha256(joined).hexdigest() if digest else joined.decode())
-        rows = part.take(pa.array(order))
         return pa.table([*(rows.column(k) for k in kept_as), pa.array(count, pa.int64()),
                          pa.array(gone, pa.int64()), pa.array(kept, pa.string())], names=out.names)
 

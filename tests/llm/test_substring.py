@@ -104,3 +104,17 @@ def test_clashing_and_dotted_names(odd):
     plain = substring.remove_repeated(odd, size=35)
     cols = ("doc_id", "n_words", "n_removed", "kept_text")
     assert rows(out, *cols) == rows(plain, *cols) and set(names) <= set(out.columns)
+
+
+def test_untouched_texts_stay_as_they_came(odd):
+    plain = {(r.doc_id, r.n_removed, r.kept_text) for r in substring.remove_repeated(odd, 5, 3).collect()}
+    got = substring.remove_repeated(odd, 5, 3, untouched=True).collect()
+    given = {(r[0], r[1]) for r in odd_rows()}
+    assert len(got) == len(odd_rows())
+    for r in got:
+        if r.n_removed:
+            assert (r.doc_id, r.n_removed, r.kept_text) in plain
+        else:
+            assert (r.doc_id, r.kept_text) in given
+    with pytest.raises(ValueError):
+        substring.remove_repeated(odd, 5, 3, digest=True, untouched=True)
