@@ -48,13 +48,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that stand elsewhere too are cut out of the texts; a text that
     loses nothing stays as it is."""
-    text, count, gone, kept = (C.free_name(docs, x) for x in ("whole", "words", "gone", "kept"))
-    names = {"n_words": count, "n_removed": gone, "kept_text": kept}
-    clash = {c: C.free_name(docs, "old_" + c) for c in names if c in docs.columns}
-    frame = docs.withColumnsRenamed(clash).withColumn(text, F.col("text"))
-    out = substring.remove_repeated(frame, size=35, keep=[c for c in frame.columns if c != "text"])
-    new = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col(text))
-    columns = {c: _col(clash.get(c, c)) for c in docs.columns} | {"text": new}
+    clash = {c: C.free_name(docs, "old_" + c) for c in ("n_words", "n_removed", "kept_text") if c in docs.columns}
+    frame = docs.withColumnsRenamed(clash)
+    out = substring.remove_repeated(frame, size=35, keep=[c for c in frame.columns if c != "text"], untouched=True)
+    columns = {c: _col(clash.get(c, c)) for c in docs.columns} | {"text": F.col("kept_text")}
     if "n_chars" in columns:
         columns["n_chars"] = F.when(F.col("n_removed") > 0, F.length(F.col("kept_text")).cast("long")).otherwise(
             F.col(clash.get("n_chars", "n_chars"))).cast(docs.schema["n_chars"].dataType)
