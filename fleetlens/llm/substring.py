@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 from . import common as C
 
 ANCHOR = 12
-PART_BYTES = 4 << 20       # text bytes of a part
+PART_BYTES = 2 << 20       # text bytes of a part
 SHARD_WORDS = 1 << 18      # words of the passages of one automaton
 
 
@@ -226,18 +226,23 @@ def _locate(raw: list[bytes], passages: list[bytes], size: int,
     if not passages:
         return [None] * len(raw)
     words = C.Words(raw + passages)
-    number = np.unique(words.hashes(), return_inverse=True)[1].tolist()
-    bounds = words.first.tolist()
-    rows = [tuple(number[a:b]) for a, b in zip(bounds, bounds[1:])]
+    number = np.unique(words.hashes(), return_inverse=True)[1]
+    first = words.first
+    del words
+
+    def numbers_of(i: int) -> tuple[int, ...]:
+        return tuple(number[first[i]:first[i + 1]].tolist())
+
     shards = [Shard()]
-    for numbers, passage in zip(rows[len(raw):], passages):
+    for i, passage in enumerate(passages, len(raw)):
         if shards[-1].size >= shard_words:
             shards.append(Shard())
-        shards[-1].add(numbers, passage.split(b" "))
+        shards[-1].add(numbers_of(i), passage.split(b" "))
     for shard in shards:
         shard.compile()
     out = []
-    for numbers, text in zip(rows, raw):
+    for i, text in enumerate(raw):
+        numbers = numbers_of(i)
         edges = np.zeros(len(numbers) + 1, dtype=np.int32)
         if len(numbers) >= size:
             split = text.split()
