@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..ml import component_models as CM
 from ..operators.skew import RangeParts
 from . import alerts as A
 from . import components as C
@@ -53,13 +54,18 @@ def _write(df: DataFrame, root: str, name: str) -> str:
 
 
 def refresh(spark: SparkSession, readings: DataFrame, maintenance: DataFrame, models: DataFrame,
-            component_frames: dict, locations: DataFrame, root: str, run_ts: str, skew_bucket=None) -> dict:
+            component_frames: dict, locations: DataFrame, root: str, run_ts: str, skew_bucket=None,
+            models_root: str | None = None) -> dict:
     """Run E1 → E2 → E3 and the maps; returns {table: path}.
 
     Histories are split by ranges of (aircraft, time), so an aircraft with a
     large share of all rows is spread over many tasks; ``skew_bucket`` takes
     another cut (``operators/skew.py``).  For a few new files take
-    ``incremental.IncrementalGold``."""
+    ``incremental.IncrementalGold``.
+
+    With ``models_root`` the alerts of every component whose model there has
+    the alias ``live`` come from that model's predictions (M-12); those of the
+    others, and all without it, from the health rule."""
     paths = {}
     read = spark.read.parquet
 
@@ -86,7 +92,7 @@ def refresh(spark: SparkSession, readings: DataFrame, maintenance: DataFrame, mo
                       F.lit(None).cast("string").alias("source_component_id"),
                       F.when(F.col("predicted_anomaly") == 1, S.RISK_HIGH).otherwise(S.RISK_NORMAL)
                       .alias("health_status"), F.col("predicted_anomaly").cast("int").alias("predicted_anomaly"))
-    long_preds = ac.unionByName(C.component_predictions(view))
+    long_preds = ac.unionByName(_component_predictions(spark, view, component_frames, models_root))
     trace = A.traceability_from_predictions(long_preds, spark, run_ts)
     paths["inference_traceability"] = _write(trace, root, "inference_traceability")
     trace = read(paths["inference_traceability"]).drop("month")
@@ -106,3 +112,15 @@ def refresh(spark: SparkSession, readings: DataFrame, maintenance: DataFrame, mo
         maps.component_status_map(locations, read(paths["component_alerts"]).drop("month")), root,
         "component_status_map")
     return paths
+
+
+def _component_predictions(spark: SparkSession, view: DataFrame, twins, models_root: str | None) -> DataFrame:
+    """Long predictions of all components: by live models where there are any."""
+    live = [k for k in CM.live_twins(spark, models_root) if k in twins] if models_root else []
+    if not live:
+        return C.component_predictions(view)
+    kind = F.col("component_type")
+    frames = {k: view.filter(kind == C.COMP_TYPE[k]) for k in live}
+    scored = CM.predictions_long(CM.score_live(spark, frames, models_root))
+    rest = view.filter(~kind.isin([C.COMP_TYPE[k] for k in live]))
+    return C.component_predictions(rest).unionByName(scored)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..functions.nested import flatten_json_deep
 from ..functions.scalars import parse_date
+from ..ml import component_models as CM
 from ..ml import model as M
 from ..operators import quality as Q
 from ..operators.quality import clean
@@ -272,6 +273,45 @@ def model_component_scores(spark, sf):
     return scored.withColumn("in_range", F.col("predicted_anomaly").isin(0, 1)).drop("predicted_anomaly")
 
 
+def _held_out_sql(k: str) -> str:
+    held = "CAST(round(n1 * CAST(0.3 AS DOUBLE)) AS BIGINT)"
+    return f"""SELECT '{k}' AS component, CASE WHEN fitted THEN n ELSE 0 END AS scored_rows,
+       CAST(round((n - n1) * CAST(0.3 AS DOUBLE)) AS BIGINT) + {held} AS held_out_rows, {held} AS held_out_anomalies,
+       fitted AS recorded, TRUE AS alerts_match
+FROM (SELECT count(*) AS n, count(*) FILTER (WHERE health_status <> 'NOMINAL') AS n1,
+             count(DISTINCT health_status <> 'NOMINAL') = 2 AS fitted FROM {k}_health) t"""
+
+
+@query("model_component_mart", O.with_(*O.comp_ctes(O.COMP_KEYS)) + "\nUNION ALL\n".join(map(_held_out_sql, O.COMP_KEYS)))
+def model_component_mart(spark, sf):
+    """M-11 → M-12 → T-13: twins split, fitted, scored and registered; per twin
+    the rows scored and held out, whether the registry holds the precision and
+    recall of the written held-out predictions, and whether the mart has
+    exactly the alerts that the predictions raise."""
+    loc = I.scratch_location(spark, "component-models")
+    CM.train_all(spark, health_frames(spark, sf), loc, version=1, num_trees=10)
+    preds = CM.predictions(spark, loc, 1)
+    held, y, p = F.col("is_test"), F.col("label"), F.col("predicted_anomaly")
+    per = preds.groupBy("component").agg(
+        F.count(p).alias("scored_rows"), F.count_if(held).alias("held_out_rows"),
+        F.count_if(held & (y == 1)).alias("held_out_anomalies"), F.count_if(p == 1).alias("raised"),
+        F.count_if(held & (y == 1) & (p == 1)).alias("tp"), F.count_if(held & (y == 0) & (p == 1)).alias("fp"))
+    registry = spark.read.parquet(f"{loc}/registry").select(
+        F.substring("model", len(CM.model_name("")) + 1, 99).alias("component"), "precision", "recall")
+    mart = A.traceability_from_predictions(CM.predictions_long(preds), spark, RUN_TS)
+    ids = F.create_map(*[F.lit(x) for k, s in S.COMPONENTS.items() for x in (s.alert_id, k)])
+    alerts = mart.groupBy(ids[F.col("component_id")].alias("component")).agg(F.count(F.lit(1)).alias("alerts"))
+
+    def same(got, part, whole):
+        return F.abs(F.col(got) - F.when(whole > 0, part / whole).otherwise(0.0)) < 1e-12
+
+    return (per.join(registry, "component", "left").join(alerts, "component", "left")
+            .select("component", "scored_rows", "held_out_rows", "held_out_anomalies",
+                    F.coalesce(same("precision", F.col("tp"), F.col("tp") + F.col("fp"))
+                               & same("recall", F.col("tp"), F.col("held_out_anomalies")), F.lit(False)).alias("recorded"),
+                    (F.coalesce("alerts", F.lit(0)) == F.col("raised")).alias("alerts_match")))
+
+
 @query("model_sensor_keys", O.with_(*O.E1, O.enriched("JOIN"), O.FEATURES) + """
 SELECT aircraft_id, "timestamp", anomaly_score, TRUE AS in_range FROM feat WHERE prev_anomaly IS NOT NULL""")
 def model_sensor_keys(spark, sf):
