@@ -1,4 +1,7 @@
+import math
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -106,3 +109,103 @@ def test_one_text_for_each_labelled_id(spark, monkeypatch):
     for longest in (None, 3):
         K.fit(docs.repartition(4), labels, "quality", max_labels=7, max_text_passages=longest)
     assert seen == [(22, 7), (7, 4)]
+
+
+# ------------------------------------------------- a second version, by hand
+RUN = re.compile(rb"[^\x20\x09-\x0D]+")
+MASK = (1 << 64) - 1
+KINDS = [lambda b: 65 <= b <= 90, lambda b: 97 <= b <= 122, lambda b: 48 <= b <= 57, lambda b: b in b".,;:'\"()-?",
+         lambda b: b in b"#*$%&|<>!@^~=+_/\\{}[]`", lambda b: 128 <= b < 192, lambda b: b >= 192, lambda b: b == 10]
+
+
+def pair_class(first, second):
+    x = first << 8 | second
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & MASK
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & MASK
+    return (x ^ x >> 31) % K.PROFILE
+
+
+def plain_passages(raw):
+    """Feature rows of one text, byte by byte and word by word."""
+    found = [(m.start(), m.end(), m.group()) for m in RUN.finditer(raw)]
+    if not found:
+        return [[0.0] * K.FEATURES]
+    out = []
+    for at in range(0, len(found), K.PASSAGE):
+        part = found[at:at + K.PASSAGE]
+        inside = raw[part[0][0]:part[-1][1]]
+        words = [w for _, _, w in part]
+        n, times = len(words), Counter(words)
+        again = sum(i > 0 and found[i][2] == found[i - 1][2] for i in range(at, at + n))
+        stats = [sum(map(kind, inside)) / len(inside) for kind in KINDS]
+        stats += [len(times) / n, max(times.values()) / n, again / n, sum(min(len(w), 40) for w in words) / n / 10,
+                  sum(KINDS[4](w[-1]) for w in words) / n, sum(len(w) == 1 for w in words) / n, math.log1p(n) / 5]
+        pairs = Counter(pair_class(a, b) for a, b in zip(inside, inside[1:]))
+        out.append(stats + [math.sqrt(pairs[c] / len(inside)) for c in range(K.PROFILE)])
+    return out
+
+
+def plain_logit(w, z):
+    """Gated attention over the passages ``z`` (scaled) of one text."""
+    h = np.tanh(z @ w["enc"] + w["enc_b"])
+    gate = np.tanh(h @ w["v"]) / (1 + np.exp(-(h @ w["u"])))
+    e = np.exp(gate @ w["att"])
+    return float((e / e.sum()) @ h @ w["out"] + w["out_b"][0])
+
+
+def test_features_brute_force(small):
+    raw = [(t or "").encode() for _, t in [(r[0], r[1]) for r in odd_rows()]]
+    raw += [(r.text or "").encode() for r in small.select("text").collect()]
+    x, row = K.passages(raw)
+    want = [(i, p) for i, t in enumerate(raw) for p in plain_passages(t)]
+    assert row.tolist() == [i for i, _ in want]
+    assert np.allclose(x, np.array([p for _, p in want]), rtol=1e-5, atol=1e-6)
+
+
+def test_score_brute_force(spark, odd, small, sf):
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    model = K.fit(small, labels, "quality")
+    assert model.w
+    docs = small.select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    for r in K.score(docs, model).collect():
+        z = (np.array(plain_passages((r.text or "").encode())) - model.mean) / model.scale
+        assert abs(r.score - 1 / (1 + math.exp(-plain_logit(model.w, z)))) < 1e-4
+
+
+def test_training_brute_force():
+    """Two steps of Adam on numeric gradients of the loss, text by text, give
+    the weights that the written-out gradient gives."""
+    rng = np.random.default_rng(3)
+    row = np.repeat(np.arange(5), [1, 2, 3, 1, 2])
+    x, y = rng.normal(size=(len(row), K.FEATURES)), np.array([1.0, 0, 1, 0, 1])
+    start = K.train(x, row, y, steps=0)
+    z = (x - x.mean(axis=0)) / (x.std(axis=0) + 1e-2)
+    bags = [z[row == i] for i in range(5)]
+
+    def loss(w):
+        logits = [plain_logit(w, b) for b in bags]
+        fit = sum(math.log1p(math.exp(-v if t else v)) for v, t in zip(logits, y)) / len(y)
+        return fit + 1e-4 / 2 * sum((v * v).sum() for v in w.values())
+
+    w = {k: v.copy() for k, v in start.w.items()}
+    mean, square = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
+    smallest = {k: np.full(v.shape, np.inf) for k, v in w.items()}
+    for step in (1, 2):
+        grad = {k: np.zeros_like(v) for k, v in w.items()}
+        for k, v in w.items():
+            for at in np.ndindex(v.shape):
+                here = v[at]
+                v[at] = here + 1e-5
+                up = loss(w)
+                v[at] = here - 1e-5
+                grad[k][at] = (up - loss(w)) / 2e-5
+                v[at] = here
+        for k, v in w.items():
+            smallest[k] = np.minimum(smallest[k], np.abs(grad[k]))
+            mean[k] = 0.9 * mean[k] + 0.1 * grad[k]
+            square[k] = 0.999 * square[k] + 0.001 * grad[k] ** 2
+            v -= 0.02 * (mean[k] / (1 - 0.9 ** step)) / (np.sqrt(square[k] / (1 - 0.999 ** step)) + 1e-8)
+    got = K.train(x, row, y, steps=2).w
+    for k in w:
+        clear = smallest[k] > 1e-6              # below that the numeric gradient is noise
+        assert clear.mean() > 0.9 and np.abs(got[k] - w[k])[clear].max() < 1e-4, k
