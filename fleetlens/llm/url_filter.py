@@ -21,8 +21,10 @@ edges either way.
 
 The iteration stops after ``rounds``, or with ``rounds=None`` once every
 host's trust and distrust have settled, however long the chain of links that
-leads to it; a host that has not settled after ``MAX_ROUNDS`` is an error.
-The state is written to the shared folder each few rounds, so lineage stays
+leads to it: what is still on its way shrinks by the damping each round, so
+that comes to an end, and there is no bound on the rounds unless
+``max_rounds`` is given.  Shares below the smallest double (some 4000 links
+away at a damping of 0.85) count as none.  The state is written to the shared folder each few rounds, so lineage stays
 short.
 
 A null url, or one without ``://``, has an empty host and path and, as no link
@@ -44,7 +46,6 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
 DAMPING = 0.85
 ROUNDS = 12
 TOLERANCE = 1e-9            # of a host's own value, without a fixed number of rounds
-MAX_ROUNDS = 1000
 THRESHOLD = 0.5
 
 
@@ -98,14 +99,15 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html", r
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = ROUNDS, damping: float = DAMPING,
-              checkpoint_every: int = 4, tolerance: float = TOLERANCE, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+              checkpoint_every: int = 4, tolerance: float = TOLERANCE, max_rounds: int | None = None) -> DataFrame:
     """(``host``, ``trust``, ``distrust``) for every host that either reaches.
 
     ``seeds``: (host, good, bad) with the shares of trust and distrust that
     start there; each sums to one over all hosts, or to zero.  Without
     ``rounds``, rounds go on until the last one changed no host's trust or
     distrust by more than ``tolerance`` of its own value (a host reached just
-    then has changed by all of it); a ``RuntimeError`` after ``max_rounds``.
+    then has changed by all of it); with ``max_rounds``, a ``RuntimeError`` if
+    that many do not do.
     """
     out = edges.groupBy("src").agg(F.sum("links").alias("total")).withColumnRenamed("src", "s")
     back = edges.groupBy("dst").agg(F.sum("links").alias("total")).withColumnRenamed("dst", "d")
@@ -123,8 +125,9 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = ROUNDS, d
     begin = 1.0 if rounds == 0 else 1 - damping
     state = seeds.select("host", (begin * F.col("good")).alias("trust"), (begin * F.col("bad")).alias("distrust"))
     state = state.withColumns({"more_trust": F.col("trust"), "more_distrust": F.col("distrust")})
-    limit = max_rounds if rounds is None else rounds
-    for i in range(1, limit + 1):
+    i = 0
+    while rounds is None or i < rounds:
+        i += 1
         # with a fixed number of rounds the last one passes on all that is left
         rate = damping / (1 - damping) if i == rounds else damping
 
@@ -140,12 +143,11 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = ROUNDS, d
             F.sum(F.col("trust") + F.col("more_trust")).alias("trust"),
             F.sum(F.col("distrust") + F.col("more_distrust")).alias("distrust"),
             F.sum("more_trust").alias("more_trust"), F.sum("more_distrust").alias("more_distrust"))
-        if i % checkpoint_every == 0 or i == limit:
+        if i % checkpoint_every == 0 or i in (rounds, max_rounds):
             state = C.materialize(state, "host-trust")
             if rounds is None and _change(state) <= tolerance:
                 break
-    else:
-        if rounds is None:
+        if rounds is None and i == max_rounds:
             raise RuntimeError(f"trust and distrust still change after {max_rounds} rounds")
     return state.select("host", "trust", "distrust")
 
