@@ -170,6 +170,48 @@ def test_trailing_mean_against_plain_loop():
             assert np.allclose(trailing_mean(x, n), want, equal_nan=True)
 
 
+class _Map(dict):
+    getValue, updateValue = dict.get, dict.__setitem__
+
+
+def test_a_group_of_aircraft_is_one_call_with_rows_of_each():
+    """Many aircraft in one call give what each of them gives alone, over two
+    micro-batches: late and repeated readings, none, old and new maintenance."""
+    import numpy as np
+    import pandas as pd
+    from types import SimpleNamespace
+    from fleetlens.streaming.state import MEANS, SensorState
+    rng = np.random.Generator(np.random.PCG64(3))
+    columns = ["aircraft_id", "timestamp", "anomaly_score", *MEANS.values()]
+
+    def batch(at):
+        rows = []
+        for a in range(40):
+            for us in rng.integers(at, at + 12, rng.integers(0, 14)) if a % 9 else []:
+                temp = None if us % 5 == 0 else float(rng.integers(0, 50))
+                rows.append((a, int(us), int(rng.integers(0, 2)), temp, float(a), 3.0, 1, int(us), int(us), None, None, None))
+            if rng.random() < .5:
+                rows.append((a, None, None, None, None, None, 0, None, None, int(rng.integers(at, at + 9)), str(a), "Repair"))
+        return pd.DataFrame(rows, columns=[*columns, "side_", "us_", "day_", "maint_day_", "tie_", "event_type"])
+
+    first, second = batch(0), batch(8)
+    one = SensorState(columns)
+    one.init(SimpleNamespace(getMapState=lambda *a: _Map()))
+    together = pd.concat([f for b in (first, second) for f in one.handleInputRows((0,), iter([b]), None)])
+    apart = []
+    for a in range(40):
+        alone = SensorState(columns)
+        alone.init(SimpleNamespace(getMapState=lambda *a: _Map()))
+        for b in (first, second):
+            mine = b[b["aircraft_id"] == a].reset_index(drop=True)
+            if len(mine):
+                apart += alone.handleInputRows((0,), iter([mine]), None)
+    apart = pd.concat(apart)
+    assert sorted(map(repr, together.astype(object).where(together.notna(), None).values.tolist())) == sorted(
+        map(repr, apart.astype(object).where(apart.notna(), None).values.tolist()))
+    assert together["late"].any() and together["prev_anomaly"].notna().any() and len(together) > 100
+
+
 def test_expectation_log_per_batch(spark, tmp_path):
     from fleetlens.operators.quality import expectation_report
     from fleetlens.streaming.expectations import ExpectationLog, counts, totals
