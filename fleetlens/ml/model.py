@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import json
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.asof import asof_join
+from ..session import stored
 from ..sources.files import read_path_or_empty
 
 SENSOR_MODEL_FEATURES = [
@@ -58,8 +61,14 @@ def forest_pipeline(features, label: str, num_trees: int = 100, seed: int = 42,
     ])
 
 
-def fit(train: DataFrame, features, label: str, **kw) -> PipelineModel:
-    return forest_pipeline(features, label, **kw).fit(train.withColumn(label, F.col(label).cast("double")))
+def fit(train: DataFrame, features, label: str, classes: int | None = None, **kw) -> PipelineModel:
+    """``classes``: labels are 0 to classes - 1, known beforehand (None: a pass
+    over the rows finds out).  A forest reads ``train`` some five times, so it
+    should be a stored table and not a chain of joins (``session.stored``)."""
+    known = {} if classes is None else {"metadata": {"ml_attr": {
+        "type": "nominal", "vals": [str(float(c)) for c in range(classes)]}}}
+    return forest_pipeline(features, label, **kw).fit(
+        train.select(*features, F.col(label).cast("double").alias(label, **known)))
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "predicted_anomaly") -> DataFrame:
@@ -69,6 +78,15 @@ def score(model: PipelineModel, df: DataFrame, out: str = "predicted_anomaly") -
         "__raw", "features", "rawPrediction", "probability", "prediction_raw")
 
 
+def score_every(model: PipelineModel, df: DataFrame, out: str = "predicted_anomaly") -> DataFrame:
+    """:func:`score` in one pass that keeps the rows with a missing feature (or
+    NaN), which the assembler would skip; their prediction is NULL."""
+    feats = input_columns(model)
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in feats])
+    keeps = model.stages[0].copy().setHandleInvalid("keep")
+    return score(PipelineModel([keeps, *model.stages[1:]]), df, out).withColumn(out, F.when(whole, F.col(out)))
+
+
 def confusion_counts(df: DataFrame, label: str, pred: str) -> DataFrame:
     """tp / fp / fn / tn in one aggregation."""
     y, p = F.col(label), F.col(pred)
@@ -225,13 +243,20 @@ def component_training_frame(health_df: DataFrame, spec):
     return health_df.select(*feats, (F.col("health_status") != "NOMINAL").cast("double").alias("label")), feats
 
 
-def train_component_models(frames: dict, specs: dict, num_trees: int = 100, seed: int = 42) -> dict:
-    """M-11: one forest per component twin (each with its own features)."""
-    out = {}
-    for key, df in frames.items():
-        train, feats = component_training_frame(df, specs[key])
-        out[key] = fit(train.dropna(), feats, "label", num_trees=num_trees, seed=seed)
-    return out
+def train_component_models(frames: dict, specs: dict, num_trees: int = 100, seed: int = 42,
+                           parallel: int = 3) -> dict:
+    """M-11: one forest per component twin (each with its own features), fitted
+    on its stored training rows, ``parallel`` twins at a time."""
+    def one(key):
+        train, feats = component_training_frame(frames[key], specs[key])
+        return fit(stored(train.dropna(), f"train-{key}"), feats, "label", classes=2, num_trees=num_trees, seed=seed)
+
+    if not frames:
+        return {}
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        run = inheritable_thread_target(next(iter(frames.values())).sparkSession)(one)
+        jobs = {key: pool.submit(run, key) for key in frames}
+        return {key: job.result() for key, job in jobs.items()}
 
 
 def score_components(frames: dict, models: dict) -> DataFrame:
@@ -240,11 +265,6 @@ def score_components(frames: dict, models: dict) -> DataFrame:
     predicted_anomaly).  Rows with a missing feature get a NULL prediction."""
     parts = []
     for key, df in frames.items():
-        # rows that the assembler would skip stay, without a prediction
-        feats = models[key].stages[0].getInputCols()
-        full = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in feats])
         ids = ["aircraft_id", "component_id", "event_timestamp", "health_status"]
-        scored = score(models[key], df.filter(full)).select(*ids, "predicted_anomaly")
-        rest = df.filter(~full).select(*ids, F.lit(None).cast("int").alias("predicted_anomaly"))
-        parts.append(scored.unionByName(rest).select(F.lit(key).alias("component"), "*"))
+        parts.append(score_every(models[key], df).select(F.lit(key).alias("component"), *ids, "predicted_anomaly"))
     return reduce(DataFrame.unionByName, parts)
