@@ -74,10 +74,9 @@ def train_twin(spark: SparkSession, health: DataFrame, twin: str, spec, root: st
     fitted = train.agg(F.count_distinct("label")).first()[0] > 1
     out = [*IDS, "label", "is_test"]
     if fitted:
-        model = M.fit(train, feats, "label", num_trees=num_trees, seed=seed)
-        # rows that the assembler would skip stay, without a prediction
-        scored = M.score(model, rows.filter(known)).select(*out, "predicted_anomaly").unionByName(
-            rows.filter(~known).select(*out), allowMissingColumns=True)
+        model = M.fit(train, feats, "label", classes=2, num_trees=num_trees, seed=seed)
+        scored = M.score_every(model, rows).select(
+            *out, F.when(F.col("label").isNotNull(), F.col("predicted_anomaly")).alias("predicted_anomaly"))
     else:
         scored = rows.select(*out, F.lit(None).cast("int").alias("predicted_anomaly"))
     where = _path(root, "component_predictions", version, twin)
