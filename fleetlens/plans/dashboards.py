@@ -301,19 +301,35 @@ def fleet_cube(view: DataFrame, aircraft: DataFrame) -> DataFrame:
     ``aircraft``: aircraft_id, model, airport (an aircraft without a row has
     NULL for both).  ``level`` is ``grouping_id`` over ``CUBE_DIMS``, so a NULL
     value and a dimension that is rolled up are told apart.  Readings are
-    summed per (aircraft, component, day) first, so what the grouping sets
-    multiply is days of aircraft, not readings."""
+    summed per (aircraft, component, day) first; those sums are the finest level
+    as they stand (times the rows that an aircraft has), and what the grouping
+    sets multiply for the other levels, so that no task holds the finest level's
+    groups beside the sums."""
     daily = view.groupBy("aircraft_id", "component_type", F.to_date("event_timestamp").alias("day")).agg(
         F.count(F.lit(1)).alias("r"), F.count_if(F.col("health_status") == S.HEALTH_CRITICAL).alias("c"),
         F.count_if(F.col("health_status") == S.HEALTH_WARNING).alias("w"))
     known = aircraft.select(F.col("aircraft_id").alias("__a"), "model", "airport")
     rows = daily.join(known, F.col("aircraft_id") == F.col("__a"), "left").drop("__a")
-    readings = F.sum("r")
-    score = (F.sum(F.col("r") - F.col("c") - F.col("w")) * 100.0 + F.sum("w") * 70.0 + F.sum("c") * 40.0) / readings
+    def measures(r, c, w):
+        return [r.alias("readings"), c.alias("critical"), w.alias("warning"),
+                (((r - c - w) * 100.0 + w * 70.0 + c * 40.0) / r).alias("mean_health")]
+
+    finest = ["aircraft_id", "component_type", "day"]
     dims = [F.col(c) for c in CUBE_DIMS]
-    return rows.groupingSets([[F.col(c) for c in level] for level in CUBE_LEVELS], *dims).agg(
-        F.grouping_id().cast("long").alias("level"), readings.alias("readings"), F.sum("c").alias("critical"),
-        F.sum("w").alias("warning"), score.alias("mean_health"))
+    coarse = rows.groupingSets([[F.col(c) for c in level] for level in CUBE_LEVELS if level != finest], *dims).agg(
+        F.grouping_id().cast("long").alias("level"), *measures(F.sum("r"), F.sum("c"), F.sum("w")))
+    times = known.groupBy("__a").agg(F.count(F.lit(1)).alias("__m"))
+    m = F.coalesce(F.col("__m"), F.lit(1))
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    single = daily.join(times, F.col("aircraft_id") == F.col("__a"), "left").select(
+        *[F.col(c) if c in finest else F.lit(None).cast(types[c]).alias(c) for c in CUBE_DIMS],
+        F.lit(_level(finest)).cast("long").alias("level"), *measures(F.col("r") * m, F.col("c") * m, F.col("w") * m))
+    return coarse.unionByName(single)
+
+
+def _level(dims) -> int:
+    """``grouping_id`` of a level: a bit for every dimension that is rolled up."""
+    return sum(1 << (len(CUBE_DIMS) - 1 - i) for i, c in enumerate(CUBE_DIMS) if c not in dims)
 
 
 def cube_level(cube: DataFrame, dims, **where) -> DataFrame:
@@ -323,8 +339,7 @@ def cube_level(cube: DataFrame, dims, **where) -> DataFrame:
         raise ValueError(f"no level {dims}")
     if unknown := set(where) - set(dims):
         raise ValueError(f"not dimensions of this level: {sorted(unknown)}")
-    bits = sum(1 << (len(CUBE_DIMS) - 1 - i) for i, c in enumerate(CUBE_DIMS) if c not in dims)
-    out = cube.filter(F.col("level") == bits)
+    out = cube.filter(F.col("level") == _level(dims))
     for c, v in where.items():
         out = out.filter(F.col(c) == v)
     return out.select(*dims, "readings", "critical", "warning", "mean_health")
