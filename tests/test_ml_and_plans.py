@@ -112,3 +112,57 @@ def test_nested_json():
     got = {(r.config_key, r.config_value) for r in
            flatten_json_deep(s.createDataFrame([(1, text), (2, None)], "i int, j string"), ["i"], "j").collect()}
     assert got == {("a.b.c", "1"), ("a.e", "{}"), ("d", None), ("l", "[1,2]")}
+
+
+def test_scoring_keeps_rows_with_a_missing_feature_in_one_scan(spark):
+    """NULL and NaN features: the row stays, without a prediction; training
+    with known classes takes a single-class table too."""
+    rows = [(i, float(i % 2), float(i % 2)) for i in range(20)] + [(20, None, 1.0), (21, float("nan"), 0.0)]
+    df = spark.createDataFrame(rows, "id int, a double, y double")
+    model = M.fit(df, ["a"], "y", classes=2, num_trees=2)
+    scored = M.score_every(model, df)
+    got = {r.id: r.predicted_anomaly for r in scored.collect()}
+    assert len(got) == 22 and got[20] is None and got[21] is None
+    assert all(got[i] == i % 2 for i in range(20))
+    assert "Union" not in scored._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_stored_rows_are_evaluated_once(spark):
+    from fleetlens.session import stored
+    df = spark.range(50).selectExpr("id", "id % 3 AS k")
+    kept = stored(df, "t")
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, df.collect()))
+    assert "Range" not in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_finest_cube_level_is_not_expanded(spark):
+    """An aircraft with two rows in the reference, one with none, a NULL one."""
+    from fleetlens.plans import dashboards as Q
+    view = spark.createDataFrame([(a, t, f"2024-01-0{d} 01:00:00", s) for a in (1, 2, None) for t in "xy" for d in (1, 2)
+                                  for s in ("CRITICAL", "WARNING", "NOMINAL")],
+                                 "aircraft_id long, component_type string, event_timestamp string, health_status string")
+    view = view.selectExpr("aircraft_id", "component_type", "CAST(event_timestamp AS timestamp) event_timestamp", "health_status")
+    cube = Q.fleet_cube(view, spark.createDataFrame([(1, "m", 7), (1, "n", 8)], "aircraft_id long, model string, airport int"))
+    level = {(r.aircraft_id, r.component_type, r.day.day): (r.readings, r.critical, r.warning, r.mean_health)
+             for r in Q.cube_level(cube, ["aircraft_id", "component_type", "day"]).collect()}
+    assert len(level) == 12 and level[1, "x", 1] == (6, 2, 2, 70.0) and level[2, "y", 2] == level[None, "x", 1] == (3, 1, 1, 70.0)
+    plan = cube._jdf.queryExecution().optimizedPlan().toString()
+    expand = next(x for x in plan.splitlines() if "Expand" in x)
+    assert expand.count("], [") == len(Q.CUBE_LEVELS) - 1      # all levels but one, and the list of outputs
+
+
+def test_traces_and_summaries_sort_by_a_hash_and_keep_their_width(spark):
+    from fleetlens.plans import alerts as A
+    preds = spark.createDataFrame([("FS", a, "2024-01-01", "s", "CRITICAL", 1) for a in (1, 1, 2, None)],
+                                  "component_id string, aircraft_id long, t string, source_component_id string, "
+                                  "health_status string, predicted_anomaly int")
+    preds = preds.selectExpr("component_id", "aircraft_id", "CAST(t AS timestamp_ntz) AS timestamp",
+                             "source_component_id", "health_status", "predicted_anomaly")
+    trace = A.traceability_from_predictions(preds, spark, "2024-02-01 00:00:00")
+    found = A.lookup(trace, trace["aircraft_id"] == 1)
+    assert trace.count() == 4 and found.count() == 2
+    assert "xxhash64" in trace._jdf.queryExecution().optimizedPlan().toString()
+    unified = A.unify_alerts(A.alerts_from_predictions(preds, "2024-02-01 00:00:00"), spark, "2024-02-01 00:00:00")
+    summary = A.alert_summary(unified)
+    assert [(r.alert_count, r.affected_aircraft_count) for r in summary.collect()] == [(4, 2)]
+    assert "REPARTITION_BY_NUM" in summary._jdf.queryExecution().executedPlan().toString()
