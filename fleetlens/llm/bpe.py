@@ -24,7 +24,7 @@ import hashlib
 import json
 import re
 from array import array
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,8 @@ from . import common as C
 _CUT = re.compile(r" (?=\S)")
 CACHE_ENTRIES = 500_000
 CACHE_CHARS = 64
+PART_CHARS = 64_000        # a longer text is encoded in parts ...
+PART_LIMIT = 4 * PART_CHARS    # ... and by fragments where it cannot be cut within so many characters
 #: fixed value: the pre-tokenizing pattern of byte-level BPE
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: white space other than a single space in front, or a byte that may be part of some
@@ -182,6 +184,53 @@ class ForcedBoundaryCodec:
                 out.append(b"".join([x if isinstance(x, bytes) else known[x] if x in known else long[x] for x in row]))
         return out
 
+    @cached_property
+    def ranks_suffice(self) -> bool:
+        """Whether the library of plain fragments gives the same ids on whole
+        texts: byte-level pre-tokenizing and nothing else, special tokens taken
+        as they stand, and every token reached by the merges of its own bytes."""
+        from tokenizers.pre_tokenizers import ByteLevel
+        t = self.tokenizer
+        cut, model = t.pre_tokenizer, t.model
+        if (not self.ranked or t.normalizer is not None or not isinstance(cut, ByteLevel) or not cut.use_regex
+                or cut.add_prefix_space or model.dropout or model.continuing_subword_prefix or model.end_of_word_suffix):
+            return False
+        if any(a.lstrip or a.rstrip or a.single_word for a in t.get_added_tokens_decoder().values()):
+            return False
+        return all([x.id for x in model.tokenize(token)] == [i]
+                   for token, i in t.get_vocab(with_added_tokens=False).items())
+
+    def _parts(self, text: str) -> list[str]:
+        """A text cut into parts of about ``PART_CHARS``, each from the second
+        on starting with a space that a non-space follows."""
+        parts, at = [], 0
+        while len(text) - at > PART_CHARS and (found := _CUT.search(text, at + PART_CHARS)):
+            parts.append(text[at:found.start()])
+            at = found.start()
+        return [*parts, text[at:]]
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text without special tokens."""
+        if len(text) <= PART_CHARS:
+            return array("I", self.ranked.encode_ordinary(text)).tobytes()
+        return b"".join([array("I", self.ranked.encode_ordinary(p)).tobytes() if len(p) <= PART_LIMIT
+                         else self.encode_batch([p])[0] for p in self._parts(text)])
+
+    def encode_whole(self, batch: list[str]) -> list[bytes]:
+        """The ids of ``encode_batch`` without cutting texts into words: one
+        library call per text or part, no cache.  Where the library of plain
+        fragments might differ on whole texts, ``encode_batch`` does it."""
+        if not self.ranks_suffice:
+            return self.encode_batch(batch)
+        out = []
+        for text in batch:
+            if any(s in text for s in self.specials):
+                out.append(b"".join([self.specials[p] if p in self.specials else self._plain(p)
+                                     for p in self.special_cut.split(text) if p]))
+            else:
+                out.append(self._plain(text))
+        return out
+
     def decode(self, ids: bytes) -> str:
         """Text of ids, special tokens included."""
         piece = self.piece

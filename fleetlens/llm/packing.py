@@ -1,6 +1,6 @@
 """Best-fit packing of token pieces into sequences by hierarchical residuals.
 
-1. Every document is tokenised; a longer one than a sequence is cut into full
+1. Every document is tokenised whole; a longer one than a sequence is cut into full
    pieces, the remainder first.  Full pieces are sequences already.
 2. The other pieces are dealt over partitions by a hash.  Each partition packs
    its own by best-fit decreasing and emits the bins that are nearly full.
@@ -47,7 +47,7 @@ def pieces(df: DataFrame, tokenizer: str, capacity: int, end_id: int,
         code = codec(tokenizer)
         for b in C.slices(batches, text_col):
             take, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(code.encode_batch(C.texts(b.column(text_col)))):
+            for i, ids in enumerate(code.encode_whole(C.texts(b.column(text_col)))):
                 ids += tail
                 n = len(ids) // 4
                 at, k = 0, 0
