@@ -166,3 +166,49 @@ def test_traces_and_summaries_sort_by_a_hash_and_keep_their_width(spark):
     summary = A.alert_summary(unified)
     assert [(r.alert_count, r.affected_aircraft_count) for r in summary.collect()] == [(4, 2)]
     assert "REPARTITION_BY_NUM" in summary._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookup_inside_the_traceability_finds_the_same_rows(spark):
+    """Ids shared by several keys, keys with several alerts, NULL keys, an unknown component."""
+    from fleetlens.plans import alerts as A
+    t = "2024-01-01 05:00:00"
+    rows = [("ENG", 1, t, "e1", "CRITICAL", 1), ("ENG", 1, t, "e2", "WARNING", 1), ("ENG", 1, t, "e3", "NOMINAL", 0),
+            ("ENG", 1, t + ".5", "e4", "WARNING", 1), ("ENG", 1, t + ".7", "e5", "NOMINAL", 0), ("FS", 1, t, "f", "WARNING", 1),
+            ("LG", 2, t, "l", "WARNING", 1), ("LG", 2, t + ".5", None, None, None), ("XX", 1, t, "x", "WARNING", 1)]
+    odd = [("FS", None, t, "n", "WARNING", 1), ("AF", 3, None, "n", "WARNING", 1)]
+    run_ts = "2024-02-01 00:00:00"
+    for kept, sought, found in ((rows, F.col("alert_category") == "CRITICAL", 4), (rows, F.col("timestamp") == t, 5),
+                                (rows, F.col("component_id") == "XX", 0), (rows + odd, F.col("component_id") == "AF", None),
+                                (rows + odd, F.col("aircraft_id") == 1, 4)):
+        preds = spark.createDataFrame(kept, "component_id string, aircraft_id long, t string, source_component_id string, "
+                                            "health_status string, predicted_anomaly int")
+        preds = preds.select("component_id", "aircraft_id", F.col("t").cast("timestamp_ntz").alias("timestamp"),
+                             *preds.columns[3:])
+        want = A.lookup(A.traceability_from_predictions(preds, spark, run_ts), sought)
+        got = A.traceability_from_predictions(preds, spark, run_ts, sought=sought)
+        assert got.columns == want.columns and found in (None, got.count())
+        assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
+
+
+def test_trace_lookup_shuffles_the_predictions_once(spark, tmp_path):
+    import datetime as dt
+    day = dt.datetime(2024, 1, 2)
+    tables = {
+        "customer": ("c_custkey long, c_name string, c_nationkey int, c_mktsegment string", [(1, "c", 3, "m")]),
+        "events": ("event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+                   [(1, day, 1, "signup", 200.0, '{"k": 1}'), (2, day, 1, "click", 600.0, '{"k": 99}'),
+                    (3, day, 1, "view", 600.0, '{"k": 99}'), (4, day, None, "click", 10.0, '{"k": 60}')]),
+        "orders": ("o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp_ntz",
+                   [(1, 1, 500000.0, day), (2, 1, 500000.0, day), (3, 2, 1000.0, day)]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                     "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_shipdate timestamp_ntz",
+                     [(1, 1, 1, 1, 5.0, 100.0, 0.0, 0.0, "R", day)]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = queries()["trace_lookup"](spark, str(tmp_path))
+    got = sorted((r.component_id, r.aircraft_id, r.inf_source_component_id, r.inf_matches) for r in found.collect())
+    assert got == [("AF", 1, "2", 2), ("AF", 1, "2", 2), ("ENG", 1, "2", 1), ("LG", 1, "2", 2), ("LG", 1, "2", 2),
+                   ("LG", 2, "3", 1)]
+    above = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].split("Union")[0]
+    assert above.count("Exchange hashpartitioning") == 1
